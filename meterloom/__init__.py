@@ -1 +1,8 @@
 """Metered-consumption analytics as Spark DataFrame transformations."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

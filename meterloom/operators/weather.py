@@ -60,13 +60,10 @@ def weekly(weather: DataFrame) -> DataFrame:
         F.coalesce(F.sum("rain"), F.lit(0.0)).alias("rain"), F.avg("uv").alias("uv")
     )
     order = W.partitionBy("station_id").orderBy("week")
-    following = F.lead("week").over(order)
     # a week is followed by the empty ones up to the next week with data
-    spread = weeks.withColumn(
-        "_week",
-        F.explode(
-            F.sequence(F.col("week"), F.coalesce(F.date_sub(following, 7), F.col("week")), F.expr("interval 7 days"))
-        ),
+    last_empty = F.coalesce(F.date_sub(F.lead("week").over(order), 7), F.col("week"))
+    spread = weeks.withColumn("_until", last_empty).withColumn(
+        "_week", F.explode(F.sequence("week", "_until", F.expr("interval 7 days")))
     )
     own = F.col("_week") == F.col("week")
     return spread.select(
