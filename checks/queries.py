@@ -71,12 +71,17 @@ def base(spark, sf):
     return forecast.monthly_base(src.readings(spark, sf))
 
 
+def stored_base(spark, sf):
+    """The monthly base as a stored table, for statistics that read it more than once."""
+    return checkpointed(base(spark, sf))
+
+
 def scenario_rows(spark, sf):
     return forecast.scenario_table(src.readings(spark, sf), src.weather(spark, sf), src.stations(spark, sf))
 
 
 def split_rows(spark, sf):
-    return features.temporal_split(features.complete_rows(scenario_rows(spark, sf)))
+    return features.temporal_split(checkpointed(features.complete_rows(scenario_rows(spark, sf))))
 
 
 # ---- sources ---------------------------------------------------------------------------------------------
@@ -203,7 +208,7 @@ def correlation_labels(spark, sf):
 
 @query
 def distribution_flags(spark, sf):
-    return stats.distribution_flags(base(spark, sf), "total_kwh", ["season"])
+    return stats.distribution_flags(stored_base(spark, sf), "total_kwh", ["season"])
 
 
 @query
@@ -213,7 +218,7 @@ def fit_diagnosis(spark, sf):
 
 @query
 def log1p_target(spark, sf):
-    return stats.log1p_target(base(spark, sf).select("meter_id", "month_start", "bill"), "bill")
+    return stats.log1p_target(stored_base(spark, sf).select("meter_id", "month_start", "bill"), "bill")
 
 
 @query
@@ -385,7 +390,7 @@ def tariff_shares(spark, sf):
 
 @query
 def describe_monthly(spark, sf):
-    return stats.describe(base(spark, sf), ["offpeak_kwh", "onpeak_kwh", "total_kwh", "kwh_per_day"])
+    return stats.describe(stored_base(spark, sf), ["offpeak_kwh", "onpeak_kwh", "total_kwh", "kwh_per_day"])
 
 
 @query
@@ -400,12 +405,12 @@ def by_calendar_month(spark, sf):
 
 @query
 def by_season(spark, sf):
-    return stats.by_season(base(spark, sf))
+    return stats.by_season(stored_base(spark, sf))
 
 
 @query
 def by_year(spark, sf):
-    return stats.by_group(base(spark, sf), ["year"], "total_kwh")
+    return stats.by_group(stored_base(spark, sf), ["year"], "total_kwh")
 
 
 @query
@@ -422,7 +427,7 @@ def moments_adjusted(spark, sf):
 
 @query
 def tukey_outliers(spark, sf):
-    return stats.tukey_outliers(base(spark, sf).select("meter_id", "month_start", "total_kwh"), "total_kwh", ["meter_id"])
+    return stats.tukey_outliers(stored_base(spark, sf).select("meter_id", "month_start", "total_kwh"), "total_kwh", ["meter_id"])
 
 
 @query
@@ -453,12 +458,12 @@ def histogram(spark, sf):
 
 @query
 def monthly_histogram(spark, sf):
-    return stats.histogram(base(spark, sf), "total_kwh", 15)
+    return stats.histogram(stored_base(spark, sf), "total_kwh", 15)
 
 
 @query
 def boxplot_stats(spark, sf):
-    return stats.boxplot_stats(base(spark, sf), "total_kwh", ["season"])
+    return stats.boxplot_stats(stored_base(spark, sf), "total_kwh", ["season"])
 
 
 @query
@@ -764,7 +769,7 @@ def anderson_darling(spark, sf):
 
 @query
 def qq_points(spark, sf):
-    return diagnostics.qq_points(base(spark, sf), "offpeak_kwh", ["meter_id", "month_start"])
+    return diagnostics.qq_points(stored_base(spark, sf), "offpeak_kwh", ["meter_id", "month_start"])
 
 
 @query

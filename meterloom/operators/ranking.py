@@ -3,7 +3,8 @@
 ``Window.partitionBy(model).orderBy(x)`` puts all rows of a model into one task, however large. Here the value
 range of every group is cut at approximate quantiles into buckets of similar size, buckets are counted, and the
 position of a row is (rows in earlier buckets) + (position inside its bucket). The approximate quantiles only
-decide where the cuts lie; the positions are exact.
+decide where the cuts lie; the positions are exact. The input is read about three times (cuts, counts, rows), so
+pass a stored table rather than a long chain.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.operators.joins import attach
+from meterloom.operators.joins import attach, settle
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -53,7 +54,7 @@ def cumulative_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
     placed = counts.withColumn("_before", F.coalesce(F.sum("n_at").over(in_bucket), F.lit(0)))
     offsets = _offsets(counts.groupBy(*by, "_bucket").agg(F.sum("n_at").alias("_n")), by, ["_bucket"])
     return (
-        _join_offsets(placed, offsets, by, ["_bucket"])
+        placed.join(offsets, [*by, "_bucket"])
         .withColumn("n_below", F.col("_before") + F.col("_offset"))
         .drop("_bucket", "_before", "_offset")
     )
@@ -71,10 +72,6 @@ def _offsets(sizes: DataFrame, by: list[str], buckets: list[str]) -> DataFrame:
     )
 
 
-def _join_offsets(df, offsets, by, buckets):
-    return df.join(offsets, [*by, *buckets])
-
-
 def quantiles(df: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per entry of ``fractions``."""
     counts = cumulative_counts(df, by, value)
@@ -101,27 +98,29 @@ def exact_rank(df: DataFrame, by: list[str], value: str, ties: list[str], name:
     key = F.col(value) if dict(df.dtypes)[value] != "date" else F.unix_date(F.col(value))
     keyed = rows.withColumn("_key", key.cast("double"))
     cuts = keyed.groupBy(*by).agg(_cuts(F.col("_key"), buckets).alias("_cuts"))
-    frequent = (
+    placed = attach(keyed, cuts, by).withColumn("_bucket", _bucket_of(F.col("_key"), "_cuts", buckets))
+    # A value on which several cuts fall sits at the upper end of its bucket, (previous cut, cut]. It gets
+    # sub-buckets of its own, which sort behind the rest of the bucket.
+    frequent, few = settle(
         cuts.select(*by, F.explode("_cuts").alias("_key")).groupBy(*by, "_key").count().where("count > 1").drop("count")
     )
-    tie_cuts = (
-        attach(keyed.select(*by, "_key", ties[0]), frequent, [*by, "_key"])
-        .groupBy(*by, "_key")
-        .agg(_cuts(F.col(ties[0]).cast("double"), buckets).alias("_tie_cuts"))
-    )
-    placed = attach(keyed, cuts, by).withColumn("_bucket", _bucket_of(F.col("_key"), "_cuts", buckets))
-    # a bucket is (previous cut, cut]; the frequent value at its upper end gets sub-buckets behind the others
-    placed = attach(placed, tie_cuts, [*by, "_key"], "left").withColumn(
-        "_sub",
-        F.when(F.col("_tie_cuts").isNull(), -1).otherwise(
-            _bucket_of(F.col(ties[0]).cast("double"), "_tie_cuts", buckets)
-        ),
-    ).drop("_cuts", "_tie_cuts")
+    if few and frequent.isEmpty():
+        placed = placed.withColumn("_sub", F.lit(-1))
+    else:
+        frequent = F.broadcast(frequent) if few else frequent
+        tie = F.col(ties[0]).cast("double")
+        tie_cuts = (
+            keyed.join(frequent, [*by, "_key"]).groupBy(*by, "_key").agg(_cuts(tie, buckets).alias("_tie_cuts"))
+        )
+        sub = F.when(F.col("_tie_cuts").isNull(), -1).otherwise(_bucket_of(tie, "_tie_cuts", buckets))
+        placed = attach(placed, tie_cuts, [*by, "_key"], "left").withColumn("_sub", sub).drop("_tie_cuts")
+    placed = placed.drop("_cuts")
     place = ["_bucket", "_sub"]
     inside = W.partitionBy(*by, *place).orderBy(value, *ties)
     offsets = _offsets(placed.groupBy(*by, *place).agg(F.count(F.lit(1)).alias("_n")), by, place)
     return (
-        _join_offsets(placed.withColumn("_inside", F.row_number().over(inside)), offsets, by, place)
+        placed.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, [*by, *place])
         .withColumn(name, F.col("_offset") + F.col("_inside"))
         .drop("_key", "_bucket", "_sub", "_inside", "_offset")
     )

@@ -63,10 +63,11 @@ class Training:
 def prepare(scenario_rows: DataFrame, test_share: float = 0.2) -> Training:
     """Split by time, fit the preparation on train rows, and sum up products per fold.
 
-    The split rows are checkpointed: each fit below reads them again, and none should run the chain from the
-    raw registers to get them.
+    The scenario rows and the split rows are checkpointed: the exact order and each fit below read them again,
+    and none should run the chain from the raw registers to get them.
     """
-    rows = checkpointed(features.temporal_split(features.complete_rows(scenario_rows), test_share))
+    stored = checkpointed(features.complete_rows(scenario_rows))
+    rows = checkpointed(features.temporal_split(stored, test_share))
     train = rows.where(F.col("split") == "train")
     prep = features.fit_preparation(train)
     matrix = features.model_matrix(rows, prep)
@@ -104,13 +105,10 @@ def linear_cv(t: Training, splits: int = 5) -> DataFrame:
     ordered = features.ts_folds(t.train.withColumn("n_total", F.lit(n_train).cast("bigint")), splits)
     sums = models.product_sums(ordered, "fold")
     only = {k: models.select_features(m, [at]) for k, m in sums.items()}
-    rows = models.time_series_cv(only, {"linear_baseline": models.fit_ols}) + models.time_series_cv(
-        sums,
-        {
-            "linear_multiple": models.fit_ols,
-            "ridge": lambda m: models.fit_ridge(m, t.alphas["ridge"]),
-            "lasso": lambda m: models.fit_lasso(m, t.alphas["lasso"]),
-        },
+    ols = lambda windows: [models.fit_ols(m) for m in windows]
+    tuned = lambda kind: lambda windows: models.FITTERS[kind]([(m, t.alphas[kind]) for m in windows])
+    rows = models.time_series_cv(only, {"linear_baseline": ols}) + models.time_series_cv(
+        sums, {"linear_multiple": ols, "ridge": tuned("ridge"), "lasso": tuned("lasso")}
     )
     spark = t.matrix.sparkSession
     names = ["mean_rmse", "std_rmse", "min_rmse", "max_rmse", "ci_low", "ci_high"]
