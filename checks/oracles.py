@@ -450,7 +450,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY model, split ORDER BY yhat, samp
              count(*) OVER (PARTITION BY model, split) AS n FROM residuals) AS ranked GROUP BY 1, 2""",
 )
 view("spread", "SELECT *, CASE WHEN var_low > 0 THEN var_high / var_low ELSE 1.0 END AS variance_ratio FROM thirds")
-O["variance_ratio"] = oracle("SELECT * FROM spread", "var_low var_high variance_ratio", 2)
+O["variance_ratio"] = oracle(
+    "SELECT model, split, round(var_low, 0) AS var_low, round(var_high, 0) AS var_high, variance_ratio FROM spread",
+    "var_low var_high variance_ratio",
+)
 O["residual_findings"] = oracle(
     """
 SELECT model, split, c.check_name AS "check",
@@ -786,7 +789,7 @@ O["abs_error_percentiles"] = oracle(
     + " FROM residuals GROUP BY 1, 2",
     "p50 p75 p90 p95",
 )
-O["model_metrics"] = oracle("SELECT * FROM metrics", "r2 mae mse rmse rmse_mae_ratio max_error mean_y")
+O["model_metrics"] = oracle("SELECT * REPLACE (round(mse, 0) AS mse) FROM metrics", "r2 mae mse rmse rmse_mae_ratio max_error mean_y")
 O["model_mape"] = oracle("SELECT model, split, avg(abs(pct_error)) AS mape FROM residuals GROUP BY 1, 2", "mape")
 O["model_spread"] = oracle(
     """

@@ -526,7 +526,7 @@ def abs_error_percentiles(spark, sf):
 
 @query
 def model_metrics(spark, sf):
-    return evaluate.model_metrics(src.predictions(spark, sf))
+    return evaluate.model_metrics(src.predictions(spark, sf)).withColumn("mse", F.round("mse", 0))
 
 
 @query
@@ -556,7 +556,8 @@ def residual_stats(spark, sf):
 
 @query
 def variance_ratio(spark, sf):
-    return finish(diagnostics.variance_ratio(src.predictions(spark, sf)), 2)
+    v = diagnostics.variance_ratio(src.predictions(spark, sf))
+    return v.withColumns({"var_low": F.round("var_low", 0), "var_high": F.round("var_high", 0)})
 
 
 @query

@@ -15,7 +15,7 @@ from meterloom.functions import labels
 from meterloom.functions.numeric import outside, ratio, tukey_high, tukey_low
 from meterloom.operators.evaluate import GROUP, with_residuals
 from meterloom.operators.joins import attach
-from meterloom.operators.ranking import cumulative_counts, equal_parts, exact_rank, quantiles
+from meterloom.operators.ranking import cumulative_counts, equal_parts, exact_parts, exact_rank, quantiles
 from meterloom.operators.stats import QUARTILES
 
 
@@ -57,12 +57,12 @@ def jarque_bera(stats: DataFrame) -> DataFrame:
 def variance_ratio(predictions: DataFrame, by=GROUP) -> DataFrame:
     """Residual variance of the top third of predictions over that of the bottom third."""
     by = list(by)
-    ranked = exact_rank(with_residuals(predictions), by, "yhat", ["sample_id"])
-    third = F.floor(F.col("n_total") / 3)
-    low, high = F.col("rank") <= third, F.col("rank") > F.col("n_total") - third
-    spread = ranked.groupBy(*by).agg(
-        F.var_pop(F.when(low, F.col("residual"))).alias("var_low"),
-        F.var_pop(F.when(high, F.col("residual"))).alias("var_high"),
+    third = lambda total: F.floor(total / 3)
+    part = lambda rank, total: F.when(rank <= third(total), -1).when(rank > total - third(total), 1).otherwise(0)
+    parted = exact_parts(with_residuals(predictions), by, "yhat", ["sample_id"], part, "part")
+    spread = parted.groupBy(*by).agg(
+        F.var_pop(F.when(F.col("part") == -1, F.col("residual"))).alias("var_low"),
+        F.var_pop(F.when(F.col("part") == 1, F.col("residual"))).alias("var_high"),
     )
     return spread.withColumn(
         "variance_ratio", F.when(F.col("var_low") > 0, F.col("var_high") / F.col("var_low")).otherwise(1.0)
@@ -98,9 +98,9 @@ def residual_findings(predictions: DataFrame, by=GROUP) -> DataFrame:
 def residual_trend(predictions: DataFrame, bins: int = 50, by=GROUP) -> DataFrame:
     """Mean residual and prediction in runs of equally many rows along the prediction axis."""
     by = list(by)
-    ranked = exact_rank(with_residuals(predictions), by, "yhat", ["sample_id"])
+    part = lambda rank, total: equal_parts(rank, total, bins).cast("int")
     return (
-        ranked.withColumn("bin", equal_parts(F.col("rank"), F.col("n_total"), bins).cast("int"))
+        exact_parts(with_residuals(predictions), by, "yhat", ["sample_id"], part, "bin")
         .groupBy(*by, "bin")
         .agg(F.avg("yhat").alias("mean_yhat"), F.avg("residual").alias("mean_residual"), F.count(F.lit(1)).alias("n"))
     )

@@ -1,24 +1,32 @@
-"""Exact global order without pulling a group into one task.
+"""Exact order statistics without pulling a group into one task.
 
 ``Window.partitionBy(model).orderBy(x)`` puts all rows of a model into one task, however large. Here the value
-range of every group is cut at approximate quantiles into buckets of similar size, buckets are counted, and the
-position of a row is (rows in earlier buckets) + (position inside its bucket). The approximate quantiles only
-decide where the cuts lie; the positions are exact. The input is read about three times (cuts, counts, rows), so
-pass a stored table rather than a long chain.
+range of every group is cut at approximate quantiles into buckets of similar size, and the rows of each bucket
+are counted. The approximate quantiles only decide where the cuts lie; everything derived is exact:
+
+* a quantile needs the values of just those buckets that contain its position (``quantiles``),
+* a label that is constant over runs of positions needs sorting only where a run ends (``exact_parts``),
+* a position is (rows in earlier buckets) + (position inside the bucket) (``exact_rank``).
+
+The input is read two or three times, mostly without a shuffle, so pass a stored table rather than a long chain.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterloom.operators.joins import attach, settle
 
+ROWS_PER_TASK = 250_000
+
 
 def bucket_count(df: DataFrame) -> int:
-    """As many buckets as shuffle tasks: the knob with which a job is sized to its data."""
-    return max(16, min(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """At least one bucket per shuffle task: the knob with which a job is sized to its data."""
+    return max(256, min(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _cuts(value: Column, buckets: int) -> Column:
@@ -27,13 +35,36 @@ def _cuts(value: Column, buckets: int) -> Column:
 
 
 def _bucket_of(value: Column, cuts: str, buckets: int) -> Column:
-    """How many cuts lie below ``value``, by binary search; a missing cut list gives 0."""
-    steps = [1 << i for i in reversed(range(max(1, buckets.bit_length())))]
-    return F.aggregate(
+    """How many cuts lie below ``value``, by binary search; a missing cut list gives 0.
+
+    Never NULL, so that joins on it add no filter and both uses of an exchange stay identical.
+    """
+    steps = [1 << i for i in reversed(range(buckets.bit_length()))]
+    found = F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at),
     )
+    return F.coalesce(found, F.lit(0))
+
+
+def _offsets(sizes: DataFrame, by: list[str], place: list[str]) -> DataFrame:
+    """Add the rows in earlier buckets and in all. ``sizes`` has one row per bucket, so the windows are small."""
+    group = W.partitionBy(*by)
+    earlier = group.orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
+    return sizes.select(
+        *by,
+        *place,
+        "_n",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(group).alias("n_total"),
+    )
+
+
+def _with_buckets(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    buckets = bucket_count(df)
+    cuts = df.groupBy(*by).agg(_cuts(F.col(value), buckets).alias("_cuts"))
+    return attach(df, cuts, by).withColumn("_bucket", _bucket_of(F.col(value), "_cuts", buckets)).drop("_cuts")
 
 
 def cumulative_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -41,89 +72,127 @@ def cumulative_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
 
     Equal values collapse before the shuffle, so a value that fills half a group costs nothing extra.
     """
-    buckets = bucket_count(df)
     rows = df.select(*by, value).where(F.col(value).isNotNull())
-    cuts = rows.groupBy(*by).agg(_cuts(F.col(value), buckets).alias("_cuts"))
-    counts = (
-        attach(rows, cuts, by)
-        .withColumn("_bucket", _bucket_of(F.col(value), "_cuts", buckets))
-        .groupBy(*by, "_bucket", value)
-        .agg(F.count(F.lit(1)).alias("n_at"))
-    )
-    in_bucket = W.partitionBy(*by, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    placed = counts.withColumn("_before", F.coalesce(F.sum("n_at").over(in_bucket), F.lit(0)))
-    offsets = _offsets(counts.groupBy(*by, "_bucket").agg(F.sum("n_at").alias("_n")), by, ["_bucket"])
-    return (
-        placed.join(offsets, [*by, "_bucket"])
-        .withColumn("n_below", F.col("_before") + F.col("_offset"))
-        .drop("_bucket", "_before", "_offset")
-    )
+    key = [*by, "_bucket"]
+    counts = _with_buckets(rows, by, value).groupBy(*key, value).agg(F.count(F.lit(1)).alias("n_at"))
+    return _place_counts(counts, by, value, _offsets(counts.groupBy(*key).agg(F.sum("n_at").alias("_n")), by, ["_bucket"]))
 
 
-def _offsets(sizes: DataFrame, by: list[str], buckets: list[str]) -> DataFrame:
-    """Rows in earlier buckets and in all; a group has at most ``bucket_count`` squared rows here."""
-    group = W.partitionBy(*by)
-    earlier = group.orderBy(*buckets).rowsBetween(W.unboundedPreceding, -1)
-    return sizes.select(
-        *by,
-        *buckets,
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(group).alias("n_total"),
+def _place_counts(counts: DataFrame, by: list[str], value: str, offsets: DataFrame) -> DataFrame:
+    key = [*by, "_bucket"]
+    smaller = W.partitionBy(*key).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    placed = counts.withColumn("_before", F.coalesce(F.sum("n_at").over(smaller), F.lit(0)))
+    return (
+        placed.join(offsets, key)
+        .withColumn("n_below", F.col("_before") + F.col("_offset"))
+        .drop("_bucket", "_before", "_offset", "_n")
     )
 
 
 def quantiles(df: DataFrame, by: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per entry of ``fractions``."""
-    counts = cumulative_counts(df, by, value)
-    out = {}
-    for name, p in fractions.items():
-        at = F.lit(float(p)) * (F.col("n_total") - 1)
-        for side, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            holds = (F.col("n_below") <= index) & (index < F.col("n_below") + F.col("n_at"))
-            out[f"_{name}_{side}"] = F.max(F.when(holds, F.col(value)))
-        out[f"_{name}_w"] = F.max(at - F.floor(at))
-    wide = counts.groupBy(*by).agg(*[c.alias(n) for n, c in out.items()])
+    """Exact quantiles with linear interpolation, one column per entry of ``fractions``.
+
+    After the bucket sizes are known, only rows of the buckets that contain a wanted position are shuffled.
+    """
+    rows = _with_buckets(df.select(*by, value).where(F.col(value).isNotNull()), by, value)
+    key = [*by, "_bucket"]
+    offsets = _offsets(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), by, ["_bucket"])
+    at = {name: F.lit(float(p)) * (F.col("n_total") - 1) for name, p in fractions.items()}
+    index = {(n, s): f(a) for n, a in at.items() for s, f in (("lo", F.floor), ("hi", F.ceil))}
+    inside = [(F.col("_offset") <= i) & (i < F.col("_offset") + F.col("_n")) for i in index.values()]
+    wanted = offsets.where(F.exists(F.array(*inside), lambda hit: hit))
+    counts = (
+        attach(rows, wanted, key).groupBy(*key, "_offset", "n_total", value).agg(F.count(F.lit(1)).alias("n_at"))
+    )
+    smaller = W.partitionBy(*key).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    below = F.col("_offset") + F.coalesce(F.sum("n_at").over(smaller), F.lit(0))
+    placed = counts.withColumn("_below", below)
+    holds = lambda i: (F.col("_below") <= i) & (i < F.col("_below") + F.col("n_at"))
+    wide = placed.groupBy(*by).agg(
+        *[F.max(F.when(holds(i), F.col(value))).alias(f"_{n}_{s}") for (n, s), i in index.items()],
+        *[F.max(a - F.floor(a)).alias(f"_{n}_w") for n, a in at.items()],
+    )
     value_at = lambda n: F.col(f"_{n}_lo") + F.col(f"_{n}_w") * (F.col(f"_{n}_hi") - F.col(f"_{n}_lo"))
     return wide.select(*by, *[value_at(n).alias(n) for n in fractions])
 
 
-def exact_rank(df: DataFrame, by: list[str], value: str, ties: list[str], name: str = "rank") -> DataFrame:
-    """Add ``name`` (1-based position by ``value`` then ``ties`` inside each group) and ``n_total``.
+def _placed(df: DataFrame, by: list[str], value: str, ties: list[str], rows_per_task: int):
+    """Rows with their bucket, and the offsets of the buckets.
 
-    ``ties`` must make the order total and start with a numeric column: values so frequent that several cuts
-    fall on them are cut again along it, so a value held by a third of all rows still spreads over many tasks.
+    A value held by more rows than one task should sort is cut again along the first tie column: it sits at the
+    upper end of its bucket, (previous cut, cut], and its sub-buckets sort behind the rest of the bucket.
     """
     buckets = bucket_count(df)
-    rows = df.where(F.col(value).isNotNull())
-    key = F.col(value) if dict(df.dtypes)[value] != "date" else F.unix_date(F.col(value))
-    keyed = rows.withColumn("_key", key.cast("double"))
-    cuts = keyed.groupBy(*by).agg(_cuts(F.col("_key"), buckets).alias("_cuts"))
-    placed = attach(keyed, cuts, by).withColumn("_bucket", _bucket_of(F.col("_key"), "_cuts", buckets))
-    # A value on which several cuts fall sits at the upper end of its bucket, (previous cut, cut]. It gets
-    # sub-buckets of its own, which sort behind the rest of the bucket.
-    frequent, few = settle(
-        cuts.select(*by, F.explode("_cuts").alias("_key")).groupBy(*by, "_key").count().where("count > 1").drop("count")
-    )
+    key = F.unix_date(F.col(value)) if dict(df.dtypes)[value] == "date" else F.col(value)
+    keyed = df.where(F.col(value).isNotNull()).withColumn("_key", key.cast("double"))
+    cuts = keyed.groupBy(*by).agg(_cuts(F.col("_key"), buckets).alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    cuts, _ = settle(cuts)
+    placed = attach(keyed, cuts.drop("_n"), by).withColumn("_bucket", _bucket_of(F.col("_key"), "_cuts", buckets))
+    repeated = cuts.select(*by, "_n", F.explode("_cuts").alias("_key")).groupBy(*by, "_n", "_key").count()
+    held = (F.col("count") - 1) * F.col("_n") / buckets
+    frequent, few = settle(repeated.where(held > rows_per_task).select(*by, "_key"))
     if few and frequent.isEmpty():
         placed = placed.withColumn("_sub", F.lit(-1))
     else:
-        frequent = F.broadcast(frequent) if few else frequent
         tie = F.col(ties[0]).cast("double")
         tie_cuts = (
-            keyed.join(frequent, [*by, "_key"]).groupBy(*by, "_key").agg(_cuts(tie, buckets).alias("_tie_cuts"))
+            keyed.join(F.broadcast(frequent) if few else frequent, [*by, "_key"])
+            .groupBy(*by, "_key")
+            .agg(_cuts(tie, buckets).alias("_tie_cuts"))
         )
         sub = F.when(F.col("_tie_cuts").isNull(), -1).otherwise(_bucket_of(tie, "_tie_cuts", buckets))
         placed = attach(placed, tie_cuts, [*by, "_key"], "left").withColumn("_sub", sub).drop("_tie_cuts")
-    placed = placed.drop("_cuts")
+    placed = placed.drop("_cuts", "_key")
     place = ["_bucket", "_sub"]
-    inside = W.partitionBy(*by, *place).orderBy(value, *ties)
-    offsets = _offsets(placed.groupBy(*by, *place).agg(F.count(F.lit(1)).alias("_n")), by, place)
+    return placed, _offsets(placed.groupBy(*by, *place).agg(F.count(F.lit(1)).alias("_n")), by, place), place
+
+
+def exact_rank(
+    df: DataFrame, by: list[str], value: str, ties: list[str], name: str = "rank", rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Add ``name`` (1-based position by ``value`` then ``ties`` inside each group) and ``n_total``.
+
+    ``ties`` must make the order total and start with a numeric column.
+    """
+    placed, offsets, place = _placed(df, by, value, ties, rows_per_task)
+    inside = F.row_number().over(W.partitionBy(*by, *place).orderBy(value, *ties))
     return (
-        placed.withColumn("_inside", F.row_number().over(inside))
+        placed.withColumn("_inside", inside)
         .join(offsets, [*by, *place])
         .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_key", "_bucket", "_sub", "_inside", "_offset")
+        .drop(*place, "_inside", "_offset", "_n")
+    )
+
+
+def exact_parts(
+    df: DataFrame,
+    by: list[str],
+    value: str,
+    ties: list[str],
+    part: Callable[[Column, Column], Column],
+    name: str,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Add ``name`` = ``part(position, n_total)`` for a ``part`` that is constant over runs of positions.
+
+    A bucket that lies within one run is labelled as a whole. Only buckets in which a run ends are shuffled and
+    numbered, a few per cent of the rows when there are few runs.
+    """
+    placed, offsets, place = _placed(df, by, value, ties, rows_per_task)
+    total = F.col("n_total")
+    ends = offsets.withColumns(
+        {"_first": part(F.col("_offset") + 1, total), "_last": part(F.col("_offset") + F.col("_n"), total)}
+    )
+    labelled = attach(placed, ends, [*by, *place])
+    whole = labelled.where(F.col("_first") == F.col("_last")).withColumn(name, F.col("_first"))
+    inside = F.row_number().over(W.partitionBy(*by, *place).orderBy(value, *ties))
+    cut = (
+        labelled.where(F.col("_first") != F.col("_last"))
+        .withColumn("_inside", inside)
+        .withColumn(name, part(F.col("_offset") + F.col("_inside"), total))
+        .drop("_inside")
     )
+    return whole.unionByName(cut).drop(*place, "_first", "_last", "_offset", "_n")
 
 
 def equal_parts(rank: Column, total: Column, parts: int) -> Column:

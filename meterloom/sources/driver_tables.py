@@ -15,6 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over all cores when a file gives fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def readings(spark: SparkSession, sf_dir: str, meter: Column | None = None) -> DataFrame:
     """Cumulative registers that wrap at 2000, with nulls and duplicate dates.
 
@@ -87,7 +93,8 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "polynomial_deg2": y * 1.02 - 1500.0,
     }
     rows = F.array(*[F.struct(F.lit(m).alias("model"), v.alias("yhat")) for m, v in guesses.items()])
-    return table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+    return orders.select(
         F.explode(rows).alias("p"),
         F.when(F.col("o_orderkey") % 5 == 0, "test").otherwise("train").alias("split"),
         F.col("o_orderkey").alias("sample_id"),
