@@ -16,6 +16,24 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def missing_as_null(df):
+    """NaN -> NULL in every floating column of a source."""
+    kinds = ("double", "float")
+    return df.select(
+        *[
+            nan_to_null(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() in kinds else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        ]
+    )
+
+
+def pearson(a: str, b: str) -> Column:
+    """Aggregate: correlation over rows that have both values; NULL if one is constant (``corr`` raises then)."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
+    return ratio(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def share(flag: Column) -> Column:
     """Aggregate: percentage of rows for which ``flag`` holds."""
     return ratio(F.count_if(flag) * F.lit(100.0), F.count(F.lit(1)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterloom.functions import labels
-from meterloom.functions.numeric import outside, ratio, tukey_high, tukey_low
+from meterloom.functions.numeric import outside, pearson, ratio, tukey_high, tukey_low
 from meterloom.operators.evaluate import GROUP, with_residuals
 from meterloom.operators.joins import attach
 from meterloom.operators.ranking import cumulative_counts, equal_parts, exact_parts, exact_rank, quantiles
@@ -124,6 +124,8 @@ def residual_smooth(predictions: DataFrame, by=GROUP, block: int = 50_000) -> Da
     ranked = exact_rank(with_residuals(predictions), by, "yhat", ["sample_id"]).where("n_total > 50")
     half = 25  # above 50 rows the window is always the full 51 points
     window = 2 * half + 1
+    if block < window:
+        raise ValueError("a block must hold a full window")
     weights = cubic_weights(window)
     position = F.col("rank") - 1
     blocks = F.array_distinct(
@@ -215,6 +217,6 @@ def qq_points(df: DataFrame, value: str, ties: list[str], by: list[str] = []) ->
     line = points.groupBy(*by).agg(
         F.regr_slope(value, "theoretical").alias("slope"),
         F.regr_intercept(value, "theoretical").alias("intercept"),
-        F.corr(value, "theoretical").alias("r"),
+        pearson(value, "theoretical").alias("r"),
     )
     return attach(points, line, by).withColumn("fitted", F.col("intercept") + F.col("slope") * F.col("theoretical"))

@@ -138,9 +138,10 @@ def comparison_with_times(metrics: DataFrame, times: DataFrame, by_id: bool = Fa
     if by_id:
         joined = metrics.join(times.select("model", "training_seconds"), "model", "left")
         return rank_models(joined)
-    name = F.replace(F.lower("model_name"), F.lit(" "), F.lit("_"))
+    name = F.replace(F.lower("model_name"), F.lit(" "), F.lit("_")).alias("_name")
+    named, _ = settle(times.select("position", "training_seconds", name))
     matched = (
-        metrics.join(settle(times.withColumn("_name", name))[0], F.contains(F.col("_name"), F.col("model")), "left")
+        metrics.join(named, F.contains(F.col("_name"), F.col("model")), "left")
         .groupBy(*metrics.columns)
         .agg(F.min(F.struct("position", "training_seconds")).alias("_t"))
         .select(*metrics.columns, F.col("_t.training_seconds").alias("training_seconds"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.calendar import SEASONS_PT
 from meterloom.functions.labels import correlation_direction, correlation_strength, skew_label
-from meterloom.functions.numeric import adjusted_kurtosis, adjusted_skew, outside, ratio, tukey_high, tukey_low
+from meterloom.functions.numeric import adjusted_kurtosis, adjusted_skew, outside, pearson, ratio, tukey_high, tukey_low
 from meterloom.operators.joins import attach
 from meterloom.operators.ranking import quantiles
 from meterloom.operators.weather import in_season_order
@@ -108,13 +108,12 @@ def boxplot_stats(df: DataFrame, value: str, by: list[str]) -> DataFrame:
 def correlation_pairs(df: DataFrame, columns: list[str], by: list[str] = []) -> DataFrame:
     """Pearson correlation of every pair (lower triangle) from one aggregate; NULL for constant columns."""
     pairs = list(combinations(columns, 2))
-    wide = df.groupBy(*by).agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.groupBy(*by).agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(
         *[F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), F.col(f"r{i}").alias("r"))
           for i, (a, b) in enumerate(pairs)]
     )
-    out = wide.select(*by, F.inline(rows))
-    return out.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+    return wide.select(*by, F.inline(rows))
 
 
 def near_perfect_pairs(pairs: DataFrame) -> DataFrame:
@@ -182,7 +181,7 @@ def normal_overlay(df: DataFrame, value: str, by: list[str] = [], points: int =
 
 def trend_line(df: DataFrame, x: str, y: str, by: list[str] = []) -> DataFrame:
     return df.groupBy(*by).agg(
-        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), F.corr(x, y).alias("r"),
+        F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"), pearson(x, y).alias("r"),
         F.count(F.lit(1)).alias("n"),
     )
 

@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 
 from meterloom import schemas
 from meterloom.functions.calendar import month_from_text
+from meterloom.functions.numeric import missing_as_null
 
 
 def _read_csv(spark, path, schema, sep, mode):
-    return (
+    return missing_as_null(
         spark.read.schema(schema)
         .option("sep", sep)
         .option("header", True)
@@ -48,7 +49,7 @@ def read_household_csv(spark: SparkSession, path: str, header: dict[str, str], k
         else:
             out.append(F.lit(None).cast(kind).alias(ours))
     extra = [F.col(f"`{c}`") for c in raw.columns if c not in header]
-    return raw.select(*out, *extra)
+    return missing_as_null(raw.select(*out, *extra))
 
 
 def read_monthly_csv(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
