@@ -167,8 +167,7 @@ def weather_derive(spark, sf):
 @query
 def bill_breakdown(spark, sf):
     m = monthly.monthly_consumption(series.clean_daily(src.readings(spark, sf)))
-    priced = billing.bill(F.col("offpeak_kwh"), F.col("onpeak_kwh"), F.col("days_in_month"))
-    return m.select("meter_id", "month_start", priced.alias("b")).select("meter_id", "month_start", "b.*")
+    return billing.add_bill(m, "b", breakdown=True).select("meter_id", "month_start", "b.*")
 
 
 @query

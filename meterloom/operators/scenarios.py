@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.functions.billing import Tariff, bill
+from meterloom.functions.billing import Tariff, add_bill
 from meterloom.functions.calendar import days_in_month, month_start
 from meterloom.operators import weather as weather_ops
 from meterloom.schemas import CUTOFF_DAYS, TRAILING_ROWS
@@ -92,7 +92,7 @@ def partial_month_scenarios(
         rows = weather_ops.with_season_defaults(rows)
     else:
         rows = weather_ops.with_range_means(rows.join(stations, "meter_id", "left"), weather)
-    projected = bill(F.col("cum_offpeak_kwh"), F.col("cum_onpeak_kwh"), F.col("days_elapsed"), tariff)
+    rows = add_bill(rows, "projected_bill", "cum_offpeak_kwh", "cum_onpeak_kwh", "days_elapsed", tariff)
     return rows.select(
         "meter_id",
         "month_start",
@@ -114,6 +114,6 @@ def partial_month_scenarios(
         "temperature",
         "humidity",
         F.lit(0).alias("occupancy"),
-        projected["bill"].alias("projected_bill"),
+        "projected_bill",
         "bill",
     )

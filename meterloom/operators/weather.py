@@ -144,12 +144,14 @@ def with_range_means(scenarios: DataFrame, weather: DataFrame) -> DataFrame:
     joined = scenarios.join(month_days(weather), ["station_id", "month_start"], "left")
     in_range = F.filter("_days", lambda d: d["date"].between(F.col("first_date"), F.col("simulation_date")))
     cut = joined.withColumn("_days", in_range)
-    total = lambda f: F.aggregate("_days", F.lit(0.0), lambda a, d: a + F.coalesce(d[f], F.lit(0)))
+    zero = F.struct(*[F.lit(0.0).alias(f) for f in ("t", "nt", "h", "nh")])
+    add = lambda a, d: F.struct(*[(a[f] + F.coalesce(d[f], F.lit(0))).alias(f) for f in ("t", "nt", "h", "nh")])
     found = F.size("_days") > 0
-    mean = lambda f, default: F.when(found, ratio(total(f), total(f"n{f}"))).otherwise(default)
-    return cut.withColumns(
+    summed = cut.select(*[c for c in cut.columns if c != "_days"], found.alias("_found"), F.aggregate("_days", zero, add).alias("_sum"))
+    mean = lambda f, default: F.when(F.col("_found"), ratio(F.col(f"_sum.{f}"), F.col(f"_sum.n{f}"))).otherwise(default)
+    return summed.withColumns(
         {"temperature": mean("t", DEFAULT_TEMPERATURE), "humidity": mean("h", DEFAULT_HUMIDITY)}
-    ).drop("_days")
+    ).drop("_found", "_sum")
 
 
 def with_season_defaults(df: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ def local_session(app: str = "meterloom", cpus: int | str = "*", shuffle_partiti
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # windows cost more CPU than bytes: do not merge small shuffle partitions down to a few tasks
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from meterloom.functions.billing import Tariff, bill, with_bill
+from meterloom.functions.billing import Tariff, add_bill, with_bill
 
 # off-peak, on-peak, days -> bill, energy, power, audiovisual, exploitation, special
 GOLDEN = [
@@ -22,7 +22,7 @@ def priced(spark):
     df = spark.createDataFrame(
         [(i, float(a), float(b), d) for i, (a, b, d, *_) in enumerate(GOLDEN)], "i int, off double, onp double, days int"
     )
-    return df.select("i", bill(F.col("off"), F.col("onp"), F.col("days")).alias("b")).orderBy("i").collect()
+    return add_bill(df, "b", "off", "onp", "days", breakdown=True).orderBy("i").collect()
 
 
 @pytest.mark.parametrize("i", range(len(GOLDEN)))
@@ -37,8 +37,7 @@ def test_tariff_columns_and_existing_bill(spark):
     df = spark.createDataFrame(
         [(100.0, 50.0, 30, 0.0), (100.0, 50.0, 30, 1.8)], "offpeak_kwh double, onpeak_kwh double, days_in_month int, d double"
     )
-    per_plan = df.select(bill(F.col("offpeak_kwh"), F.col("onpeak_kwh"), F.col("days_in_month"), Tariff(discount=F.col("d")))["bill"])
-    a, b = [r[0] for r in per_plan.collect()]
+    a, b = [r.bill for r in add_bill(df, tariff=Tariff(discount=F.col("d"))).collect()]
     assert a - b == pytest.approx(1.8 * 1.06)
     kept = with_bill(df.withColumn("bill", F.lit(1.0)))
     assert {r.bill for r in kept.collect()} == {1.0}
