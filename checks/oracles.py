@@ -857,6 +857,19 @@ SELECT o_orderpriority, 'yhat', 0, count(*) FILTER (WHERE o_orderstatus = 'P'),
 FROM orders GROUP BY 1"""
 )
 
+# streaming
+view(
+    "event_sums",
+    """
+SELECT user_id AS meter_id, CAST(date_trunc('month', ts) AS DATE) AS month_start, count(DISTINCT CAST(ts AS DATE)) AS days_elapsed,
+       coalesce(sum(value) FILTER (WHERE event_type IN ('purchase', 'signup')), 0) AS cum_offpeak_kwh,
+       coalesce(sum(value) FILTER (WHERE event_type NOT IN ('purchase', 'signup')), 0) AS cum_onpeak_kwh
+FROM events GROUP BY 1, 2""",
+)
+O["stream_month_to_date"] = oracle(
+    f"SELECT *, {PROJECTED} AS projected_bill FROM event_sums", "cum_offpeak_kwh cum_onpeak_kwh projected_bill"
+)
+
 # features and folds
 O["temporal_split"] = oracle("SELECT meter_id, month_start, cutoff_day, sample_id, split FROM split_rows")
 O["ts_folds"] = oracle(

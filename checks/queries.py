@@ -16,6 +16,7 @@ from meterloom.schemas import NUMERIC_FEATURES
 from meterloom.session import checkpoint_dir, checkpointed
 from meterloom.sources import driver_tables as src
 from meterloom.sources import files
+from meterloom.streaming import month_to_date
 
 QUERIES = {}
 
@@ -667,6 +668,26 @@ def baseline_ols(spark, sf):
     return models.baseline_ols(split_rows(spark, sf), "cum_total_kwh", "bill")
 
 
+# ---- streaming ---------------------------------------------------------------------------------------------------
+
+
+@query
+def stream_month_to_date(spark, sf):
+    """The event table as a file stream, processed to its end, then summed up per user and month."""
+    schema = src.table(spark, sf, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    off = F.col("event_type").isin("purchase", "signup")
+    records = events.select(
+        F.col("user_id").alias("meter_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(off, F.col("value")).otherwise(0.0).alias("offpeak_kwh"),
+        F.when(off, 0.0).otherwise(F.col("value")).alias("onpeak_kwh"),
+    )
+    folder = scratch(spark)
+    month_to_date.run_daily_totals(records, f"{folder}/days", f"{folder}/state")
+    return month_to_date.month_to_date(month_to_date.current_days(spark, f"{folder}/days"))
+
+
 # ---- model fits: rows only ---------------------------------------------------------------------------------------
 
 _TRAINED = {}

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterloom.functions import labels
 from meterloom.functions.billing import Tariff, with_bill
 from meterloom.operators import diagnostics, evaluate, features, models, monthly, scenarios, series
 from meterloom.operators.joins import attach
@@ -114,7 +115,7 @@ def linear_cv(t: Training, splits: int = 5) -> DataFrame:
     names = ["mean_rmse", "std_rmse", "min_rmse", "max_rmse", "ci_low", "ci_high"]
     return spark.createDataFrame(
         [(r["model"], *[r[n] for n in names]) for r in rows], ["model", *names]
-    ).orderBy("mean_rmse")
+    ).withColumn("stability", labels.stability_class(F.col("std_rmse"), F.col("mean_rmse"))).orderBy("mean_rmse")
 
 
 def polynomial_model(t: Training) -> tuple[DataFrame, models.LinearFit]:
