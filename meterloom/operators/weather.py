@@ -114,11 +114,11 @@ def by_season(weather: DataFrame) -> DataFrame:
 
 
 def in_season_order(stats: DataFrame, names=SEASONS_PT) -> DataFrame:
-    """Left side is the fixed four-row season list, so its join partner has at most four rows too."""
+    """``stats`` has a row per season at most, as has the fixed list it is joined to."""
     spine = stats.sparkSession.createDataFrame(
         [(i + 1, n) for i, n in enumerate(names)], "season_order int, season string"
     )
-    return F.broadcast(spine).join(stats, "season", "left")
+    return spine.join(stats, "season", "left")
 
 
 def month_days(weather: DataFrame) -> DataFrame:
