@@ -146,11 +146,14 @@ class Recent(dict):
         got = self.before.get(key)
         if got is None:
             got = self.make(key)
+        self.keep(key, got)
+        return got
+
+    def keep(self, key, got) -> None:
         if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
         self[key] = got
-        return got
 
 
 class WordBpe:
