@@ -6,7 +6,9 @@ names, neither reach it nor clash with its own.
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,14 @@ from pyspark.sql import functions as F
 from meterloom.session import checkpoint_dir
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the given folder. Python workers find this package wherever the session was started."""
+    env = spark.sparkContext.environment
+    if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), ROOT]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

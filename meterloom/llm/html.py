@@ -1,0 +1,195 @@
+"""Main text of web pages: streaming parser events, text-to-tag ratios, Gaussian smoothing, threshold clustering.
+
+The parser's events are folded into lines, one per block of text. A line's ratio is its length over the tags met in it;
+lines in menus, headers, forms and the like, told by element, role, class or id, have ratio 0, and so have lines outside
+the article where the page marks one. The ratios are smoothed over neighbouring lines and cut in two clusters, one held
+at 0. The content region is the innermost element that holds most of the text of the high lines; every line in it that is
+not marked as something else belongs to the article, short ones too.
+
+Defined results: a null or empty page gives an empty text; unclosed and stray tags are read as browsers mostly do;
+repeated rows each get their result; pages are read whole, whatever their length; further columns are left out.
+"""
+
+from __future__ import annotations
+
+import re
+from html.parser import HTMLParser
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from meterloom.llm.common import table
+
+SIGMA, MOST = 1.0, 0.85
+
+VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
+ARTICLE = {"article", "main"}
+LANDMARKS = {"html", "body", "article", "main", "nav", "header", "footer", "aside", "form", "table"}
+SKIPPED = set("head title script style noscript template nav footer aside form button select textarea iframe object svg canvas dialog menu audio video figure map".split()) - {"figure"}
+ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
+WORDS = set(
+    "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
+    "nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer header masthead topbar toolbar comment comments reply replies disqus discussion "
+    "share sharing social related recommended newsletter subscribe subscription signup login search pagination pager".split()
+)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_PARTS = re.compile(r"[a-z0-9]+")
+
+
+def _marked(tag: str, attrs) -> bool:
+    """Whether an element is by itself something other than the article."""
+    if tag in SKIPPED:
+        return True
+    if tag in ARTICLE | {"html", "body"} | HEADINGS:
+        names = {"hidden", "style", "aria-hidden"}
+        if tag in ("article", "main"):
+            names |= {"class", "id", "role"}
+    else:
+        names = {"hidden", "style", "aria-hidden", "class", "id", "role"}
+    for name, value in attrs:
+        if name not in names:
+            continue
+        value = (value or "").lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
+            return True
+        if name == "role" and value in ROLES or name in ("class", "id") and WORDS.intersection(_PARTS.findall(value)):
+            return tag != "main"
+    return False
+
+
+class Lines(HTMLParser):
+    """Folds events into lines: (text, tags, enclosing elements, marked)."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.stack: list[tuple[str, int, bool]] = []  # open block elements: tag, number, marked
+        self.tags_of = {}
+        self.count = self.tags = 0
+        self.buffer: list[str] = []
+
+    def _flush(self) -> None:
+        text = " ".join("".join(self.buffer).split())
+        self.buffer.clear()
+        if text:
+            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.stack), any(m for *_, m in self.stack)))
+            self.tags = 0
+
+    def _open(self, tag: str, attrs) -> None:
+        self.count += 1
+        self.tags_of[self.count] = tag
+        self.stack.append((tag, self.count, _marked(tag, attrs) or tag == "header" and not any(t in ARTICLE for t, *_ in self.stack)))
+
+    def _close(self, tag: str) -> None:
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][0] == tag:
+                del self.stack[k:]
+                return
+            if self.stack[k][0] in LANDMARKS and tag not in LANDMARKS:
+                return
+
+    def handle_starttag(self, tag, attrs):
+        self.tags += 1
+        if tag in INLINE and not (attrs and _marked(tag, attrs)):
+            return
+        if tag in VOID:
+            if tag in ("br", "hr"):
+                self.buffer.append(" ") if tag == "br" else self._flush()
+            return
+        self._flush()
+        if tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):  # the open one of the kind ends here
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] == tag:
+                    del self.stack[k:]
+                    break
+                if self.stack[k][0] in LANDMARKS or self.stack[k][0] in ("div", "section", "ul", "ol", "dl"):
+                    break
+        elif tag not in INLINE and self.stack and self.stack[-1][0] == "p":
+            self.stack.pop()
+        self._open(tag, attrs)
+
+    def handle_startendtag(self, tag, attrs):
+        self.tags += 1
+        if tag == "br":
+            self.buffer.append(" ")
+        elif tag not in INLINE and tag not in VOID:  # the slash means nothing on them
+            self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        self.tags += 1
+        if tag in VOID:
+            return
+        if tag in INLINE and not any(t == tag for t, *_ in self.stack):
+            return
+        self._flush()
+        self._close(tag)
+
+    def handle_data(self, data):
+        self.buffer.append(data)
+
+
+def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
+    reach = max(1, int(3 * sigma))
+    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
+    padded = np.pad(values, reach, mode="reflect" if len(values) > reach else "edge")
+    return np.convolve(padded, kernel / kernel.sum(), mode="valid")
+
+
+def threshold(values: np.ndarray) -> float:
+    """Border between two clusters, one of which stays at 0."""
+    centre = values.max(initial=0.0)
+    for _ in range(50):
+        high = values[values >= centre / 2]
+        new = high.mean() if len(high) else 0.0
+        if abs(new - centre) < 1e-9:
+            break
+        centre = new
+    return centre / 2
+
+
+def main_text(html: str | None) -> str:
+    if not html:
+        return ""
+    parser = Lines()
+    parser.feed(html)
+    parser.close()
+    parser._flush()
+    lines, kinds = parser.lines, parser.tags_of
+    inside = [any(kinds[n] in ARTICLE for n in of) for _, _, of, _ in lines]
+    has_article = any(i and not m for i, (*_, m) in zip(inside, lines))
+    usable = [not m and (i or not has_article) for i, (*_, m) in zip(inside, lines)]
+    ratio = np.array([len(text) / max(1, tags) if u else 0.0 for (text, tags, _, _), u in zip(lines, usable)])
+    if not ratio.any():
+        return ""
+    even = smooth(ratio)
+    high = (even >= threshold(even)) & np.array(usable)
+    if not high.any():
+        high = np.array(usable)
+    mass: dict[int, int] = {}
+    for (text, _, of, _), h in zip(lines, high):
+        if h:
+            for n in of:
+                if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td"):
+                    mass[n] = mass.get(n, 0) + len(text)
+    total = sum(len(line[0]) for line, h in zip(lines, high) if h)
+    region = max((n for n, x in mass.items() if x >= MOST * total), default=None)  # numbers grow inwards
+    return " ".join(line[0] for line, u in zip(lines, usable) if u and (region is None or region in line[2]))
+
+
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(page_id, url, text) for every row."""
+    rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
+    text = F.pandas_udf(_texts, "string")
+    return rows.select("page_id", "url", text("html").alias("text"))
+
+
+def _texts(html: pd.Series) -> pd.Series:
+    return pd.Series([main_text(x) for x in html], dtype=object)
+
+
+def op8_html(spark, sf_dir: str) -> DataFrame:
+    out = extract(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -197,7 +197,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     left = pieces.where(F.col("task").isNotNull()).withColumn("team", F.col("task") / F.lit(MERGED_TASKS))
     left = left.withColumn("team", F.floor("team").cast("long")).select("team", "doc_id", "start", "doc_tokens", "ids", "length")
 
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
         given = zip(pdf.doc_id.tolist(), pdf.start.tolist(), pdf.ids.tolist(), pdf.doc_tokens.tolist())
         first_id = MERGED + (int(key[0]) << 32)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from meterloom.llm import bpe, packing, secrets
+from meterloom.llm import bpe, html, packing, secrets
 
 QUERIES = {
+    "op8_html": html.op8_html,
     "op5_packing": packing.op5_packing,
     "op6_bpe": bpe.op6_bpe,
     "op9_secrets": secrets.op9_secrets,
