@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from meterloom.llm import bpe, html, packing, secrets
+from meterloom.llm import bpe, neighbours, packing, page_text, secret_scan
 
 QUERIES = {
-    "op8_html": html.op8_html,
+    "op2_neighbours": neighbours.op2_neighbours,
+    "op8_html": page_text.op8_html,
     "op5_packing": packing.op5_packing,
     "op6_bpe": bpe.op6_bpe,
-    "op9_secrets": secrets.op9_secrets,
+    "op9_secrets": secret_scan.op9_secrets,
 }
 
 ORACLES = {
-    "op9_secrets": secrets.ORACLE,
+    "op9_secrets": secret_scan.ORACLE,
 }
