@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from meterloom.llm import bpe, language, neighbours, packing, page_text, secret_scan, toxicity
+from meterloom.llm import bpe, language, neighbours, packing, page_text, quality, secret_scan, toxicity
 
 QUERIES = {
+    "op7_quality": quality.op7_quality,
     "op3_toxicity": toxicity.op3_toxicity,
     "op10_language": language.op10_language,
     "op2_neighbours": neighbours.op2_neighbours,
