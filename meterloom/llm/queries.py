@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from meterloom.llm import bpe, language, neighbours, packing, page_text, quality, secret_scan, toxicity
+from meterloom.llm import bpe, language, neighbours, ngram_join, packing, page_text, quality, secret_scan, toxicity
 
 QUERIES = {
+    "op1_jaccard": ngram_join.op1_jaccard,
     "op7_quality": quality.op7_quality,
     "op3_toxicity": toxicity.op3_toxicity,
     "op10_language": language.op10_language,
@@ -16,5 +17,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_jaccard": ngram_join.ORACLE,
     "op9_secrets": secret_scan.ORACLE,
 }
