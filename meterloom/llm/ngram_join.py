@@ -29,14 +29,13 @@ from pyspark.sql import functions as F
 from meterloom.llm.bpe import Recent
 from meterloom.llm.common import id_text, stored, table, utf8
 from meterloom.llm.graphs import components
-from meterloom.llm.sketches import merged
+from meterloom.llm.sketches import Filter, merged
 
 SKETCH = 1 << 20  # counters
 LONGEST = 8  # shared prefix tokens asked for at most
 LONG_LIST = 4  # members above which a list is first met through its centre
 SHORT = 20_000  # texts, above the sketch's noise, up to which a list is tested in one task
 ROUNDS = 4
-FILTER_BITS = 1 << 30  # at most, of the filter that says whose token sets are wanted
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,20 +119,12 @@ def token_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int)
     """
     picks = signed.where("n > 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("pick"))
     picks = stored(picks, "picks")
-    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(13, (8 * picks.count()).bit_length()))
-
-    def mark(frames, array):
-        for pdf in frames:
-            at = pdf["pick"].to_numpy(np.int64).view(np.uint64) & np.uint64(bits - 1)
-            np.bitwise_or.at(array, (at >> np.uint64(3)).astype(np.intp), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
-
-    wanted = docs.sparkSession.sparkContext.broadcast(merged(picks.select("pick"), mark, bits // 8, "u1", np.bitwise_or))
+    wanted = Filter(picks, "pick")
 
     def run(frames):
         for pdf in frames:
-            at = pdf["pick"].to_numpy(np.int64).view(np.uint64) & np.uint64(bits - 1)
-            hit = (wanted.value[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-            rows = [(pick, tokens(text, size, _words)) for pick, text in zip(pdf["pick"][hit > 0], pdf["text"][hit > 0])]
+            hit = wanted(pdf["pick"])
+            rows = [(pick, tokens(text, size, _words)) for pick, text in zip(pdf["pick"][hit], pdf["text"][hit])]
             rows = [(node_of(own), pick, own.tobytes()) for pick, own in rows if len(own)]
             yield pd.DataFrame({"node": pd.Series([r[0] for r in rows], dtype="int64"), "pick": pd.Series([r[1] for r in rows], dtype="int64"), "tokens": pd.Series([r[2] for r in rows], dtype=object)})
 
@@ -241,6 +232,17 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     return own.join(names, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that name their group of linked texts, of equal rows one, with their columns.
+
+    Texts without words stay, and so do rows with a null identifier.
+    """
+    ids = link(docs, size, num, den, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("kept id")).distinct()
+    known = docs.where(F.col(f"`{id_col}`").isNotNull())
+    once = known.join(ids, known[id_col] == ids["kept id"], "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+
+
 def op1_jaccard(spark, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
 

@@ -29,7 +29,7 @@ from meterloom.llm.common import id_text, table, utf8
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\v\f\r"
 SHARE, LEAST_WORDS, REPEATED_PERCENT, REACH = 0.5, 20, 30, 8
-SAMPLE, LINES, STEPS, RATE, PENALTY, SEED = 1500, 64, 250, 0.1, 1e-3, 11
+SAMPLE, LINES, STEPS, RATE, PENALTY, SEED = 700, 64, 150, 0.1, 1e-3, 11
 FEATURES = 11
 
 
@@ -198,8 +198,8 @@ def _field(blob: bytes) -> Field:
 RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content array<boolean>, content_share double, kept boolean"
 
 
-def judge(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text"):
-    """(doc_id, r) for every row: the base rules' figures, the label of every line, the share of content, the verdict."""
+def verdict(field: Field | None):
+    """Column function from a text: the base rules' figures, the label of every line, the share of content, the verdict."""
     blob = pickle.dumps(field)
 
     @F.pandas_udf(RESULT)
@@ -214,7 +214,17 @@ def judge(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col
             rows.append((*base, content.tolist(), share, not base[-1] and share >= SHARE))
         return pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
 
-    return id_text(docs, id_col, text_col).select("doc_id", run("text").alias("r"))
+    return run
+
+
+def judge(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, r) for every row, ``r`` by ``verdict``."""
+    return id_text(docs, id_col, text_col).select("doc_id", verdict(field)("text").alias("r"))
+
+
+def retained(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their columns."""
+    return docs.where(verdict(field)(F.col(f"`{text_col}`").cast("string"))["kept"])
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from meterloom.llm import bpe, language, neighbours, ngram_join, packing, page_text, quality, secret_scan, toxicity
+from meterloom.llm import bpe, language, neighbours, ngram_join, packing, page_text, quality, secret_scan, substrings, toxicity
 
 QUERIES = {
+    "op4_substrings": substrings.op4_substrings,
     "op1_jaccard": ngram_join.op1_jaccard,
     "op7_quality": quality.op7_quality,
     "op3_toxicity": toxicity.op3_toxicity,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_substrings": substrings.ORACLE,
     "op1_jaccard": ngram_join.ORACLE,
     "op9_secrets": secret_scan.ORACLE,
 }

@@ -125,6 +125,19 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
     return texts.join(found, "blob").select("blob", F.concat(F.array_join(F.transform("spans", keep), ""), text.substr(last + 1, F.length(text))).alias("redacted"))
 
 
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", ledger: str | None = None) -> DataFrame:
+    """The rows of ``docs`` with their columns, all findings replaced by ``mark``. Only rows some rule matches are joined."""
+    text = F.col(f"`{text_col}`").cast("string")
+    suspect = F.lit(False)
+    for rule in RULES:
+        suspect = suspect | text.rlike(rule.pattern)
+    suspect = F.coalesce(suspect, F.lit(False))
+    new = redact(docs, id_col, text_col, mark, ledger).select(F.col("blob").alias("own blob"), "redacted")
+    rows = docs.where(suspect).withColumn("own blob", F.sha2(text, 256)).join(new, "own blob", "left")
+    rows = rows.withColumn(text_col, F.coalesce("redacted", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.where(~suspect).withColumn(text_col, text).unionByName(rows)
+
+
 def op9_secrets(spark, sf_dir: str) -> DataFrame:
     found = scan_versions(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind_no"] < len(BASE_RULES))

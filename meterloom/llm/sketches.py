@@ -43,3 +43,24 @@ def merged(df: DataFrame, fill, size: int, dtype: str, combine) -> np.ndarray:
     for r in rows.collect():
         out[bounds[r["part"]] : bounds[r["part"] + 1]] = np.frombuffer(zlib.decompress(bytes(r["data"])), dtype)
     return out
+
+
+MOST_BITS = 1 << 30  # of a filter
+
+
+class Filter:
+    """Which 64-bit values are among given ones: never misses one, lets others through by chance. Bounded in size."""
+
+    def __init__(self, df: DataFrame, column: str):
+        bits = self.bits = 1 << min(MOST_BITS.bit_length() - 1, max(13, (8 * df.count()).bit_length()))
+
+        def mark(frames, array):
+            for pdf in frames:
+                at = pdf[column].to_numpy(np.int64).view(np.uint64) & np.uint64(bits - 1)
+                np.bitwise_or.at(array, (at >> np.uint64(3)).astype(np.intp), np.left_shift(1, (at & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
+
+        self.shared = df.sparkSession.sparkContext.broadcast(merged(df.select(column), mark, bits // 8, "u1", np.bitwise_or))
+
+    def __call__(self, values: pd.Series) -> np.ndarray:
+        at = values.to_numpy(np.int64).view(np.uint64) & np.uint64(self.bits - 1)
+        return (self.shared.value[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
