@@ -132,9 +132,9 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     for rule in RULES:
         suspect = suspect | text.rlike(rule.pattern)
     suspect = F.coalesce(suspect, F.lit(False))
-    new = redact(docs, id_col, text_col, mark, ledger).select(F.col("blob").alias("own blob"), "redacted")
+    new = redact(docs, id_col, text_col, mark, ledger).select(F.col("blob").alias("own blob"), F.col("redacted").alias("new text"))
     rows = docs.where(suspect).withColumn("own blob", F.sha2(text, 256)).join(new, "own blob", "left")
-    rows = rows.withColumn(text_col, F.coalesce("redacted", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.withColumn(text_col, F.coalesce("new text", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.where(~suspect).withColumn(text_col, text).unionByName(rows)
 
 

@@ -289,10 +289,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     changed = Filter(new.select(F.xxhash64("doc_id").alias("mark")), "mark")
     text, mark = F.col(f"`{text_col}`").cast("string"), _passes(changed)(F.xxhash64(F.col(f"`{id_col}`")))
     node = F.udf(lambda t: hashlib.sha256(b" ".join(words(t))).hexdigest(), "string", useArrow=True)
-    new = new.select(F.col("doc_id").alias("changed id"), F.col("node").alias("changed node"), "kept")
+    new = new.select(F.col("doc_id").alias("changed id"), F.col("node").alias("changed node"), F.col("kept").alias("changed text"))
     rows = docs.where(mark).withColumn("own node", node(text))
     rows = rows.join(new, (rows[id_col] == new["changed id"]) & (rows["own node"] == new["changed node"]), "left")
-    rows = rows.where(F.col("kept").isNull() | (F.col("kept") != "")).withColumn(text_col, F.coalesce("kept", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = rows.where(F.col("changed text").isNull() | (F.col("changed text") != "")).withColumn(text_col, F.coalesce("changed text", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.where(~mark).withColumn(text_col, text).unionByName(rows)
 
 
