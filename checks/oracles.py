@@ -308,8 +308,7 @@ view(
     "ordered",
     """
 SELECT *, row_number() OVER (ORDER BY simulation_date, meter_id, cutoff_day) AS sample_id, count(*) OVER () AS n_all
-FROM scenarios WHERE avg7_offpeak IS NOT NULL AND avg7_onpeak IS NOT NULL AND avg7_total IS NOT NULL
-  AND temperature IS NOT NULL AND humidity IS NOT NULL AND bill IS NOT NULL""",
+FROM scenarios""",
 )
 view("split_rows", "SELECT *, CASE WHEN sample_id > n_all - floor(n_all * 0.2) THEN 'test' ELSE 'train' END AS split FROM ordered")
 
@@ -355,7 +354,8 @@ O["src_monthly"] = oracle(
 O["model_name_extract"] = oracle(
     "SELECT 'y_pred_' || model || '_test.parquet' AS file_name, count(*) AS n, model FROM predictions GROUP BY model"
 )
-O["prediction_files"] = oracle("SELECT sample_id, y, yhat, model, split FROM predictions WHERE split = 'test'", "y yhat")
+O["prediction_files"] = oracle("SELECT sample_id, y, yhat, model, split FROM predictions", "y yhat")
+O["flat_prediction_files"] = oracle("SELECT model, split, sample_id, y, yhat FROM predictions WHERE split = 'test'", "y yhat")
 
 # scalar functions
 O["combine_registers"] = oracle(
@@ -474,7 +474,8 @@ FROM res_stats JOIN (SELECT model, split, jarque_bera FROM jb) AS j USING (model
 O["correlation_matrix"] = oracle(corr_sql(MONTHLY_COLUMNS, "base"), "r")
 O["weather_correlation"] = oracle(corr_sql(MEASURES, "weather"), "r")
 view("month_pairs", corr_sql(MONTHLY_COLUMNS, "base"))
-view("bill_pairs", corr_sql([*MONTHLY_COLUMNS, "bill"], "base"))
+view("base_wh", "SELECT *, total_kwh * 1000 + days_in_month AS total_wh FROM base")
+view("bill_pairs", corr_sql([*MONTHLY_COLUMNS, "bill", "total_wh"], "base_wh"))
 O["correlation_labels"] = oracle(
     """
 SELECT CASE WHEN var_a = 'total_kwh' THEN var_b ELSE var_a END AS variable, r,
@@ -498,7 +499,7 @@ O["distribution_flags"] = oracle(
     """
 SELECT season, n, mean, median, skew_adj,
   CASE WHEN abs(skew_adj) < 0.5 THEN 'symmetric' WHEN skew_adj > 0 THEN 'right' ELSE 'left' END AS skew_label,
-  abs(g1) > 1 AS strongly_skewed, abs((mean - median) / nullif(median, 0)) > 0.1 AS mean_median_apart, g1 > 0.5 AS suggest_log1p
+  abs(g1) > 1 AS strongly_skewed, abs((mean - median) / nullif(median, 0)) > 0.1 AS mean_median_apart, skew_adj > 0.5 AS suggest_log1p
 FROM (SELECT season, count(*) AS n, avg(total_kwh) AS mean, median(total_kwh) AS median, skewness(total_kwh) AS skew_adj,
              avg(d * d * d) / power(avg(d * d), 1.5) AS g1
       FROM (SELECT *, total_kwh - avg(total_kwh) OVER (PARTITION BY season) AS d FROM base) AS centred GROUP BY 1) AS s""",
@@ -558,10 +559,10 @@ SELECT model, n_predictions, n_matched, n_predictions - n_matched AS n_without_t
        n_predictions = n_matched AND n_truth = n_matched AS aligned
 FROM (SELECT model, count(*) AS n_predictions, count(o_orderkey) AS n_matched
       FROM (SELECT 'line_total' AS model, l_orderkey AS sample_id FROM lineitem GROUP BY l_orderkey
-            UNION ALL SELECT model, sample_id FROM predictions WHERE model = 'ridge') AS p
+            UNION ALL SELECT model, sample_id FROM predictions) AS p
       LEFT JOIN orders ON o_orderkey = sample_id GROUP BY 1) AS c, (SELECT count(*) AS n_truth FROM orders) AS t"""
 )
-O["prediction_union"] = oracle("SELECT * FROM predictions WHERE model IN ('linear_baseline', 'ridge', 'random_forest')", "y yhat")
+O["prediction_union"] = oracle("SELECT * FROM predictions", "y yhat")
 O["comparison_with_times"] = oracle(
     """
 SELECT row_number() OVER (ORDER BY rmse, model) AS rank, model, rmse, mae, r2, max_error,
@@ -840,7 +841,7 @@ SELECT *, CASE WHEN coverage_pct BETWEEN 90 AND 98 THEN 'well_calibrated' WHEN c
 FROM (SELECT split, count(*) AS n, avg(s) AS mean_std, avg(2 * 1.959964 * s) AS mean_width,
              avg(CASE WHEN y BETWEEN m - 1.959964 * s AND m + 1.959964 * s THEN 100.0 ELSE 0.0 END) AS coverage_pct
       FROM (SELECT sample_id, split, max(y) AS y, avg(yhat) AS m, stddev_pop(yhat) AS s FROM predictions
-            WHERE model IN ('polynomial_deg2', 'random_forest', 'ridge') GROUP BY 1, 2) AS samples GROUP BY 1) AS c""",
+            GROUP BY 1, 2) AS samples GROUP BY 1) AS c""",
     "mean_std mean_width coverage_pct",
 )
 O["split_summary"] = oracle(
@@ -904,7 +905,7 @@ O["one_hot"] = oracle(
     + " FROM split_rows"
 )
 O["baseline_ols"] = oracle(
-    "SELECT regr_slope(bill, cum_total_kwh) AS slope, regr_intercept(bill, cum_total_kwh) AS intercept, count(*) AS n "
+    "SELECT regr_slope(bill, cum_total_kwh) AS slope, regr_intercept(bill, cum_total_kwh) AS intercept, regr_count(bill, cum_total_kwh) AS n "
     "FROM split_rows WHERE split = 'train'",
     "slope intercept",
 )

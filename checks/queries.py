@@ -32,6 +32,10 @@ TRAINING_TIMES = [
 ]
 
 
+# The models of the prediction table.
+MODELS = ("linear_baseline", "polynomial_deg2", "random_forest", "ridge")
+
+
 def query(f):
     """Register under the function's name; counts come out as BIGINT and doubles rounded."""
 
@@ -82,7 +86,7 @@ def scenario_rows(spark, sf):
 
 
 def split_rows(spark, sf):
-    return features.temporal_split(checkpointed(features.complete_rows(scenario_rows(spark, sf))))
+    return features.temporal_split(checkpointed(scenario_rows(spark, sf)))
 
 
 # ---- sources ---------------------------------------------------------------------------------------------
@@ -128,7 +132,15 @@ def model_name_extract(spark, sf):
 def prediction_files(spark, sf):
     path = scratch(spark)
     files.write_predictions(src.predictions(spark, sf), path)
-    return files.read_predictions(spark, path).where("split = 'test'")
+    return files.read_predictions(spark, path)
+
+
+@query
+def flat_prediction_files(spark, sf):
+    path, p = scratch(spark), src.predictions(spark, sf).where("split = 'test'")
+    for m in MODELS:
+        p.where(F.col("model") == m).drop("model", "split").write.parquet(f"{path}/y_pred_{m}_test")
+    return files.read_flat_predictions(spark, f"{path}/y_pred_*_test")
 
 
 # ---- scalar functions ------------------------------------------------------------------------------------
@@ -271,16 +283,15 @@ def prediction_alignment(spark, sf):
     from_lines = src.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("sample_id")).agg(
         F.sum("l_extendedprice").alias("yhat")
     )
-    both = evaluate.prediction_union(
-        {"line_total": from_lines, "ridge": src.predictions(spark, sf).where("model = 'ridge'").select("sample_id", "yhat")}
-    )
-    return evaluate.prediction_alignment(truth, both)
+    p = src.predictions(spark, sf)
+    parts = {m: p.where(F.col("model") == m).select("sample_id", "yhat") for m in MODELS}
+    return evaluate.prediction_alignment(truth, evaluate.prediction_union({"line_total": from_lines} | parts))
 
 
 @query
 def prediction_union(spark, sf):
     p = src.predictions(spark, sf)
-    parts = {m: p.where(F.col("model") == m).drop("model") for m in ("linear_baseline", "ridge", "random_forest")}
+    parts = {m: p.where(F.col("model") == m).drop("model") for m in MODELS}
     return evaluate.prediction_union(parts)
 
 
@@ -442,7 +453,9 @@ def weather_correlation(spark, sf):
 
 @query
 def near_perfect_pairs(spark, sf):
-    return stats.near_perfect_pairs(stats.correlation_pairs(base(spark, sf), [*MONTHLY_COLUMNS, "bill"]))
+    return stats.near_perfect_pairs(stats.correlation_pairs(
+            base(spark, sf).withColumn("total_wh", F.col("total_kwh") * 1000 + F.col("days_in_month")), [*MONTHLY_COLUMNS, "bill", "total_wh"]
+        ))
 
 
 @query
@@ -609,7 +622,7 @@ def interval_coverage(spark, sf):
     p = src.predictions(spark, sf)
     one = lambda m: F.max(F.when(F.col("model") == m, F.col("yhat")))
     rows = p.groupBy("sample_id", "split").agg(
-        F.max("y").alias("y"), F.array(one("polynomial_deg2"), one("random_forest"), one("ridge")).alias("members")
+        F.max("y").alias("y"), F.array(*[one(m) for m in MODELS]).alias("members")
     )
     return evaluate.interval_coverage(rows, ["split"])
 
@@ -701,6 +714,24 @@ def trained(spark, sf) -> forecast.Training:
     return _TRAINED[key]
 
 
+@query
+def reloaded_predictions(spark, sf):
+    """Scenario rows scored by stored models and preparation, held against the fits they were stored from."""
+    t, path = trained(spark, sf), scratch(spark)
+    names = t.prep.feature_names()
+    models.save_fits(spark, t.fits, names, f"{path}/fits")
+    features.save_preparation(spark, t.prep, f"{path}/preparation")
+    matrix = features.model_matrix(features.complete_rows(t.rows), features.load_preparation(spark, f"{path}/preparation"))
+    fits = models.load_fits(spark, f"{path}/fits")
+    both = matrix.select(
+        "split", *[F.struct(fits[m].column().alias("stored"), t.fits[m].column().alias("direct")).alias(m) for m in fits]
+    )
+    rows = F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"{m}.stored"), F.col(f"{m}.direct")) for m in fits]))
+    return both.select("split", rows).groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("stored") - F.col("direct"))).alias("largest_difference")
+    )
+
+
 @query
 def feature_vectors(spark, sf):
     return trained(spark, sf).matrix.select(*KEY, "split", "label", "x")
@@ -709,7 +740,7 @@ def feature_vectors(spark, sf):
 @query
 def linear_regression(spark, sf):
     t = trained(spark, sf)
-    return models.coefficient_report(spark, {"linear_multiple": t.fits["linear_multiple"]}, t.prep.feature_names(), 100)
+    return models.coefficient_report(spark, {"linear_multiple": t.fits["linear_multiple"]}, t.prep.feature_names(), top=None)
 
 
 def _grid(spark, t, kind):
@@ -747,12 +778,12 @@ def poly_regression(spark, sf):
 @query
 def huber_linear(spark, sf):
     t = trained(spark, sf)
-    return evaluate.model_metrics(forecast.long_predictions(models.fit_huber(t.train, 20).transform(t.matrix)))
+    return evaluate.model_metrics(forecast.long_predictions(models.fit_huber(t.train).transform(t.matrix)))
 
 
 @query
 def rff_ridge(spark, sf):
-    return evaluate.model_metrics(forecast.long_predictions(forecast.rff_model(trained(spark, sf), width=100)))
+    return evaluate.model_metrics(forecast.long_predictions(forecast.rff_model(trained(spark, sf))))
 
 
 def _forest(spark, sf):

@@ -92,7 +92,8 @@ def best_model_predictions(predictions: DataFrame, split: str = "test") -> DataF
     """Rows of the model with the lowest RMSE on ``split``; its name becomes a pushed-down filter."""
     chosen = predictions.where(F.col("split") == split)
     best = best_model(model_metrics(chosen, ["model"])).first()
-    return chosen.where(F.col("model") == F.lit(best["model"]))
+    name = None if best is None else best["model"]  # without rows there is no best model, and no row to return
+    return chosen.where(F.col("model") == F.lit(name).cast("string"))
 
 
 def metric_grades(metrics: DataFrame) -> DataFrame:

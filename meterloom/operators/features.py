@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterloom.operators.ranking import equal_parts, exact_rank
 from meterloom.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 
-MAX_CATEGORIES = 1000
-
 
 def complete_rows(scenarios: DataFrame) -> DataFrame:
     """Rows without a missing feature or target; the estimators accept no others."""
@@ -88,18 +87,38 @@ def fit_preparation(train: DataFrame, numeric=NUMERIC_FEATURES, categorical=CATE
     ).first()
     categories = {}
     for c in categorical:
-        values = [r[0] for r in train.select(c).distinct().limit(MAX_CATEGORIES + 1).collect()]
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"{c} has more than {MAX_CATEGORIES} categories")
-        categories[c] = sorted(values)
+        categories[c] = sorted(r[0] for r in train.select(c).where(F.col(c).isNotNull()).distinct().collect())
     return Preparation(
         {c: stats[f"{c}_mean"] for c in numeric}, {c: stats[f"{c}_std"] for c in numeric}, categories
     )
 
 
+def save_preparation(spark: SparkSession, prep: Preparation, path: str) -> None:
+    """One row per scaled column and category, so that stored models can score new rows."""
+    rows = [("scale", i, c, json.dumps([prep.mean[c], prep.std[c]])) for i, c in enumerate(prep.mean)]
+    rows += [("category", i, c, json.dumps(v)) for c, values in prep.categories.items() for i, v in enumerate(values)]
+    spark.createDataFrame(rows, "part string, position int, name string, value string").write.mode("overwrite").parquet(path)
+
+
+def load_preparation(spark: SparkSession, path: str) -> Preparation:
+    rows = spark.read.parquet(path).orderBy("part", "name", "position").collect()
+    scales = sorted((r for r in rows if r["part"] == "scale"), key=lambda r: r["position"])
+    pairs = {r["name"]: json.loads(r["value"]) for r in scales}
+    categories: dict[str, list] = {}
+    for r in rows:
+        if r["part"] == "category":
+            categories.setdefault(r["name"], []).append(json.loads(r["value"]))
+    order = [c for c in CATEGORICAL_FEATURES if c in categories] + [c for c in categories if c not in CATEGORICAL_FEATURES]
+    return Preparation({c: m for c, (m, _) in pairs.items()}, {c: s for c, (_, s) in pairs.items()}, {c: categories[c] for c in order})
+
+
 def standardize(df: DataFrame, prep: Preparation) -> DataFrame:
-    """(x - mean) / population deviation of the train rows; a constant column becomes 0."""
-    scaled = lambda c: (F.col(c) - F.lit(prep.mean[c])) / F.lit(prep.std[c] or 1.0)
+    """(x - mean) / population deviation of the train rows; a constant column becomes 0.
+
+    Merging partial deviations leaves a rounding error on constant columns, so deviations that small count as none.
+    """
+    constant = lambda c: prep.std[c] is None or prep.std[c] <= 1e-9 * abs(prep.mean[c] or 0.0)
+    scaled = lambda c: F.when(F.col(c).isNotNull(), 0.0) if constant(c) else (F.col(c) - F.lit(prep.mean[c])) / F.lit(prep.std[c])
     return df.withColumns({c: scaled(c) for c in prep.mean})
 
 
@@ -112,8 +131,11 @@ def one_hot(df: DataFrame, prep: Preparation) -> DataFrame:
 
 def model_matrix(df: DataFrame, prep: Preparation, keep=("sample_id", "n_total", "split")) -> DataFrame:
     """``x`` (array) and ``features`` (ML vector) in the order of ``prep.feature_names()``, ``label`` and keys."""
-    wide = one_hot(standardize(df, prep), prep)
-    x = F.array(*[F.col(f"`{n}`") for n in prep.feature_names()])
+    wide = standardize(df, prep)
+    # one expression per categorical column, however many categories it has
+    flags = lambda c, values: F.transform(F.lit(values), lambda v: F.when(F.col(c) == v, 1.0).otherwise(0.0))
+    hot = [flags(c, values[1:]) for c, values in prep.categories.items() if len(values) > 1]
+    x = F.concat(F.array(*[F.col(f"`{n}`").cast("double") for n in prep.mean]), *hot)
     return wide.select(
         *keep, "meter_id", "month_start", "cutoff_day", F.col(TARGET).alias("label"), x.alias("x")
     ).withColumn("features", array_to_vector("x"))

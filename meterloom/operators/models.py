@@ -281,8 +281,8 @@ def member_predictions(forest, matrix: DataFrame) -> DataFrame:
     return out.withColumn("members", F.array(*names)).drop(*names).withColumn("y", F.col("label"))
 
 
-def coefficient_report(spark: SparkSession, fits: dict[str, LinearFit], names: list[str], top: int = 5) -> DataFrame:
-    """Coefficient statistics and the largest coefficients of every linear model."""
+def coefficient_report(spark: SparkSession, fits: dict[str, LinearFit], names: list[str], top: int | None = 5) -> DataFrame:
+    """Coefficient statistics and the largest coefficients of every linear model, all with ``top=None``."""
     rows = []
     for model, fit in fits.items():
         size = np.abs(fit.coef)

@@ -203,7 +203,7 @@ def distribution_flags(df: DataFrame, value: str, by: list[str] = []) -> DataFra
         skew_label(skew).alias("skew_label"),
         (F.abs("skew_pop") > 1.0).alias("strongly_skewed"),
         (F.abs(ratio(F.col("mean") - F.col("median"), F.col("median"))) > 0.1).alias("mean_median_apart"),
-        (F.col("skew_pop") > 0.5).alias("suggest_log1p"),
+        (skew > 0.5).alias("suggest_log1p"),
     )
 
 

@@ -43,6 +43,8 @@ class Training:
     prep: features.Preparation
     matrix: DataFrame
     fold_sums: dict
+    left_out: int = 0  # rows with a missing feature
+    test_share: float = 0.2
     fits: dict = field(default_factory=dict)
     alphas: dict = field(default_factory=dict)
     scores: dict = field(default_factory=dict)
@@ -67,16 +69,16 @@ def prepare(scenario_rows: DataFrame, test_share: float = 0.2) -> Training:
     The scenario rows and the split rows are checkpointed: the exact order and each fit below read them again,
     and none should run the chain from the raw registers to get them.
     """
-    stored = checkpointed(features.complete_rows(scenario_rows))
-    rows = checkpointed(features.temporal_split(stored, test_share))
-    train = rows.where(F.col("split") == "train")
-    prep = features.fit_preparation(train)
-    matrix = features.model_matrix(rows, prep)
+    rows = checkpointed(features.temporal_split(checkpointed(scenario_rows), test_share))
+    usable = features.complete_rows(rows)  # every row has its place in time; a row with a missing feature is not fitted
+    prep = features.fit_preparation(usable.where(F.col("split") == "train"))
+    matrix = features.model_matrix(usable, prep)
     in_train = matrix.where(F.col("split") == "train")
     # train rows are the first positions in time, so their count is what the folds divide
     n_train = F.col("n_total") - F.floor(F.col("n_total") * test_share)
     folds = features.kfolds(in_train.withColumn("n_total", n_train), models.FOLDS)
-    return Training(rows, prep, matrix, models.product_sums(folds, "fold"))
+    left_out = rows.count() - usable.count()
+    return Training(rows, prep, matrix, models.product_sums(folds, "fold"), left_out, test_share)
 
 
 def fit_linear_family(t: Training) -> Training:
@@ -102,8 +104,8 @@ def fit_linear_family(t: Training) -> Training:
 def linear_cv(t: Training, splits: int = 5) -> DataFrame:
     """Time-series cross-validation of the linear family, penalties as already tuned."""
     at = NUMERIC_FEATURES.index("cum_total_kwh")
-    n_train = int(t.sums[0, 0])
-    ordered = features.ts_folds(t.train.withColumn("n_total", F.lit(n_train).cast("bigint")), splits)
+    n_train = F.col("n_total") - F.floor(F.col("n_total") * t.test_share)
+    ordered = features.ts_folds(t.train.withColumn("n_total", n_train), splits)
     sums = models.product_sums(ordered, "fold")
     only = {k: models.select_features(m, [at]) for k, m in sums.items()}
     ols = lambda windows: [models.fit_ols(m) for m in windows]
