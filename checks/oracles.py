@@ -867,6 +867,12 @@ SELECT user_id AS meter_id, CAST(date_trunc('month', ts) AS DATE) AS month_start
        coalesce(sum(value) FILTER (WHERE event_type NOT IN ('purchase', 'signup')), 0) AS cum_onpeak_kwh
 FROM events GROUP BY 1, 2""",
 )
+view("event_days", "SELECT user_id AS meter_id, CAST(ts AS DATE) AS date, sum(value) AS total_kwh FROM events GROUP BY 1, 2")
+O["stream_unusual_days"] = oracle(
+    """
+SELECT meter_id, count(*) AS n_days, count_if(total_kwh < 0 OR total_kwh > high) AS n_unusual
+FROM (SELECT *, 2 * avg(total_kwh) OVER (PARTITION BY meter_id) AS high FROM event_days) AS d GROUP BY 1"""
+)
 O["stream_month_to_date"] = oracle(
     f"SELECT *, {PROJECTED} AS projected_bill FROM event_sums", "cum_offpeak_kwh cum_onpeak_kwh projected_bill"
 )

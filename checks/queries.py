@@ -684,20 +684,41 @@ def baseline_ols(spark, sf):
 # ---- streaming ---------------------------------------------------------------------------------------------------
 
 
-@query
-def stream_month_to_date(spark, sf):
-    """The event table as a file stream, processed to its end, then summed up per user and month."""
-    schema = src.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+def event_records(events):
     off = F.col("event_type").isin("purchase", "signup")
-    records = events.select(
+    return events.select(
         F.col("user_id").alias("meter_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(off, F.col("value")).otherwise(0.0).alias("offpeak_kwh"),
         F.when(off, 0.0).otherwise(F.col("value")).alias("onpeak_kwh"),
     )
+
+
+def event_stream(spark, sf):
+    """The event table, one file or a folder of parts, as a file stream."""
+    schema = src.table(spark, sf, "events").schema
+    return event_records(spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*"))
+
+
+@query
+def stream_unusual_days(spark, sf):
+    """Days of the event stream above twice their user's daily mean, flagged while they stream."""
+    days = event_records(src.table(spark, sf, "events")).groupBy("meter_id", F.to_date("ts").alias("date")).agg(
+        F.sum(F.col("offpeak_kwh") + F.col("onpeak_kwh")).alias("total_kwh")
+    )
+    limits = days.groupBy("meter_id").agg(F.lit(0.0).alias("low"), (2 * F.avg("total_kwh")).alias("high"))
+    folder = scratch(spark)
+    flag = lambda stream: month_to_date.flag_unusual_days(stream, limits)
+    month_to_date.run_daily_totals(event_stream(spark, sf), f"{folder}/days", f"{folder}/state", change=flag)
+    found = month_to_date.current_days(spark, f"{folder}/days")
+    return found.groupBy("meter_id").agg(F.count(F.lit(1)).alias("n_days"), F.count_if("is_unusual").alias("n_unusual"))
+
+
+@query
+def stream_month_to_date(spark, sf):
+    """The event table as a file stream, processed to its end, then summed up per user and month."""
     folder = scratch(spark)
-    month_to_date.run_daily_totals(records, f"{folder}/days", f"{folder}/state")
+    month_to_date.run_daily_totals(event_stream(spark, sf), f"{folder}/days", f"{folder}/state")
     return month_to_date.month_to_date(month_to_date.current_days(spark, f"{folder}/days"))
 
 

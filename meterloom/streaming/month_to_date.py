@@ -28,17 +28,18 @@ def daily_totals(records: DataFrame, late: str = "40 days") -> DataFrame:
     )
 
 
-def run_daily_totals(records: DataFrame, out: str, checkpoint: str, late: str = "40 days") -> None:
+def run_daily_totals(records: DataFrame, out: str, checkpoint: str, late: str = "40 days", change=lambda days: days) -> None:
     """Process what is available and stop. Each micro-batch writes the days it changed under its own number.
 
-    A batch replayed after a failure overwrites its own folder, so the result holds every change once.
+    A batch replayed after a failure overwrites its own folder, so the result holds every change once. ``change`` is
+    applied to the stream of days, for example ``flag_unusual_days`` with known limits.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     query = (
-        daily_totals(records, late)
+        change(daily_totals(records, late))
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -51,7 +52,8 @@ def run_daily_totals(records: DataFrame, out: str, checkpoint: str, late: str =
 def current_days(spark: SparkSession, out: str) -> DataFrame:
     """Latest state of every meter and day from the change folders."""
     changes = spark.read.parquet(out)
-    latest = F.max_by(F.struct("offpeak_kwh", "onpeak_kwh", "total_kwh"), "batch").alias("s")
+    state = [c for c in changes.columns if c not in ("meter_id", "date", "batch")]
+    latest = F.max_by(F.struct(*state), "batch").alias("s")
     return changes.groupBy("meter_id", "date").agg(latest).select("meter_id", "date", "s.*")
 
 
