@@ -26,9 +26,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import id_text, table
+from meterloom.llm.common import Recent, id_text, table
 
-#: Entries a worker keeps of blank-separated chunks, of words and of table look-ups, before it starts a new generation.
+#: A quarter of the table look-ups a worker keeps.
 CACHE = 150_000
 END = 0xF0000  # shifts the last symbol of a word into a private plane, where it stands for "symbol + word end"
 
@@ -135,27 +135,6 @@ class Automaton:
         return out
 
 
-class Recent(dict):
-    """A bounded memo: when full, what is in use is carried over from the generation before."""
-
-    def __init__(self, make, most: int = CACHE):
-        super().__init__()
-        self.make, self.most, self.before = make, most, {}
-
-    def __missing__(self, key):
-        got = self.before.get(key)
-        if got is None:
-            got = self.make(key)
-        self.keep(key, got)
-        return got
-
-    def keep(self, key, got) -> None:
-        if len(self) >= self.most:
-            self.before = dict(self)
-            self.clear()
-        self[key] = got
-
-
 class WordBpe:
     """Reads a tokenizers JSON of the kind: NFC, white space to blanks, lower case, split by pattern, byte level, word ends."""
 

@@ -8,19 +8,25 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable
 from pathlib import Path
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.session import checkpoint_dir
 
 
+#: Rows of a batch that Python workers get: texts are long, and a worker holds one batch at a time.
+BATCH_ROWS = 1000
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the given folder. Python workers find this package wherever the session was started."""
+    """A table of the given folder. Python workers get short batches, and find this package wherever the session was started."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), ROOT]))
@@ -45,3 +51,48 @@ def utf8(text) -> bytes:
 def words(text) -> list[bytes]:
     """Runs of bytes other than blank and \\x09-\\x0D, which is exactly what ``bytes.split`` cuts at."""
     return utf8(text).split()
+
+
+class Recent(dict):
+    """A bounded memo: when full, what is in use is carried over from the generation before."""
+
+    def __init__(self, make, most: int = 150_000):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        got = self.before.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = got
+        return got
+
+
+_hashes = Recent(xxhash.xxh64_digest)
+
+
+def hashes(sequence: Iterable[bytes]) -> np.ndarray:
+    """64-bit hash of every word."""
+    return np.frombuffer(b"".join(map(_hashes.__getitem__, sequence)), np.uint64)
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def rolled(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every ``size`` consecutive elements."""
+    n = len(h) - size + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    out = np.full(n, size, np.uint64)
+    for j in range(size):
+        out ^= out >> np.uint64(31)
+        out *= _MIX
+        out += h[j : n + j]
+    out ^= out >> np.uint64(29)
+    out *= _MIX
+    out ^= out >> np.uint64(32)
+    return out

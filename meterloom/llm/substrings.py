@@ -4,6 +4,8 @@ A word is removed when a window of SPAN words covers it whose word sequence also
 identifier. The reference of a document is all documents before it, cut in blocks that overlap by more than a window.
 
 Every window has a seed: of its KMER-word sequences the one with the smallest hash, so equal windows have equal seeds.
+Sequences that a fixed-size sketch of the corpus counts often, such as common lines, come after all others, so that they
+are the seed only of windows made of nothing else.
 Seeds that two documents hold are found in one exchange; the first document to hold one is its reference, and the block
 around it is brought to all later holders. Each document is parsed greedily against the blocks it was brought: from its
 next seed, the longest match with any block is a factor, and the parse goes on behind it. A factor of SPAN words or more
@@ -22,56 +24,75 @@ makes others lose them; only the named columns are read.
 from __future__ import annotations
 
 import hashlib
+from itertools import chain
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.bpe import Recent
-from meterloom.llm.common import id_text, stored, table, words
+from meterloom.llm.common import hashes, id_text, rolled, stored, table, words
 from meterloom.llm.sketches import Filter, merged
 
 SPAN, KMER = 13, 7
 BLOCK, MARGIN = 256, 64  # words of a reference block, and how far it reaches over either end
 SKETCH = 1 << 20
+COMMON = 30  # count, above the sketch's noise, from which a sequence is a seed only where there is no other
 SHORT = 20_000  # documents, above the sketch's noise, up to which a seed is tested in one task
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_words = Recent(xxhash.xxh64_intdigest)
+def seeds(h: np.ndarray, span: int = SPAN, common=None) -> tuple[np.ndarray, np.ndarray]:
+    """Seed hash of every window, and its position; ``common`` tells of hashes whether they come after all others."""
+    if len(h) < span:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    grams = rolled(h, KMER)
+    order = grams if common is None else (grams >> np.uint64(1)) | (common(grams).astype(np.uint64) << np.uint64(63))
+    at = np.lib.stride_tricks.sliding_window_view(order, span - KMER + 1).argmin(axis=1) + np.arange(len(h) - span + 1)
+    return grams[at], at
 
 
-def hashes(sequence: list[bytes]) -> np.ndarray:
-    return np.array(list(map(_words.__getitem__, sequence)), np.uint64)
+class Counts:
+    """The sketch of how often sequences are seeds, shared with all tasks."""
 
+    def __init__(self, spark, sketch: np.ndarray):
+        noise = float(np.median(sketch))
+        self.shared, self.common_from, self.often_from = spark.sparkContext.broadcast(sketch), noise + COMMON, noise + SHORT
 
-def rolled(h: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every ``size`` consecutive elements."""
-    n = len(h) - size + 1
-    if n < 1:
-        return np.zeros(0, np.uint64)
-    out = np.full(n, size, np.uint64)
-    for j in range(size):
-        out = (out ^ (out >> np.uint64(31))) * _MIX + h[j : n + j]
-    out = (out ^ (out >> np.uint64(29))) * _MIX
-    return out ^ (out >> np.uint64(32))
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        return self.shared.value[(grams & np.uint64(SKETCH - 1)).astype(np.intp)]
 
+    def common(self, grams: np.ndarray) -> np.ndarray:
+        return self.of(grams) > self.common_from
 
-def seeds(h: np.ndarray, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
-    """Seed hash of every window, and its position."""
-    if len(h) < span:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(rolled(h, KMER), span - KMER + 1)
-    at = view.argmin(axis=1)
-    start = np.arange(len(view))
-    return view[start, at], start + at
+    def often(self, grams: np.ndarray) -> np.ndarray:
+        return self.of(grams) > self.often_from
+
+
+def seeds_of(documents: list[list[bytes]], span: int, common=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the document, seed, its place there) for several documents at once; neighbours' common seeds once."""
+    sizes = np.array(list(map(len, documents)), np.int64)
+    h = hashes(chain.from_iterable(documents))
+    seed, at = seeds(h, span, common)
+    doc, ends = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes)
+    start = np.arange(len(seed))
+    start = start[start + span <= ends[doc[: len(seed)]]]  # windows within one document
+    start = start[np.diff(at[start], prepend=-1) != 0]
+    own = doc[start]
+    return own, seed[start], at[start] - (ends - sizes)[own]
 
 
-def first_places(seed: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    found, first = np.unique(seed, return_index=True)
-    return found, at[first]
+def groups(pdf: pd.DataFrame, most: int = 100_000):
+    """Identifiers and words of a batch's documents, about ``most`` words at a time."""
+    ids, own, size = [], [], 0
+    for doc, text in zip(pdf["doc_id"], pdf["text"]):
+        ids.append(doc)
+        own.append(words(text))
+        size += len(own[-1])
+        if size >= most:
+            yield ids, own
+            ids, own, size = [], [], 0
+    if own:
+        yield ids, own
 
 
 def common_length(x: np.ndarray, y: np.ndarray) -> int:
@@ -105,9 +126,8 @@ def parse(h: np.ndarray, shared: np.ndarray, blocks: list[np.ndarray], span: int
     return out
 
 
-def undecided(h: np.ndarray, shared: np.ndarray, factors: list[tuple[int, int]], span: int = SPAN) -> np.ndarray:
+def undecided(seed: np.ndarray, shared: np.ndarray, factors: list[tuple[int, int]], span: int = SPAN) -> np.ndarray:
     """Starts of windows with a shared seed that no single factor holds."""
-    seed, _ = seeds(h, span)
     start = np.flatnonzero(np.isin(seed, shared))
     inside = np.zeros(len(seed) + 1, bool)
     for a, b in factors:
@@ -138,28 +158,26 @@ def content(docs: DataFrame) -> DataFrame:
     return stored(docs.mapInPandas(run, f"doc_id {kind}, n_words long, node string"), "content")
 
 
-def shared_seeds(docs: DataFrame, kind: str, span: int) -> DataFrame:
-    """Stored (seed, doc_id, first_id, first_at) for the seeds of two documents or more: who holds one first, and where."""
+def shared_seeds(docs: DataFrame, kind: str, span: int, among: Filter) -> tuple[DataFrame, Counts]:
+    """Stored (seed, doc_id, first_id, first_at) for the seeds of two documents or more: who holds one first, and where.
+
+    ``docs`` has a column ``mark``; only documents that ``among`` lets through take part.
+    """
 
     def count(frames, array):
         for pdf in frames:
-            for text in pdf["text"]:
-                np.add.at(array, (np.unique(seeds(hashes(words(text)), span)[0]) & np.uint64(SKETCH - 1)).astype(np.intp), 1)
+            for _, own in groups(pdf[among(pdf["mark"])]):
+                np.add.at(array, (seeds_of(own, span)[1] & np.uint64(SKETCH - 1)).astype(np.intp), 1)
 
-    sketch = merged(docs.select("text"), count, SKETCH, "<i4", np.add)
-    limit, shared = float(np.median(sketch)) + SHORT, docs.sparkSession.sparkContext.broadcast(sketch)
+    sketch = merged(docs, count, SKETCH, "<i4", np.add)
+    counts = Counts(docs.sparkSession, sketch)
 
     def run(frames):
         for pdf in frames:
-            for at in range(0, len(pdf), 500):
-                ids, columns = [], []
-                for doc, text in zip(pdf["doc_id"].iloc[at : at + 500], pdf["text"].iloc[at : at + 500]):
-                    found, place = first_places(*seeds(hashes(words(text)), span))
-                    often = shared.value[(found & np.uint64(SKETCH - 1)).astype(np.intp)] > limit
-                    ids += [doc] * len(found)
-                    columns.append((found.view(np.int64), place, often))
-                if ids:
-                    yield pd.DataFrame({"seed": np.concatenate([c[0] for c in columns]), "doc_id": ids, "at": np.concatenate([c[1] for c in columns]).astype(np.int32), "often": np.concatenate([c[2] for c in columns])})
+            for ids, own in groups(pdf[among(pdf["mark"])]):
+                number, seed, place = seeds_of(own, span, counts.common)
+                often = counts.often(seed)
+                yield pd.DataFrame({"seed": seed.view(np.int64), "doc_id": pd.Series(ids).to_numpy()[number], "at": place.astype(np.int32), "often": often})
 
     rows = docs.mapInPandas(run, f"seed long, doc_id {kind}, at int, often boolean")
     each = W.partitionBy("seed")
@@ -168,19 +186,21 @@ def shared_seeds(docs: DataFrame, kind: str, span: int) -> DataFrame:
     firsts = often.groupBy("seed").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where(F.col("first.doc_id") != F.col("last"))
     often = often.join(firsts, "seed")
     keep = ["seed", "doc_id", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")]
-    return stored(rare.select(*keep).unionByName(often.select(*keep)).distinct(), "seeds")
+    return stored(rare.select(*keep).unionByName(often.select(*keep)).distinct(), "seeds"), counts
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of ``docs`` joined with ``wanted`` by doc_id; only texts that a filter of fixed size lets through are shuffled."""
-    through = Filter(wanted.select(F.xxhash64("doc_id").alias("mark")), "mark")
+    through = _passes(Filter(wanted.select(F.xxhash64("doc_id").alias("mark")), "mark"))
+    return docs.where(through(F.xxhash64("doc_id"))).select("doc_id", "text").join(wanted, "doc_id")
 
-    def run(frames):
-        for pdf in frames:
-            yield pdf.loc[through(pdf["mark"]), ["doc_id", "text"]]
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("doc_id").alias("mark")).mapInPandas(run, f"doc_id {kind}, text string").join(wanted, "doc_id")
+def _passes(through: Filter):
+    @F.pandas_udf("boolean")
+    def run(mark: pd.Series) -> pd.Series:
+        return pd.Series(through(mark), dtype=bool)
+
+    return run
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
@@ -195,12 +215,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     known = docs.where("doc_id is not null")
     one = Filter(firsts.select(F.xxhash64("first").alias("mark")), "mark")  # copies that pass by chance are parsed like others
 
-    def only(frames):
-        for pdf in frames:
-            yield pdf.loc[one(pdf["mark"]), ["doc_id", "text"]]
-
-    single = known.select("doc_id", "text", F.xxhash64("doc_id").alias("mark")).mapInPandas(only, f"doc_id {kind}, text string")
-    held = shared_seeds(single, kind, span)
+    held, counts = shared_seeds(known.withColumn("mark", F.xxhash64("doc_id")), kind, span, one)
 
     block = F.floor(F.col("first_at") / BLOCK).cast("int")
     wants = stored(held.where("first_id < doc_id").groupBy("doc_id", "first_id", block.alias("block")).agg(F.count("*").alias("n")).drop("n"), "wants")
@@ -230,9 +245,10 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
                 h, all_seeds = hashes(own), np.asarray(mine, np.int64).view(np.uint64)
                 later = np.asarray(later, np.int64).view(np.uint64)
                 spans = parse(h, later, [hashes(bytes(b).split()) for b in given], span) if given is not None and len(given) else []
-                open_at = undecided(h, all_seeds, spans, span)
+                window_seeds, _ = seeds(h, span, counts.common)
+                open_at = undecided(window_seeds, all_seeds, spans, span)
                 key = rolled(h, span)[open_at].view(np.int64)
-                asks = np.isin(seeds(h, span)[0][open_at], later)
+                asks = np.isin(window_seeds[open_at], later)
                 out.append((doc, hashlib.sha256(b" ".join(own)).hexdigest(), [{"start": a, "end": b} for a, b in spans], open_at.tolist(), key.tolist(), asks.tolist()))
             yield pd.DataFrame(out, columns=["doc_id", "node", "spans", "at", "window", "asks"])
 
@@ -296,14 +312,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.where(~mark).withColumn(text_col, text).unionByName(rows)
 
 
-def _passes(through: Filter):
-    @F.pandas_udf("boolean")
-    def run(mark: pd.Series) -> pd.Series:
-        return pd.Series(through(mark), dtype=bool)
-
-    return run
-
-
 def op4_substrings(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = stored(repeated(docs), "repeated")

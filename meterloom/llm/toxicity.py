@@ -29,8 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.bpe import Recent
-from meterloom.llm.common import stored, table
+from meterloom.llm.common import Recent, stored, table
 from meterloom.llm.language import held_out
 
 TOXIC, CLEAN, SEED = 2000, 12000, 3

@@ -72,6 +72,7 @@ def test_as_brute_force(spark, shared):
 
 def test_often_met_seeds_take_another_way(spark, shared, monkeypatch):
     monkeypatch.setattr(substrings, "SHORT", -(10**6))
+    monkeypatch.setattr(substrings, "COMMON", 3)
     monkeypatch.setattr(substrings, "BLOCK", 40)
     monkeypatch.setattr(substrings, "MARGIN", 20)
     assert result(spark, spark.createDataFrame(shared, "doc_id long, text string")) == brute(shared)
