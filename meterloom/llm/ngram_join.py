@@ -26,37 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.bpe import Recent
-from meterloom.llm.common import id_text, stored, table, utf8
+from meterloom.llm.common import hashes, id_text, rolled, stored, table, utf8
 from meterloom.llm.graphs import components
 from meterloom.llm.sketches import Filter, merged
 
 SKETCH = 1 << 20  # counters
-LONGEST = 8  # shared prefix tokens asked for at most
-LONG_LIST = 4  # members above which a list is first met through its centre
+LONGEST = 16  # shared prefix tokens asked for at most
+LONG_LIST = 8  # members above which a list is first met through its centre
 SHORT = 20_000  # texts, above the sketch's noise, up to which a list is tested in one task
 ROUNDS = 4
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def tokens(text, size: int, known) -> np.ndarray:
+def tokens(text, size: int) -> np.ndarray:
     """Sorted distinct n-gram hashes. Only A-Z are lowered, as ``bytes.lower`` does."""
-    words = utf8(text).lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.array(list(map(known.__getitem__, words)), np.uint64)
-    n = len(h) - size + 1
-    if n < 1:
-        n, size = 1, len(h)
-    out = np.full(n, size, np.uint64)
-    for j in range(size):
-        out = (out ^ (out >> np.uint64(31))) * _MIX + h[j : n + j]
-    out = (out ^ (out >> np.uint64(29))) * _MIX
-    return np.unique(out ^ (out >> np.uint64(32)))
-
-
-_words = Recent(xxhash.xxh64_intdigest)
+    h = hashes(utf8(text).lower().split())
+    return np.unique(rolled(h, min(size, len(h)))) if len(h) else h
 
 
 def node_of(own: np.ndarray) -> int:
@@ -64,7 +47,7 @@ def node_of(own: np.ndarray) -> int:
 
 
 def prefix_of(own: np.ndarray, sketch: np.ndarray, noise: float, num: int, den: int):
-    """Prefix tokens of short and of long lists, shared tokens asked for, mean estimate (how central the text is)."""
+    """Prefix tokens, which of them are often met, shared tokens asked for, mean estimate (how central the text is)."""
     n = len(own)
     needed = -(-num * n // den)
     counted = sketch[(own & np.uint64(len(sketch) - 1)).astype(np.intp)]
@@ -76,18 +59,17 @@ def prefix_of(own: np.ndarray, sketch: np.ndarray, noise: float, num: int, den:
     asked = np.arange(1, most + 1)
     best = int(np.argmin(lists + n * lists / asked**2)) + 1  # meeting, and verifying what shares enough
     first = order[: base + best - 1]
-    short = counted[first] <= noise + SHORT
-    return own[first[short]], own[first[~short]], best, float(estimate.mean())
+    return own[first], counted[first] > noise + SHORT, best, float(estimate.mean())
 
 
 def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Stored (doc_id, node, n, asked, centre, prefix, often) for every row; the tokens of long lists are in ``often``."""
+    """Stored (doc_id, node, n, asked, centre, prefix, often) for every row; ``often`` marks the tokens of long lists."""
     texts = id_text(docs)
 
     def count(frames, array):
         for pdf in frames:
             for text in pdf["text"]:
-                own = tokens(text, size, _words)
+                own = tokens(text, size)
                 np.add.at(array, (own & np.uint64(SKETCH - 1)).astype(np.intp), 1)
 
     sketch = merged(texts.select("text"), count, SKETCH, "<i4", np.add)
@@ -97,18 +79,18 @@ def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
         for pdf in frames:
             rows = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                own = tokens(text, size, _words)
+                own = tokens(text, size)
                 if len(own):
                     prefix, often, asked, centre = prefix_of(own, shared.value, noise, num, den)
-                    rows.append((doc, node_of(own), len(own), asked, centre, prefix.view(np.int64), often.view(np.int64)))
+                    rows.append((doc, node_of(own), len(own), asked, centre, prefix.view(np.int64), often))
                 else:
-                    rows.append((doc, 0, 0, 0, 0.0, own.view(np.int64), own.view(np.int64)))
+                    rows.append((doc, 0, 0, 0, 0.0, own.view(np.int64), np.zeros(0, bool)))
             out = pd.DataFrame(rows, columns=["doc_id", "node", "n", "asked", "centre", "prefix", "often"])
             out["doc_id"] = pdf["doc_id"].to_numpy()
             yield out
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return stored(texts.mapInPandas(run, f"doc_id {kind}, node long, n int, asked int, centre double, prefix array<long>, often array<long>"), "prefixes")
+    return stored(texts.mapInPandas(run, f"doc_id {kind}, node long, n int, asked int, centre double, prefix array<long>, often array<boolean>"), "prefixes")
 
 
 def token_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +106,7 @@ def token_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int)
     def run(frames):
         for pdf in frames:
             hit = wanted(pdf["pick"])
-            rows = [(pick, tokens(text, size, _words)) for pick, text in zip(pdf["pick"][hit], pdf["text"][hit])]
+            rows = [(pick, tokens(text, size)) for pick, text in zip(pdf["pick"][hit], pdf["text"][hit])]
             rows = [(node_of(own), pick, own.tobytes()) for pick, own in rows if len(own)]
             yield pd.DataFrame({"node": pd.Series([r[0] for r in rows], dtype="int64"), "pick": pd.Series([r[1] for r in rows], dtype="int64"), "tokens": pd.Series([r[2] for r in rows], dtype=object)})
 
@@ -150,21 +132,49 @@ def linked(pairs: DataFrame, sets: DataFrame, picks: DataFrame, num: int, den: i
     return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def _fits(n, m, num: int, den: int):
-    """Whether sets of these sizes can reach the threshold at all."""
-    return den * F.least(n, m) >= num * F.greatest(n, m)
+def _fits(x: str, y: str, num: int, den: int):
+    """Whether a token that two nodes meet in counts, and the pair can still share what it must.
+
+    Sets of n and m tokens at the threshold share o = ceil(num (n + m) / (num + den)), so they share ``l`` of the first
+    n - o + l and m - o + l tokens, ``l`` being what the less demanding one asks for. The token must stand there, and so
+    must ``l`` tokens that each node shares with anybody: no more than n - o others may stand before the l-th of them.
+    ``others`` tells that for every second one, so the bound is taken at ``l`` or one before.
+    """
+    c = lambda side, name: F.col(f"{side}{name}")
+    total, asked = c(x, "n") + c(y, "n"), F.least(c(x, "asked"), c(y, "asked"))
+    needed = F.ceil(num * total / F.lit(float(num + den)) - F.lit(1e-9))
+    half = F.floor(asked / 2).cast("int")
+    before = lambda side: F.when(half == 0, F.lit(0)).otherwise(F.call_function("shiftright", c(side, "others"), 8 * (half - 1)).bitwiseAND(F.lit(255)))
+    sides = [(c(side, "at") < c(side, "n") - needed + asked) & (before(side) <= c(side, "n") - needed) for side in (x, y)]
+    return sides[0] & sides[1]
 
 
 def shared_lists(signed: DataFrame) -> DataFrame:
-    """Stored (token, node, n, asked, centre) for the prefix tokens of two nodes or more, each node once.
+    """Stored (token, at, node, n, asked, centre, others) for the prefix tokens of two nodes or more, each node once.
 
     Tokens whose estimate, which is never too low, is small are tested list by list in one exchange. The others need no
-    test; they go on as they are, so that no list without a bound meets in a task.
+    test; they go on as they are, so that no list without a bound meets in a task. A node all whose lists ask for more
+    tokens than it shares links with nothing and goes. ``others`` packs, for the second, fourth, ... shared token of a
+    node, how many unshared ones stand before it, a byte each.
     """
-    rows = lambda column: signed.where("n > 0").select(F.explode(column).alias("token"), "node", "n", "asked", "centre")
+    pair = F.posexplode(F.arrays_zip("prefix", "often")).alias("at", "p")
+    rows = signed.where("n > 0").select(pair, "node", "n", "asked", "centre").select(F.col("p.prefix").alias("token"), "at", "node", "n", "asked", "centre", F.col("p.often").alias("often"))
     each = W.partitionBy("token")
-    rare = rows("prefix").withColumn("first", F.min("node").over(each)).withColumn("last", F.max("node").over(each)).where("first <> last").drop("first", "last")
-    return stored(rare.dropDuplicates(["token", "node"]).unionByName(rows("often").dropDuplicates(["token", "node"])), "lists")
+    rare = rows.where(~F.col("often")).withColumn("first", F.min("node").over(each)).withColumn("last", F.max("node").over(each))
+    rare = rare.withColumn("least", F.min("asked").over(each)).where("first <> last").drop("first", "last", "often").dropDuplicates(["token", "node"])
+    often = rows.where("often").drop("often").withColumn("least", F.lit(1)).dropDuplicates(["token", "node"])
+    lists = stored(rare.unionByName(often), "lists")
+
+    nodes = lists.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("own"), F.min("least").alias("least"), *[F.first(x).alias(x) for x in ("n", "asked", "centre")])
+    place = lambda r: F.least(F.lit(255), F.coalesce(F.get("own", F.lit(r))["at"] - r, F.lit(255))).cast("long")
+    others = F.lit(0).cast("long")
+    for k in range(LONGEST // 2):
+        others = others.bitwiseOR(F.shiftleft(place(2 * k + 1), 8 * k))
+    nodes = nodes.where(F.size("own") >= F.col("least")).withColumn("others", others)
+    lists = nodes.select(F.explode("own").alias("p"), "node", "n", "asked", "centre", "others").select("p.token", "p.at", "node", "n", "asked", "centre", "others")
+    lists = stored(lists, "lists")
+    shared = lists.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("token")
+    return stored(lists.join(shared, "token", "left_semi"), "lists")
 
 
 def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +192,7 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
 
     def open_lists(rows: DataFrame, least: int) -> DataFrame:
         """Lists with nodes of several components: their size, their centre and its component."""
-        best = F.max_by(F.struct("node", "n", "asked", "root"), F.struct("centre", "node"))
+        best = F.max_by(F.struct("node", "n", "asked", "at", "others", "root"), F.struct("centre", "node"))
         per = rows.groupBy("token").agg(F.count("*").alias("size"), F.min("root").alias("first"), F.max("root").alias("last"), best.alias("hub"))
         return per.where((F.col("first") != F.col("last")) & (F.col("size") > least)).select("token", "hub")
 
@@ -198,7 +208,7 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
         tried = None
         for _ in range(ROUNDS):
             rows = with_roots(members)
-            star = rows.join(open_lists(rows, LONG_LIST), "token").where((F.col("root") != F.col("hub.root")) & _fits(F.col("n"), F.col("hub.n"), num, den))
+            star = rows.join(open_lists(rows, LONG_LIST), "token").where((F.col("root") != F.col("hub.root")) & _fits("", "hub.", num, den))
             pairs = star.groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(F.count("*").alias("shared"), F.first(F.least("asked", "hub.asked")).alias("asked"))
             pairs = pairs.where("shared >= asked").select("a", "b")
             if tried is not None:
@@ -215,7 +225,7 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     left = rows.join(main.select("token", "main"), "token")
     x, y = left.where("root <> main").alias("x"), rows.alias("y")
     once = (F.col("y.root") == F.col("x.main")) | (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & _fits(F.col("x.n"), F.col("y.n"), num, den))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & _fits("x.", "y.", num, den))
     pairs = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.asked", "y.asked").alias("asked"))
     pairs = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b"), "pairs")
     if not pairs.isEmpty():
