@@ -3,8 +3,9 @@
 The parser's events are folded into lines, one per block of text. A line's ratio is its length over the tags met in it;
 lines in menus, headers, forms and the like, told by element, role, class or id, have ratio 0, and so have lines outside
 the article where the page marks one. The ratios are smoothed over neighbouring lines and cut in two clusters, one held
-at 0. The content region is the innermost element that holds most of the text of the high lines; every line in it that is
-not marked as something else belongs to the article, short ones too.
+at 0. Where the page marks its article, every line in it that is not marked as something else belongs to the text. On other
+pages the content region is the innermost element that holds all high lines and the heading they stand under; again every
+line in it that is not marked belongs to the text, short ones too.
 
 Defined results: a null or empty page gives an empty text; unclosed and stray tags are read as browsers mostly do;
 repeated rows each get their result; pages are read whole, whatever their length; further columns are left out.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from meterloom.llm.common import table
 
-SIGMA, MOST = 1.0, 0.85
+SIGMA = 1.0
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
@@ -161,6 +162,8 @@ def main_text(html: str | None) -> str:
     inside = [any(kinds[n] in ARTICLE for n in of) for _, _, of, _ in lines]
     has_article = any(i and not m for i, (*_, m) in zip(inside, lines))
     usable = [not m and (i or not has_article) for i, (*_, m) in zip(inside, lines)]
+    if has_article:
+        return " ".join(line[0] for line, u in zip(lines, usable) if u)
     ratio = np.array([len(text) / max(1, tags) if u else 0.0 for (text, tags, _, _), u in zip(lines, usable)])
     if not ratio.any():
         return ""
@@ -168,14 +171,15 @@ def main_text(html: str | None) -> str:
     high = (even >= threshold(even)) & np.array(usable)
     if not high.any():
         high = np.array(usable)
-    mass: dict[int, int] = {}
-    for (text, _, of, _), h in zip(lines, high):
-        if h:
-            for n in of:
-                if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td"):
-                    mass[n] = mass.get(n, 0) + len(text)
-    total = sum(len(line[0]) for line, h in zip(lines, high) if h)
-    region = max((n for n, x in mass.items() if x >= MOST * total), default=None)  # numbers grow inwards
+    first = int(np.argmax(high))
+    for k in range(first, -1, -1):  # back to the heading, over a lead, as long as nothing marked comes between
+        if not usable[k]:
+            break
+        if any(kinds[n] in HEADINGS for n in lines[k][2]):
+            high[k] = True
+            break
+    boxes = [{n for n in of if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td")} for (_, _, of, _), h in zip(lines, high) if h]
+    region = max(set.intersection(*boxes), default=None)  # numbers grow inwards
     return " ".join(line[0] for line, u in zip(lines, usable) if u and (region is None or region in line[2]))
 
 

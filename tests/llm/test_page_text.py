@@ -24,6 +24,30 @@ def test_main_text(html, want):
     assert page_text.main_text(html) == want
 
 
+PARTS = f"<h1>Title</h1><div class='lead'><p>short</p></div><div class='body'><p>{LONG}</p></div><section><p>end</p></section>"
+
+
+@pytest.mark.parametrize("wrapper", ["article", "main", "div", "section"])
+def test_lead_body_and_sections_stay(wrapper):
+    page = f"<body><nav><a>Menu</a></nav><{wrapper}>{PARTS}</{wrapper}><footer>foot</footer></body>"
+    assert page_text.main_text(page) == f"Title short {LONG.strip()} end"
+
+
+@pytest.mark.parametrize("box", ["section", "div", "ul", "table"])
+def test_article_split_unevenly(box):
+    inner = {"ul": ("<li>", "</li>"), "table": ("<tr><td>", "</td></tr>")}.get(box, ("<p>", "</p>"))
+    part = lambda text: f"<{box}>{inner[0]}{text}{inner[1]}</{box}>"
+    want = f"{LONG * 9}{LONG.strip()} tail of the text"
+    assert page_text.main_text(f"<article>{part(LONG * 10)}{part('tail of the text')}</article>") == want
+    assert page_text.main_text(f"<article>{part('head of the text')}{part(LONG * 10)}</article>") == f"head of the text {LONG * 9}{LONG.strip()}"
+
+
+def test_unmarked_page_keeps_every_part_of_high_lines():
+    less = "some more text of the same kind in another part " * 4
+    page = f"<body><nav><a>Menu</a></nav><div id=a><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div><p>{less}</p></div></div></body>"
+    assert page_text.main_text(page) == " ".join([LONG.strip()] * 3 + [less.strip()])
+
+
 def test_whole_page_however_long():
     body = "".join(f"<p>paragraph number {i} of the text</p>" for i in range(20_000))
     assert page_text.main_text(f"<article>{body}</article>").endswith("paragraph number 19999 of the text")
