@@ -7,6 +7,9 @@ at 0. Where the page marks its article, every line in it that is not marked as s
 pages the content region is the innermost element that holds all high lines and the heading they stand under; again every
 line in it that is not marked belongs to the text, short ones too.
 
+A class or id only tells what an element is as long as the element is not, or does not hold, the article itself: its words
+do not count where most of the text of high lines lies in it and little text, or no title, lies elsewhere.
+
 Defined results: a null or empty page gives an empty text; unclosed and stray tags are read as browsers mostly do;
 repeated rows each get their result; pages are read whole, whatever their length; further columns are left out.
 """
@@ -36,39 +39,50 @@ WORDS = set(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer header masthead topbar toolbar comment comments reply replies disqus discussion "
     "share sharing social related recommended newsletter subscribe subscription signup login search pagination pager".split()
 )
+TALK = set("comment comments reply replies disqus discussion cookie cookies consent gdpr".split())  # may be longer than an article
+BESIDE = set("with without has have no not non hide show".split())  # the word after them tells what is beside the element
+TITLED = set("article post entry story content section page title".split())  # their header is the text's, not the site's
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _PARTS = re.compile(r"[a-z0-9]+")
 
 
 def _marked(tag: str, attrs) -> bool:
-    """Whether an element is by itself something other than the article."""
+    """Whether an element is by itself something other than the article, whatever it holds."""
     if tag in SKIPPED:
         return True
-    if tag in ARTICLE | {"html", "body"} | HEADINGS:
-        names = {"hidden", "style", "aria-hidden"}
-        if tag in ("article", "main"):
-            names |= {"class", "id", "role"}
-    else:
-        names = {"hidden", "style", "aria-hidden", "class", "id", "role"}
     for name, value in attrs:
-        if name not in names:
-            continue
         value = (value or "").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name == "role" and value in ROLES or name in ("class", "id") and WORDS.intersection(_PARTS.findall(value)):
-            return tag != "main"
+        if name == "role" and value in ROLES and tag not in {"html", "body", "main"} | HEADINGS:
+            return True
     return False
 
 
+def _words(tag: str, attrs, in_article: bool) -> set[str]:
+    """Words of an element's class and id that speak of something other than the article."""
+    found: set[str] = set()
+    if tag in {"html", "body", "main"} | HEADINGS:
+        return found
+    for name, value in attrs:
+        if name in ("class", "id"):
+            for token in (value or "").lower().split():
+                parts = _PARTS.findall(token)
+                own = {w for before, w in zip(["", *parts], parts) if w in WORDS and before not in BESIDE}
+                found |= own - {"header"} if in_article or TITLED.intersection(parts) else own
+    return found
+
+
 class Lines(HTMLParser):
-    """Folds events into lines: (text, tags, enclosing elements, marked)."""
+    """Folds events into lines: (text, tags, enclosing elements)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
-        self.stack: list[tuple[str, int, bool]] = []  # open block elements: tag, number, marked
-        self.tags_of = {}
+        self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        self.stack: list[tuple[str, int]] = []  # open block elements: tag, number
+        self.tags_of: dict[int, str] = {}
+        self.marked: set[int] = set()
+        self.words: dict[int, set[str]] = {}  # of elements whose class or id speaks of something else
         self.count = self.tags = 0
         self.buffer: list[str] = []
 
@@ -76,13 +90,18 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.buffer).split())
         self.buffer.clear()
         if text:
-            self.lines.append((text, self.tags, tuple(n for _, n, _ in self.stack), any(m for *_, m in self.stack)))
+            self.lines.append((text, self.tags, tuple(n for _, n in self.stack)))
             self.tags = 0
 
     def _open(self, tag: str, attrs) -> None:
         self.count += 1
         self.tags_of[self.count] = tag
-        self.stack.append((tag, self.count, _marked(tag, attrs) or tag == "header" and not any(t in ARTICLE for t, *_ in self.stack)))
+        in_article = any(t in ARTICLE for t, _ in self.stack)
+        if _marked(tag, attrs) or tag == "header" and not in_article:
+            self.marked.add(self.count)
+        elif words := _words(tag, attrs, in_article):
+            self.words[self.count] = words
+        self.stack.append((tag, self.count))
 
     def _close(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, -1, -1):
@@ -94,7 +113,7 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
-        if tag in INLINE and not (attrs and _marked(tag, attrs)):
+        if tag in INLINE and not (attrs and (_marked(tag, attrs) or _words(tag, attrs, False))):
             return
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -123,7 +142,7 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in INLINE and not any(t == tag for t, *_ in self.stack):
+        if tag in INLINE and not any(t == tag for t, _ in self.stack):
             return
         self._flush()
         self._close(tag)
@@ -151,6 +170,39 @@ def threshold(values: np.ndarray) -> float:
     return centre / 2
 
 
+def high_lines(lines, usable: np.ndarray) -> np.ndarray:
+    """Which of the usable lines belong to the cluster of high ratios."""
+    even = smooth(np.array([len(text) / max(1, tags) if u else 0.0 for (text, tags, _), u in zip(lines, usable)]))
+    high = (even >= threshold(even)) & usable
+    return high if high.any() else usable
+
+
+def something_else(parser: Lines) -> np.ndarray:
+    """Which lines are marked. Words of a class or id do not count on an element that is or holds the article."""
+    lines, kinds, words = parser.lines, parser.tags_of, dict(parser.words)
+    marked = np.array([not parser.marked.isdisjoint(of) for _, _, of in lines], bool)
+    if not words or marked.all():
+        return marked
+    size = np.array([len(text) for text, *_ in lines])
+    mass = size * high_lines(lines, ~marked)
+    title = np.array([any(kinds[n] in ARTICLE or kinds[n] == "h1" for n in of) for _, _, of in lines]) & ~marked
+    place: dict[int, list[int]] = {}
+    for i, (_, _, of) in enumerate(lines):
+        for n in of:
+            if n in words:
+                place.setdefault(n, []).append(i)
+    clean = np.array([words.keys().isdisjoint(of) for _, _, of in lines]) & ~marked
+    for n in sorted(place):  # outer elements first
+        own = place[n]
+        if 2 * mass[own].sum() <= mass.sum():
+            continue
+        holds, little = title[own].any(), 10 * size[clean].sum() <= size[~marked].sum()
+        if holds and not (title & clean).any() or little and (holds or not words[n] & TALK):
+            del words[n]
+            clean = np.array([words.keys().isdisjoint(of) for _, _, of in lines]) & ~marked
+    return ~clean
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -159,18 +211,13 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser._flush()
     lines, kinds = parser.lines, parser.tags_of
-    inside = [any(kinds[n] in ARTICLE for n in of) for _, _, of, _ in lines]
-    has_article = any(i and not m for i, (*_, m) in zip(inside, lines))
-    usable = [not m and (i or not has_article) for i, (*_, m) in zip(inside, lines)]
-    if has_article:
-        return " ".join(line[0] for line, u in zip(lines, usable) if u)
-    ratio = np.array([len(text) / max(1, tags) if u else 0.0 for (text, tags, _, _), u in zip(lines, usable)])
-    if not ratio.any():
+    usable = ~something_else(parser)
+    inside = np.array([any(kinds[n] in ARTICLE for n in of) for _, _, of in lines], bool) & usable
+    if inside.any():
+        return " ".join(line[0] for line, i in zip(lines, inside) if i)
+    if not usable.any():
         return ""
-    even = smooth(ratio)
-    high = (even >= threshold(even)) & np.array(usable)
-    if not high.any():
-        high = np.array(usable)
+    high = high_lines(lines, usable).copy()
     first = int(np.argmax(high))
     for k in range(first, -1, -1):  # back to the heading, over a lead, as long as nothing marked comes between
         if not usable[k]:
@@ -178,7 +225,7 @@ def main_text(html: str | None) -> str:
         if any(kinds[n] in HEADINGS for n in lines[k][2]):
             high[k] = True
             break
-    boxes = [{n for n in of if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td")} for (_, _, of, _), h in zip(lines, high) if h]
+    boxes = [{n for n in of if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td")} for (_, _, of), h in zip(lines, high) if h]
     region = max(set.intersection(*boxes), default=None)  # numbers grow inwards
     return " ".join(line[0] for line, u in zip(lines, usable) if u and (region is None or region in line[2]))
 

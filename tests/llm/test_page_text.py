@@ -48,6 +48,37 @@ def test_unmarked_page_keeps_every_part_of_high_lines():
     assert page_text.main_text(page) == " ".join([LONG.strip()] * 3 + [less.strip()])
 
 
+@pytest.mark.parametrize(
+    "open_tags, close_tags",
+    [
+        ("<div class='layout with-sidebar'><article>", "</article></div>"),
+        ("<div class='layout sidebar-right'><article>", "</article></div>"),
+        ("<div id='header-layout'><div class='content-sidebar'>", "</div></div>"),
+        ("<article class='post has-sidebar'>", "</article>"),
+        ("<article class='post no-comments'>", "</article>"),
+        ("<article class='post comments-open'>", "</article>"),
+        ("<main><div class='widget wide'>", "</div></main>"),
+    ],
+)
+def test_words_do_not_mark_what_holds_the_article(open_tags, close_tags):
+    inner = f"<div class='article-header'><h1>Title</h1></div><p>short</p><p>{LONG}</p><div class='share'>tell others</div>"
+    page = f"<body><nav>Menu</nav><h2>Site</h2>{open_tags}{inner}{close_tags}<div class='sidebar'><p>more</p></div><p>2020</p></body>"
+    got = page_text.main_text(page)
+    assert f"Title short {LONG.strip()}" in got and "Menu" not in got and "more" not in got and "tell others" not in got
+
+
+@pytest.mark.parametrize("wrapper", ["article", "section"])
+def test_header_of_the_text_stays(wrapper):
+    page = f"<body><div class='header'>Site</div><{wrapper}><div class='post-header'><h1>Title</h1></div><p>{LONG}</p></{wrapper}></body>"
+    assert page_text.main_text(page) == f"Title {LONG.strip()}"
+
+
+def test_longer_comments_and_related_articles_stay_out():
+    page = "<article><h1>T</h1><p>{0}</p></article><div id='comments'><article>{1}</article><article>{1}</article></div><div class='related'><article>{0}</article></div>"
+    assert page_text.main_text(page.format(LONG, LONG * 3)) == f"T {LONG.strip()}"
+    assert page_text.main_text(f"<div><h1>T</h1><p>{LONG}</p></div><div class='comments'><p>{LONG * 3}</p></div>") == f"T {LONG.strip()}"
+
+
 def test_whole_page_however_long():
     body = "".join(f"<p>paragraph number {i} of the text</p>" for i in range(20_000))
     assert page_text.main_text(f"<article>{body}</article>").endswith("paragraph number 19999 of the text")
