@@ -807,9 +807,15 @@ def rff_ridge(spark, sf):
     return evaluate.model_metrics(forecast.long_predictions(forecast.rff_model(trained(spark, sf))))
 
 
+_FORESTS = {}
+
+
 def _forest(spark, sf):
-    t = trained(spark, sf)
-    return t, models.fit_forest(t.train, trees=10, depth=8)
+    """The forest at its full size, once per session and table folder."""
+    t, key = trained(spark, sf), (spark.sparkContext.applicationId, sf)
+    if key not in _FORESTS:
+        _FORESTS[key] = models.fit_forest(t.train)
+    return t, _FORESTS[key]
 
 
 @query

@@ -8,6 +8,7 @@ features (about thirty), not rows. Tree and Huber models are Spark ML estimators
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +20,8 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterloom.session import checkpoint_dir
+
 # Penalty grid, folds, forest size, seed, t quantile (97.5 %, 4 degrees of freedom).
 ALPHAS = (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)
 FOLDS = 5
@@ -270,15 +273,27 @@ def kernel_gamma(sums: np.ndarray) -> float:
 
 
 def member_predictions(forest, matrix: DataFrame) -> DataFrame:
-    """Prediction of every tree of the forest as array ``members``, with ``y``."""
-    out = matrix
-    names = []
-    for i, tree in enumerate(forest.trees):
-        name = f"_tree_{i}"
-        tree.setFeaturesCol("features").setPredictionCol(name)
-        out = tree.transform(out)
-        names.append(name)
-    return out.withColumn("members", F.array(*names)).drop(*names).withColumn("y", F.col("label"))
+    """Prediction of every tree of the forest as array ``members``, with ``y``.
+
+    One pass gives the leaf that a row reaches in every tree; the leaves' values, in the order in which Spark numbers
+    them, come from the stored forest.
+    """
+    spark = matrix.sparkSession
+    path = f"{checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}"
+    forest.write().save(path)
+    node = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    leaves = node.where("leftChild < 0").select("treeID", "id", "prediction").toPandas().sort_values(["treeID", "id"])
+    values = spark.sparkContext.broadcast(leaves["prediction"].to_numpy())
+    first = np.searchsorted(leaves["treeID"].to_numpy(), np.arange(len(forest.trees)))
+
+    @F.pandas_udf("array<double>")
+    def reached(leaf):
+        if not len(leaf):
+            return leaf
+        return leaf.__class__(list(values.value[np.stack(leaf.to_numpy()).astype(np.int64) + first]))
+
+    out = forest.copy({forest.leafCol: "_leaf", forest.predictionCol: "_mean"}).transform(matrix)
+    return out.withColumn("members", reached(vector_to_array("_leaf"))).drop("_leaf", "_mean").withColumn("y", F.col("label"))
 
 
 def coefficient_report(spark: SparkSession, fits: dict[str, LinearFit], names: list[str], top: int | None = 5) -> DataFrame:

@@ -211,3 +211,21 @@ def test_other_models(spark, training, tmp_path):
     forest.write().overwrite().save(str(tmp_path / "forest"))
     again = RandomForestRegressionModel.load(str(tmp_path / "forest"))
     assert again.totalNumNodes == forest.totalNumNodes
+
+
+def test_registered_forest_has_its_full_size(spark, training, monkeypatch):
+    from checks import queries
+
+    asked = []
+    monkeypatch.setattr(queries, "trained", lambda spark, sf: training)
+    monkeypatch.setattr(models, "RandomForestRegressor", lambda **size: asked.append(size) or type("", (), {"fit": lambda self, rows: self})())
+    forests = [queries._forest(spark, "folder")[1] for _ in range(3)]
+    assert [(a["numTrees"], a["maxDepth"]) for a in asked] == [(300, 30)] and forests[0] is forests[2]
+
+
+def test_all_trees_are_evaluated_in_one_pass(spark, training):
+    few, many = (models.fit_forest(training.train, trees=n, depth=30) for n in (2, 12))
+    plans = [models.member_predictions(f, training.matrix)._jdf.queryExecution().optimizedPlan().toString() for f in (few, many)]
+    assert plans[0].count("\n") == plans[1].count("\n") and plans[1].count("UDF") == plans[0].count("UDF")
+    rows = models.member_predictions(many, training.matrix.limit(40)).select("features", "members").collect()
+    assert rows and all(list(r.members) == [tree.predict(r.features) for tree in many.trees] for r in rows)
