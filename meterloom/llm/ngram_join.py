@@ -12,6 +12,9 @@ its square, and the links among texts already known to be connected change no co
 first compared with one member each, the most central one; afterwards pairs whose ends are already connected are left out,
 and all other pairs of all lists are candidates as above. No link between components can be lost.
 
+``links`` leaves nothing out: it verifies the candidates within components too and gives every link between different
+sets, with the rows that hold each set. Its work and its rows grow with the number of links.
+
 Defined results: texts without words, or null, have no tokens and link with nothing; a text with fewer words than n has
 its whole sequence as only token; rows with equal identifiers and texts are copies like any others; a row with a null
 identifier is part of its group but never names it; only the named columns are read.
@@ -177,6 +180,38 @@ def shared_lists(signed: DataFrame) -> DataFrame:
     return stored(lists.join(shared, "token", "left_semi"), "lists")
 
 
+def verified(docs: DataFrame, signed: DataFrame, left: DataFrame, right: DataFrame, which, size: int, num: int, den: int) -> DataFrame:
+    """Stored links (a, b), a > b, among the pairs of ``left`` (x) and ``right`` (y) that meet in a token and fulfil ``which``."""
+    pairs = left.alias("x").join(right.alias("y"), (F.col("x.token") == F.col("y.token")) & which & _fits("x.", "y.", num, den))
+    pairs = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.asked", "y.asked").alias("asked"))
+    pairs = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b"), "pairs")
+    if pairs.isEmpty():
+        return pairs
+    sets, picks = token_sets(docs, signed, pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), size)
+    return stored(linked(pairs, sets, picks, num, den), "found")
+
+
+def links(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every link, as (doc_id, n, node) for every row and (a, b), a > b, for every two linked nodes.
+
+    Rows with equal token sets have one node and are linked with each other; rows without tokens have none.
+    """
+    docs = id_text(docs, id_col, text_col)
+    signed = prefixes(docs, size, num, den)
+    lists = shared_lists(signed)
+    members = signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    return members, verified(docs, signed, lists, lists, F.col("x.node") < F.col("y.node"), size, num, den)
+
+
+def link_counts(members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, n_links) for every row: how many other rows it is linked with."""
+    copies = members.where("node IS NOT NULL").groupBy("node").agg(F.count("*").alias("copies"))
+    both = pairs.select(F.col("a").alias("own"), F.col("b").alias("node")).union(pairs.select(F.col("b").alias("own"), F.col("a").alias("node")))
+    near = both.join(copies, "node").groupBy(F.col("own").alias("node")).agg(F.sum("copies").alias("near"))
+    per = copies.join(near, "node", "left").select("node", (F.col("copies") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"))
+    return members.join(per, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row: texts are linked when ``den * shared >= num * union``."""
     docs = id_text(docs, id_col, text_col)
@@ -223,16 +258,10 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     rows = stored(with_roots(lists), "rows")
     main = rows.groupBy("token", "root").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("several")).where("several > 1")
     left = rows.join(main.select("token", "main"), "token")
-    x, y = left.where("root <> main").alias("x"), rows.alias("y")
     once = (F.col("y.root") == F.col("x.main")) | (F.col("x.node") < F.col("y.node"))
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & once & _fits("x.", "y.", num, den))
-    pairs = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.asked", "y.asked").alias("asked"))
-    pairs = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b"), "pairs")
-    if not pairs.isEmpty():
-        sets, picks = token_sets(docs, signed, pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), size)
-        more = stored(linked(pairs, sets, picks, num, den), "found")
-        if not more.isEmpty():
-            with_links(more)
+    more = verified(docs, signed, left.where("root <> main"), rows, (F.col("x.root") != F.col("y.root")) & once, size, num, den)
+    if not more.isEmpty():
+        with_links(more)
 
     names = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("name"))
     if roots is not None:
@@ -257,6 +286,10 @@ def op1_jaccard(spark, sf_dir: str) -> DataFrame:
     return link(table(spark, sf_dir, "documents"), size=3, num=90, den=100)
 
 
+def op1_links(spark, sf_dir: str) -> DataFrame:
+    return link_counts(*links(table(spark, sf_dir, "documents"), size=3, num=90, den=100))
+
+
 ORACLE = """
 WITH RECURSIVE w AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -269,3 +302,14 @@ c(x, y) AS (SELECT r, r FROM n UNION SELECT c.x, l.y FROM c JOIN l ON l.x = c.y)
 m AS (SELECT c.x AS r, min(n.doc_id) AS component_id FROM c JOIN n ON n.r = c.y GROUP BY c.x)
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(m.component_id, w.doc_id) AS component_id
 FROM w LEFT JOIN n USING (r) LEFT JOIN m USING (r)"""
+
+LINKS_ORACLE = """
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(generate_series(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS g FROM w),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+e AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+l AS (SELECT x AS r, count(*) AS n_links FROM e JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * c >= 90 * (p.n + q.n - c) GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(l.n_links, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n USING (r) LEFT JOIN l USING (r)"""

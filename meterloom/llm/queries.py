@@ -6,6 +6,7 @@ from meterloom.llm import bpe, language, neighbours, ngram_join, packing, page_t
 
 QUERIES = {
     "op1_jaccard": ngram_join.op1_jaccard,
+    "op1_links": ngram_join.op1_links,
     "op2_neighbours": neighbours.op2_neighbours,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_substrings": substrings.op4_substrings,
@@ -19,6 +20,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_jaccard": ngram_join.ORACLE,
+    "op1_links": ngram_join.LINKS_ORACLE,
     "op4_substrings": substrings.ORACLE,
     "op9_secrets": secret_scan.ORACLE,
 }

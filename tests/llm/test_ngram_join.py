@@ -96,3 +96,31 @@ def test_components_of_long_chains_and_hubs(spark):
     got = {r["node"]: r["root"] for r in graphs.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {n: min(g) for g in (names[:100], names[100:200]) for n in g}
     assert graphs.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def all_links(rows, size=3, num=90, den=100):
+    """Pairs of linked rows, by position."""
+    sets = [shingles(t, size) for _, t in rows]
+    return {(j, i) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a and b and den * len(a & b) >= num * len(a | b)}
+
+
+def test_every_link_is_returned(spark, copies):
+    df = spark.createDataFrame(copies, "doc_id long, text string").repartition(7)
+    want = {(copies[j][0], copies[i][0]) for j, i in all_links(copies)}
+    members, pairs = ngram_join.links(df)
+    node = {r["doc_id"]: r["node"] for r in members.collect()}
+    linked = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert pairs.count() == len(linked) and all(a > b for a, b in linked)
+    ids = sorted(d for d in node if node[d] is not None)
+    got = {(c, d) for d in ids for c in ids if c < d and (node[c] == node[d] or (max(node[c], node[d]), min(node[c], node[d])) in linked)}
+    assert got == want
+    counts = {r["doc_id"]: r["n_links"] for r in ngram_join.link_counts(members, pairs).collect()}
+    assert counts == {d: sum(d in pair for pair in want) for d, _ in copies}
+
+
+def test_links_of_edge_rows(spark, edge_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.collect()]
+    linked = all_links(rows)
+    want = sorted(((d, len(shingles(t, 3)), sum(i in pair for pair in linked)) for i, (d, t) in enumerate(rows)), key=str)
+    assert result(ngram_join.link_counts(*ngram_join.links(edge_docs))) == want
+    assert ngram_join.link_counts(*ngram_join.links(no_docs)).count() == 0
