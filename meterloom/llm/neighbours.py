@@ -7,7 +7,7 @@ than BLOCK rows, or more than BLOCK queries, is split in blocks and every pair o
 whole hot bucket and nothing is left out. Within a block the distances of the original vectors decide.
 
 Of equal vectors only the k + 1 with the smallest identifiers can be among anybody's k nearest, so only they are indexed.
-Tables with few rows are probed more widely, in the end everywhere, so that small inputs lose nothing.
+How many buckets a query probes depends on the vectors' length only, not on the number of rows.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, and rows without an
 identifier, take no part; vectors of different lengths do not meet; rows with equal identifier and vector count once;
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import stored, table
 
 TABLES, PROBES, HASHES, SEED = 10, 12, 1, 20
-WIDE = 2000  # rows that the probes of one query reach at least, on average
+SHARE = 1 / 8  # of a table's buckets that a query probes at least
 BLOCK = 4096
 
 
@@ -66,7 +66,13 @@ def buckets(unit: np.ndarray, number: int, probes: int, hashes: int) -> np.ndarr
     return codes
 
 
-def _hashed(rows: DataFrame, probes_of, tables: int, hashes: int) -> DataFrame:
+def probes_of(dim: int, probes: int = PROBES, hashes: int = HASHES) -> int:
+    """Buckets that a query of this length probes in each table."""
+    every = (2 << max(1, (dim - 1).bit_length())) ** hashes
+    return min(every, max(probes, math.ceil(every * SHARE)))
+
+
+def _hashed(rows: DataFrame, number_of, tables: int, hashes: int) -> DataFrame:
     """(vec_id, vector) -> one row per table and probed bucket; vectors become bytes of doubles."""
 
     def run(frames):
@@ -77,7 +83,7 @@ def _hashed(rows: DataFrame, probes_of, tables: int, hashes: int) -> DataFrame:
                 unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
                 raw = [v.tobytes() for v in x]
                 for number in range(tables):
-                    codes = buckets(unit, number, probes_of(int(dim)), hashes)
+                    codes = buckets(unit, number, number_of(int(dim)), hashes)
                     n = codes.shape[1]
                     yield pd.DataFrame({"dim": int(dim), "number": number, "bucket": codes.ravel(), "vec_id": np.repeat(part["vec_id"].to_numpy(), n), "vector": [r for r in raw for _ in range(n)]})
 
@@ -94,11 +100,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
     copies = W.partitionBy("vector").orderBy("vec_id")
     rows = stored(v.dropDuplicates().withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).drop("copy"), "vectors")
     queries = v.where(is_query(F.col("vec_id"))).dropDuplicates()
-    n = max(1, rows.count())
-    axes_of = lambda dim: (2 << max(1, (dim - 1).bit_length())) ** hashes
-    probes_of = lambda dim: min(axes_of(dim), max(probes, math.ceil(axes_of(dim) * WIDE / n)))
     index = stored(_hashed(rows, lambda dim: 1, tables, hashes), "index")
-    asked = stored(_hashed(queries, probes_of, tables, hashes), "probes")
+    asked = stored(_hashed(queries, lambda dim: probes_of(dim, probes, hashes), tables, hashes), "probes")
 
     key = ["dim", "number", "bucket"]
     blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))

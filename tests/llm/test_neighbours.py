@@ -77,3 +77,17 @@ def test_hot_buckets_are_split_without_loss(spark, monkeypatch):
     for r in neighbours.nearest(df, lambda v: v % 10 == 0).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     assert got == {q: [a for a, _ in v] for q, v in brute(np.arange(200), x, range(0, 200, 10), 10).items()}
+
+
+@pytest.mark.parametrize("dim", [64, 256])
+def test_recall_with_the_probes_of_any_table(dim):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, dim))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    asked = unit[:60]
+    near = np.argsort(asked @ unit.T, axis=1)[:, -11:-1]
+    met = np.zeros((60, 1500), bool)
+    for number in range(neighbours.TABLES):
+        own, probed = neighbours.buckets(unit, number, 1, 1), neighbours.buckets(asked, number, neighbours.probes_of(dim), 1)
+        met |= (own[None, :, :] == probed[:, None, :]).any(axis=2)
+    assert np.take_along_axis(met, near, axis=1).mean() >= 0.9 and not met.all()
