@@ -6,7 +6,7 @@ stand on content lines and no base rule fails: fewer than 20 words, or over 30 %
 text repeats.
 
 The field is fitted, by gradient ascent on the conditional likelihood, on a bounded sample of labelled texts: about SAMPLE
-of each quality, of each the first LINES lines; a text's quality stands for the labels of its lines. All else covers
+of each quality, all their lines, in chains of LINES lines at most; a text's quality stands for the labels of its lines. All else covers
 every text, whole.
 
 Defined results: a null text has no words and no lines, fails the base rule and is not kept; without labels every line is
@@ -131,6 +131,11 @@ def fit_field(chains: list[np.ndarray], labels: list[int], steps: int = STEPS) -
     return Field(flat[:FEATURES], flat[FEATURES : FEATURES + 2], flat[FEATURES + 2 :].reshape(2, 2))
 
 
+def blocks(x: np.ndarray) -> list[np.ndarray]:
+    """All lines of a text, cut into chains of LINES lines at most."""
+    return [x[i : i + LINES] for i in range(0, len(x), LINES)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Field | None:
     """Field from about ``sample`` texts of each quality, drawn by identifier."""
     known = labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").cast("int").alias("quality")).where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
@@ -144,8 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def features(frames):
         for pdf in frames:
-            rows = [line_features(t)[0][:LINES] for t in pdf["text"]]
-            yield pd.DataFrame({"quality": pdf["quality"], "x": pd.Series([r.tobytes() for r in rows], dtype=object)})
+            rows = [(q, part.tobytes()) for q, t in zip(pdf["quality"], pdf["text"]) for part in blocks(line_features(t)[0])]
+            yield pd.DataFrame({"quality": pd.Series([r[0] for r in rows], dtype="int32"), "x": pd.Series([r[1] for r in rows], dtype=object)})
 
     texts = id_text(docs, id_col, text_col).join(F.broadcast(drawn), "doc_id").select("quality", "text")  # 2 * sample identifiers, about
     got = texts.mapInPandas(features, "quality int, x binary").toPandas()

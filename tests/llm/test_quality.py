@@ -61,3 +61,14 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert got == sorted((str(r["doc_id"]), *base(r["text"]), not base(r["text"])[-1]) for r in edge_docs.collect())
     assert quality.retained(edge_docs, None).columns == edge_docs.columns
     assert quality.judge(no_docs, None).count() == 0
+
+
+def test_fit_learns_from_all_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit_field", lambda chains, labels: seen.append((chains, labels)))
+    text = "\n".join(f"line number {i} of the text" for i in range(200))
+    docs = spark.createDataFrame([(1, text), (2, "a b c"), (3, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    quality.fit(docs, labels)
+    (chains, got), = seen
+    assert sum(len(c) for c, y in zip(chains, got) if y == 1) == len(quality.line_features(text)[0]) == 200
