@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meterloom.llm import bpe, language, neighbours, ngram_join, packing, page_text, quality, secret_scan, substrings, toxicity
+from meterloom.llm import alignment, bpe, clustering, language, neighbours, ngram_join, packing, page_text, quality, secret_scan, sharding, substrings, toxicity
 
 QUERIES = {
     "op1_jaccard": ngram_join.op1_jaccard,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_html": page_text.op8_html,
     "op9_secrets": secret_scan.op9_secrets,
     "op10_language": language.op10_language,
+    "op11_sharding": sharding.op11_sharding,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_clustering": clustering.op13_clustering,
 }
 
 ORACLES = {
@@ -23,4 +26,6 @@ ORACLES = {
     "op1_links": ngram_join.LINKS_ORACLE,
     "op4_substrings": substrings.ORACLE,
     "op9_secrets": secret_scan.ORACLE,
+    "op11_sharding": sharding.ORACLE,
+    "op13_clustering": clustering.ORACLE,
 }
