@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 from meterloom.session import checkpoint_dir
 
 
-#: Rows of a batch that Python workers get: texts are long, and a worker holds one batch at a time.
-BATCH_ROWS = 1000
+#: Rows and bytes of a batch that Python workers get: texts are long, and a worker holds one batch at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder. Python workers get short batches, and find this package wherever the session was started."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), ROOT]))

@@ -200,14 +200,16 @@ def _field(blob: bytes) -> Field:
     return pickle.loads(blob)
 
 
-RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content array<boolean>, content_share double, kept boolean"
+RESULT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
+LINES_TOO = RESULT + ", content array<boolean>"
 
 
-def verdict(field: Field | None):
-    """Column function from a text: the base rules' figures, the label of every line, the share of content, the verdict."""
-    blob = pickle.dumps(field)
+def verdict(field: Field | None, lines: bool = False):
+    """Column function from a text: the base rules' figures, the share of content, the verdict; with ``lines`` also the
+    label of every line."""
+    blob, result = pickle.dumps(field), LINES_TOO if lines else RESULT
 
-    @F.pandas_udf(RESULT)
+    @F.pandas_udf(result)
     def run(text: pd.Series) -> pd.DataFrame:
         own, rows = _field(blob), []
         for t in text:
@@ -216,20 +218,33 @@ def verdict(field: Field | None):
             content = np.ones(len(x), bool) if own is None else viterbi(own, x)
             total = sizes.sum()
             share = float(sizes[content].sum() / total) if total else 0.0
-            rows.append((*base, content.tolist(), share, not base[-1] and share >= SHARE))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
+            rows.append((*base, share, not base[-1] and share >= SHARE, *([content.tolist()] if lines else [])))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in result.split(", ")])
 
     return run
 
 
-def judge(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judge(docs: DataFrame, field: Field | None, id_col: str = "doc_id", text_col: str = "text", lines: bool = False) -> DataFrame:
     """(doc_id, r) for every row, ``r`` by ``verdict``."""
-    return id_text(docs, id_col, text_col).select("doc_id", verdict(field)("text").alias("r"))
+    return id_text(docs, id_col, text_col).select("doc_id", verdict(field, lines)("text").alias("r"))
 
 
 def retained(docs: DataFrame, field: Field | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
-    return docs.where(verdict(field)(F.col(f"`{text_col}`").cast("string"))["kept"])
+    blob = pickle.dumps(field)
+
+    @F.pandas_udf("boolean")
+    def keep(text: pd.Series) -> pd.Series:
+        own, out = _field(blob), []
+        for t in text:
+            kept = not base_rules(t)[-1]
+            if kept and own is not None:
+                x, sizes = line_features(t)
+                kept = bool(sizes[viterbi(own, x)].sum() / sizes.sum() >= SHARE)
+            out.append(kept)
+        return pd.Series(out, dtype=bool)
+
+    return docs.where(keep(F.col(f"`{text_col}`").cast("string")))
 
 
 def op7_quality(spark, sf_dir: str) -> DataFrame:

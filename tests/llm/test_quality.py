@@ -72,3 +72,16 @@ def test_fit_learns_from_all_lines(spark, monkeypatch):
     quality.fit(docs, labels)
     (chains, got), = seen
     assert sum(len(c) for c, y in zip(chains, got) if y == 1) == len(quality.line_features(text)[0]) == 200
+
+
+def test_retained_rows_are_those_kept(spark, edge_docs):
+    docs, labels = common.table(spark, SF, "documents"), common.table(spark, SF, "labels")
+    field = quality.fit(docs, labels)
+    for given, by in ((docs, field), (docs, None), (edge_docs, field)):
+        kept = quality.judge(given, by).where("r.kept").select("doc_id").collect()
+        assert sorted(map(str, kept)) == sorted(map(str, quality.retained(given, by).select("doc_id").collect()))
+
+
+def test_labels_of_lines_on_request(spark, edge_docs):
+    rows = quality.judge(edge_docs, None, lines=True).select("r.content", "r.n_words").collect()
+    assert all(r["content"] == [True] * len(r["content"]) for r in rows) and "content" not in quality.judge(edge_docs, None).select("r.*").columns
