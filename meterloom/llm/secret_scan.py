@@ -14,13 +14,15 @@ the findings of their text; only the named identifier and text columns are read.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import id_text, stored, table
+from meterloom.llm.common import fresh, id_text, stored, table
+from meterloom.session import checkpoint_dir
 
 
 class Rule(NamedTuple):
@@ -87,23 +89,20 @@ def scan_blobs(blobs: DataFrame, rules=RULES) -> DataFrame:
 
 
 def scan_versions(versions: DataFrame, id_col: str = "doc_id", text_col: str = "text", ledger: str | None = None, rules=RULES) -> DataFrame:
-    """(doc_id, blob, spans) for every version; ``ledger`` names a Parquet folder kept between runs, or None for none.
+    """(doc_id, blob, spans) for every version; ``ledger`` names a Parquet folder kept between runs, None one of this call.
 
-    Only blobs without a row for this rule version are scanned, and their rows are appended to the ledger.
+    Only blobs without a row for this rule version are scanned, their rows are appended to the ledger, and the findings are
+    read back from it. Two runs at once, or one again after a failed commit, may append a blob twice; it counts once.
     """
     spark, version = versions.sparkSession, rule_version(rules)
+    ledger = ledger or f"{checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    recorded = lambda: spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == version).select("blob", "spans")
     paths = id_text(versions, id_col, text_col).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
     unseen = paths.groupBy("blob").agg(F.first("text").alias("text"))
-    known = None
-    if ledger is not None:
-        spark.createDataFrame([], LEDGER).write.mode("append").partitionBy("rule_version").parquet(ledger)  # the folder exists from now on
-        known = spark.read.schema(LEDGER).parquet(ledger).where(F.col("rule_version") == version).select("blob", "spans")
-        known = stored(known, "ledger")  # what was known before this run, also while it appends
-        unseen = unseen.join(known.select("blob"), "blob", "left_anti")
-    fresh = stored(scan_blobs(unseen, rules), "findings")
-    if ledger is not None:
-        fresh.withColumn("rule_version", F.lit(version)).write.mode("append").partitionBy("rule_version").parquet(ledger)
-    found = (fresh if known is None else fresh.unionByName(known)).where(F.size("spans") > 0)
+    spark.createDataFrame([], LEDGER).write.mode("append").partitionBy("rule_version").parquet(ledger)  # the folder exists from now on
+    unseen = unseen.join(recorded().select("blob"), "blob", "left_anti")
+    scan_blobs(unseen, rules).withColumn("rule_version", F.lit(version)).write.mode("append").partitionBy("rule_version").parquet(ledger)
+    found = recorded().where(F.size("spans") > 0).dropDuplicates(["blob"])
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,prev_end:int>>")
     return paths.select("doc_id", "blob").join(found, "blob", "left").select("doc_id", "blob", F.coalesce("spans", none).alias("spans"))
 
@@ -132,9 +131,10 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
     for rule in RULES:
         suspect = suspect | text.rlike(rule.pattern)
     suspect = F.coalesce(suspect, F.lit(False))
-    new = redact(docs, id_col, text_col, mark, ledger).select(F.col("blob").alias("own blob"), F.col("redacted").alias("new text"))
-    rows = docs.where(suspect).withColumn("own blob", F.sha2(text, 256)).join(new, "own blob", "left")
-    rows = rows.withColumn(text_col, F.coalesce("new text", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    own, changed = fresh("own_blob", docs), fresh("new_text", docs)
+    new = redact(docs, id_col, text_col, mark, ledger).select(F.col("blob").alias(own), F.col("redacted").alias(changed))
+    rows = docs.where(suspect).withColumn(own, F.sha2(text, 256)).join(new, own, "left")
+    rows = rows.withColumn(text_col, F.coalesce(changed, text)).select(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.where(~suspect).withColumn(text_col, text).unionByName(rows)
 
 
