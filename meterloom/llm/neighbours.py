@@ -66,6 +66,20 @@ def buckets(unit: np.ndarray, number: int, probes: int, hashes: int) -> np.ndarr
     return codes
 
 
+def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Euclidean distances; where the squares leave the range of doubles, by differences over their largest."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        diff = x - q
+        squares = (diff * diff).sum(axis=1)
+        d = np.sqrt(squares)
+        outside = ~((squares < 1e300) & (squares > 1e-290))
+        if outside.any():
+            most = np.abs(diff[outside]).max(axis=1)
+            by = np.where((most > 0) & np.isfinite(most), most, 1.0)
+            d[outside] = np.where(np.isfinite(most), by * np.sqrt(((diff[outside] / by[:, None]) ** 2).sum(axis=1)), np.inf)
+    return d
+
+
 def probes_of(dim: int, probes: int = PROBES, hashes: int = HASHES) -> int:
     """Buckets that a query of this length probes in each table."""
     every = (2 << max(1, (dim - 1).bit_length())) ** hashes
@@ -117,8 +131,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
             ids = found["vec_id"].to_numpy()
             x = np.frombuffer(b"".join(found["vector"]), np.float64).reshape(len(ids), -1)
             for q, raw in zip(wanted["vec_id"].tolist(), wanted["vector"]):
-                diff = x - np.frombuffer(raw, np.float64)
-                d = np.sqrt((diff * diff).sum(axis=1))
+                d = distances(x, np.frombuffer(raw, np.float64))
                 d[ids == q] = np.inf
                 near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
                 near = near[np.lexsort((ids[near], d[near]))][:k]

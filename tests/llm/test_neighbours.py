@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -91,3 +93,17 @@ def test_recall_with_the_probes_of_any_table(dim):
         own, probed = neighbours.buckets(unit, number, 1, 1), neighbours.buckets(asked, number, neighbours.probes_of(dim), 1)
         met |= (own[None, :, :] == probed[:, None, :]).any(axis=2)
     assert np.take_along_axis(met, near, axis=1).mean() >= 0.9 and not met.all()
+
+
+def test_distances_of_very_large_and_small_vectors(spark):
+    rng = np.random.default_rng(4)
+    for scale in (1e-200, 1e-160, 1.0, 1e160, 1e200, 1e305):
+        x = rng.normal(size=(40, 8)) * scale
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        rows = neighbours.nearest(df, lambda i: i % 20 == 0, k=5).orderBy("query_id", "rank").collect()
+        for q in (0, 20):
+            want = sorted((math.dist(x[q] / scale, x[j] / scale), j) for j in range(40) if j != q)[:5]
+            own = [r for r in rows if r["query_id"] == q]
+            assert [r["vec_id"] for r in own] == [j for _, j in want]
+            assert np.allclose([r["score"] / scale for r in own], [d for d, _ in want], rtol=1e-12)
+    assert neighbours.distances(np.array([[1.7e308], [1.0]]), np.array([-1.7e308])).tolist() == [math.inf, 1.7e308]
