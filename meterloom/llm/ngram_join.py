@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import hashes, id_text, rolled, stored, table, utf8
+from meterloom.llm.common import fresh, hashes, id_text, rolled, stored, table, utf8
 from meterloom.llm.graphs import components
 from meterloom.llm.sketches import Filter, merged
 
@@ -276,9 +276,10 @@ def one_of_each(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100, i
 
     Texts without words stay, and so do rows with a null identifier.
     """
-    ids = link(docs, size, num, den, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias("kept id")).distinct()
+    kept = fresh("kept_id", docs)
+    ids = link(docs, size, num, den, id_col, text_col).where("doc_id = component_id").select(F.col("doc_id").alias(kept)).distinct()
     known = docs.where(F.col(f"`{id_col}`").isNotNull())
-    once = known.join(ids, known[id_col] == ids["kept id"], "left_semi").dropDuplicates([id_col, text_col])
+    once = known.join(ids, F.col(f"`{id_col}`") == F.col(kept), "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import hashes, id_text, rolled, stored, table, words
+from meterloom.llm.common import fresh, hashes, id_text, rolled, stored, table, words
 from meterloom.llm.sketches import Filter, merged
 
 SPAN, KMER = 13, 7
@@ -305,10 +305,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     changed = Filter(new.select(F.xxhash64("doc_id").alias("mark")), "mark")
     text, mark = F.col(f"`{text_col}`").cast("string"), _passes(changed)(F.xxhash64(F.col(f"`{id_col}`")))
     node = F.udf(lambda t: hashlib.sha256(b" ".join(words(t))).hexdigest(), "string", useArrow=True)
-    new = new.select(F.col("doc_id").alias("changed id"), F.col("node").alias("changed node"), F.col("kept").alias("changed text"))
-    rows = docs.where(mark).withColumn("own node", node(text))
-    rows = rows.join(new, (rows[id_col] == new["changed id"]) & (rows["own node"] == new["changed node"]), "left")
-    rows = rows.where(F.col("changed text").isNull() | (F.col("changed text") != "")).withColumn(text_col, F.coalesce("changed text", text)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    new_id, new_node, new_text, own_node = (fresh(c, docs) for c in ("new_id", "new_node", "new_text", "own_node"))
+    new = new.select(F.col("doc_id").alias(new_id), F.col("node").alias(new_node), F.col("kept").alias(new_text))
+    rows = docs.where(mark).withColumn(own_node, node(text))
+    rows = rows.join(new, (F.col(f"`{id_col}`") == F.col(new_id)) & (F.col(own_node) == F.col(new_node)), "left")
+    rows = rows.where(F.col(new_text).isNull() | (F.col(new_text) != "")).withColumn(text_col, F.coalesce(new_text, text)).select(*[F.col(f"`{c}`") for c in docs.columns])
     return docs.where(~mark).withColumn(text_col, text).unionByName(rows)
 
 

@@ -4,7 +4,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from meterloom.llm import common, quality
+from meterloom.llm import common, ngram_join, quality, secret_scan, substrings
 from tests.llm import test_ngram_join, test_packing, test_secrets
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -104,3 +104,23 @@ def test_quality_model_keeps_clean_documents(spark):
     labels = common.table(spark, sf, "labels").where("quality = 1").select("doc_id")
     long = {r["doc_id"] for r in docs.join(labels, "doc_id").collect() if len((r["text"] or "").split()) >= 20}
     assert len(long & kept) > 0.97 * len(long)
+
+
+CLASHING = ["own blob", "new text", "own_blob", "new_text", "own node", "changed id", "changed text", "new_id", "new_node", "own_node", "kept id", "kept_id", "a.b", "blob", "node", "kept"]
+
+
+@pytest.mark.parametrize("id_col, text_col", [("doc_id", "text"), ("doc.id", "the text")])
+def test_columns_named_like_the_stages_own(spark, id_col, text_col):
+    """Rows come through with whatever columns they have, and the identifier's name may hold a dot."""
+    same = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    texts = [same, same + " sixteen", "my token = abcdefgh1234567890abcdef12345678 end", None, ""]
+    docs = spark.createDataFrame([(i, t, *map(str, range(len(CLASHING)))) for i, t in enumerate(texts)], [id_col, text_col, *CLASHING])
+    names = {"id_col": id_col, "text_col": text_col}
+    for out, n in (
+        (ngram_join.one_of_each(docs, **names), 4),
+        (substrings.without_repeats(docs, **names), 5),
+        (secret_scan.redacted(docs, **names), 5),
+        (quality.retained(docs, None, text_col), 0),
+    ):
+        rows = out.collect()
+        assert out.columns == docs.columns and len(rows) == n and all(r[-1] == str(len(CLASHING) - 1) for r in rows)
