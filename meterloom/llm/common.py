@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
+import weakref
 from collections.abc import Iterable
 from pathlib import Path
 
@@ -38,7 +39,19 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared checkpoint folder and read it back: work done once, lineage cut."""
     path = f"{checkpoint_dir(df.sparkSession)}/{what}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    return out
+
+
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these tables. Only for tables that no table still to be computed is made from."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(_folders.pop(t))
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(name: str, *tables: DataFrame) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import stored
+from meterloom.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -24,7 +24,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "x").where("y > x").select(F.col("y").alias("v"), F.col("m").alias("u")).distinct()
         least = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(least, "v").where("u <> m").select(F.col("u").alias("v"), F.col("m").alias("u")).union(least.select("v", F.col("m").alias("u")))
-        pairs = stored(small.where("u < v").distinct(), "links")
+        before, pairs = pairs, stored(small.where("u < v").distinct(), "links")
+        discard(before)
         state = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == seen:
             break

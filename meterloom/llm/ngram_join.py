@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import fresh, hashes, id_text, rolled, stored, table, utf8
+from meterloom.llm.common import discard, fresh, hashes, id_text, rolled, stored, table, utf8
 from meterloom.llm.graphs import components
 from meterloom.llm.sketches import Filter, merged
 
@@ -166,18 +166,21 @@ def shared_lists(signed: DataFrame) -> DataFrame:
     rare = rows.where(~F.col("often")).withColumn("first", F.min("node").over(each)).withColumn("last", F.max("node").over(each))
     rare = rare.withColumn("least", F.min("asked").over(each)).where("first <> last").drop("first", "last", "often").dropDuplicates(["token", "node"])
     often = rows.where("often").drop("often").withColumn("least", F.lit(1)).dropDuplicates(["token", "node"])
-    lists = stored(rare.unionByName(often), "lists")
+    whole = stored(rare.unionByName(often), "lists")
 
-    nodes = lists.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("own"), F.min("least").alias("least"), *[F.first(x).alias(x) for x in ("n", "asked", "centre")])
+    nodes = whole.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("own"), F.min("least").alias("least"), *[F.first(x).alias(x) for x in ("n", "asked", "centre")])
     place = lambda r: F.least(F.lit(255), F.coalesce(F.get("own", F.lit(r))["at"] - r, F.lit(255))).cast("long")
     others = F.lit(0).cast("long")
     for k in range(LONGEST // 2):
         others = others.bitwiseOR(F.shiftleft(place(2 * k + 1), 8 * k))
     nodes = nodes.where(F.size("own") >= F.col("least")).withColumn("others", others)
     lists = nodes.select(F.explode("own").alias("p"), "node", "n", "asked", "centre", "others").select("p.token", "p.at", "node", "n", "asked", "centre", "others")
-    lists = stored(lists, "lists")
-    shared = lists.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("token")
-    return stored(lists.join(shared, "token", "left_semi"), "lists")
+    packed = stored(lists, "lists")
+    discard(whole)
+    shared = packed.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("token")
+    out = stored(packed.join(shared, "token", "left_semi"), "lists")
+    discard(packed)
+    return out
 
 
 def verified(docs: DataFrame, signed: DataFrame, left: DataFrame, right: DataFrame, which, size: int, num: int, den: int) -> DataFrame:
@@ -188,7 +191,9 @@ def verified(docs: DataFrame, signed: DataFrame, left: DataFrame, right: DataFra
     if pairs.isEmpty():
         return pairs
     sets, picks = token_sets(docs, signed, pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), size)
-    return stored(linked(pairs, sets, picks, num, den), "found")
+    out = stored(linked(pairs, sets, picks, num, den), "found")
+    discard(pairs, sets, picks)
+    return out
 
 
 def links(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -234,7 +239,9 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     def with_links(more: DataFrame) -> None:
         nonlocal roots, found
         found = more if found is None else found.unionByName(more)
-        roots = stored(components(found), "roots")
+        before, roots = roots, stored(components(found), "roots")
+        if before is not None:
+            discard(before)
 
     long = lists.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LONG_LIST).select("token")
     members = stored(lists.join(long, "token", "left_semi"), "long-lists")
@@ -254,14 +261,18 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
             if more.isEmpty():
                 break
             with_links(more)
+        discard(sets, picks)
+    discard(members)
 
     rows = stored(with_roots(lists), "rows")
+    discard(lists)
     main = rows.groupBy("token", "root").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("several")).where("several > 1")
     left = rows.join(main.select("token", "main"), "token")
     once = (F.col("y.root") == F.col("x.main")) | (F.col("x.node") < F.col("y.node"))
     more = verified(docs, signed, left.where("root <> main"), rows, (F.col("x.root") != F.col("y.root")) & once, size, num, den)
     if not more.isEmpty():
         with_links(more)
+    discard(rows)
 
     names = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("name"))
     if roots is not None:

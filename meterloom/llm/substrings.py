@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import fresh, hashes, id_text, rolled, stored, table, words
+from meterloom.llm.common import discard, fresh, hashes, id_text, rolled, stored, table, words
 from meterloom.llm.sketches import Filter, merged
 
 SPAN, KMER = 13, 7
@@ -233,6 +233,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
                     parts.append(b" ".join(piece))
             yield pd.DataFrame({"first_id": ids, "block": pd.Series(numbers, dtype="int32"), "words": pd.Series(parts, dtype=object)})
 
+    discard(held)
     asked = wants.groupBy(F.col("first_id").alias("doc_id")).agg(F.collect_set("block").alias("blocks"))
     blocks = holders.select("doc_id", "text").join(asked, "doc_id").mapInPandas(cut, f"first_id {kind}, block int, words binary")
     brought = wants.join(blocks, ["first_id", "block"]).groupBy("doc_id").agg(F.collect_list("words").alias("blocks"))
@@ -255,6 +256,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     pairs = "array<struct<start:int,end:int>>"
     parsed = holders.join(brought, "doc_id", "left").mapInPandas(factor, f"doc_id {kind}, node string, spans {pairs}, at array<int>, window array<long>, asks array<boolean>")
     parsed = stored(parsed, "parsed")
+    discard(wants, holders)
 
     windows = parsed.select("doc_id", "node", F.explode(F.arrays_zip("at", "window", "asks")).alias("w")).select("doc_id", "node", "w.at", "w.window", "w.asks")
     earlier = windows.groupBy("window").agg(F.min("doc_id").alias("earliest"))
@@ -264,6 +266,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
 
     join_up = F.udf(lambda s: [{"start": a, "end": b} for a, b in merged_spans([(x["start"], x["end"]) for x in s])], pairs)
     spans = stored(spans.select("doc_id", "node", join_up("spans").alias("spans")), "spans")
+    discard(parsed)
 
     every = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     none = F.array().cast(pairs)
