@@ -1,14 +1,16 @@
 """Exact order statistics without pulling a group into one task.
 
-``Window.partitionBy(model).orderBy(x)`` puts all rows of a model into one task, however large. Here the value
-range of every group is cut at approximate quantiles into buckets of similar size, and the rows of each bucket
-are counted. The approximate quantiles only decide where the cuts lie; everything derived is exact:
+``Window.partitionBy(model).orderBy(x)`` puts all rows of a model into one task, however large. Two ways avoid that:
 
-* a quantile needs the values of just those buckets that contain its position (``quantiles``),
-* a label that is constant over runs of positions needs sorting only where a run ends (``exact_parts``),
-* a position is (rows in earlier buckets) + (position inside the bucket) (``exact_rank``).
+* positions (``exact_rank``): rows are range-partitioned by (group, value, ties) into as many tasks as their number asks
+  for and stored; a position is a row's place in its task plus the rows of its group in earlier tasks. The ties make the order
+  total, so a value that very many rows hold is dealt over tasks like any other.
+* quantiles and runs: the value range of every group is cut at approximate quantiles into buckets, as many as the counted
+  rows ask for, and the rows of each bucket are counted. The approximate quantiles only decide where the cuts lie: a
+  quantile needs the values of just those buckets that contain its position (``quantiles``), and a label that is constant
+  over runs of positions needs positions only where a run ends (``exact_parts``).
 
-The input is read two or three times, mostly without a shuffle, so pass a stored table rather than a long chain.
+All results are exact. The input is read several times, so pass a stored table rather than a long chain.
 """
 
 from __future__ import annotations
@@ -19,14 +21,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.operators.joins import attach, settle
+from meterloom.operators.joins import attach
+from meterloom.session import stored
 
 ROWS_PER_TASK = 250_000
 
 
-def bucket_count(df: DataFrame) -> int:
-    """At least one bucket per shuffle task: the knob with which a job is sized to its data."""
-    return max(256, min(4096, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+LEAST_BUCKETS = 256  # fewer would shuffle a larger share of a small table
+IN_TASK = (1 << 33) - 1  # of monotonically_increasing_id
+
+
+def bucket_count(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """So many that a bucket holds about what one task should sort."""
+    return max(LEAST_BUCKETS, -(-rows // rows_per_task))
 
 
 def _cuts(value: Column, buckets: int) -> Column:
@@ -61,8 +68,8 @@ def _offsets(sizes: DataFrame, by: list[str], place: list[str]) -> DataFrame:
     )
 
 
-def _with_buckets(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    buckets = bucket_count(df)
+def _with_buckets(df: DataFrame, by: list[str], value: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    buckets = bucket_count(df.count(), rows_per_task)
     cuts = df.groupBy(*by).agg(_cuts(F.col(value), buckets).alias("_cuts"))
     return attach(df, cuts, by).withColumn("_bucket", _bucket_of(F.col(value), "_cuts", buckets)).drop("_cuts")
 
@@ -116,35 +123,17 @@ def quantiles(df: DataFrame, by: list[str], value: str, fractions: dict[str, flo
     return wide.select(*by, *[value_at(n).alias(n) for n in fractions])
 
 
-def _placed(df: DataFrame, by: list[str], value: str, ties: list[str], rows_per_task: int):
-    """Rows with their bucket, and the offsets of the buckets.
-
-    A value held by more rows than one task should sort is cut again along the first tie column: it sits at the
-    upper end of its bucket, (previous cut, cut], and its sub-buckets sort behind the rest of the bucket.
-    """
-    buckets = bucket_count(df)
-    key = F.unix_date(F.col(value)) if dict(df.dtypes)[value] == "date" else F.col(value)
-    keyed = df.where(F.col(value).isNotNull()).withColumn("_key", key.cast("double"))
-    cuts = keyed.groupBy(*by).agg(_cuts(F.col("_key"), buckets).alias("_cuts"), F.count(F.lit(1)).alias("_n"))
-    cuts, _ = settle(cuts)
-    placed = attach(keyed, cuts.drop("_n"), by).withColumn("_bucket", _bucket_of(F.col("_key"), "_cuts", buckets))
-    repeated = cuts.select(*by, "_n", F.explode("_cuts").alias("_key")).groupBy(*by, "_n", "_key").count()
-    held = (F.col("count") - 1) * F.col("_n") / buckets
-    frequent, few = settle(repeated.where(held > rows_per_task).select(*by, "_key"))
-    if few and frequent.isEmpty():
-        placed = placed.withColumn("_sub", F.lit(-1))
-    else:
-        tie = F.col(ties[0]).cast("double")
-        tie_cuts = (
-            keyed.join(F.broadcast(frequent) if few else frequent, [*by, "_key"])
-            .groupBy(*by, "_key")
-            .agg(_cuts(tie, buckets).alias("_tie_cuts"))
-        )
-        sub = F.when(F.col("_tie_cuts").isNull(), -1).otherwise(_bucket_of(tie, "_tie_cuts", buckets))
-        placed = attach(placed, tie_cuts, [*by, "_key"], "left").withColumn("_sub", sub).drop("_tie_cuts")
-    placed = placed.drop("_cuts", "_key")
-    place = ["_bucket", "_sub"]
-    return placed, _offsets(placed.groupBy(*by, *place).agg(F.count(F.lit(1)).alias("_n")), by, place), place
+def _positions(df: DataFrame, by: list[str], order: list[str], rows_per_task: int) -> DataFrame:
+    """Add ``_position`` (from 1, inside each group) and ``_rows`` (of the group); rows lie stored in order."""
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // rows_per_task))
+    in_order = df.repartitionByRange(tasks, *by, *order).sortWithinPartitions(*by, *order)
+    # places belong to this layout, so it is written before anything is derived from it
+    rows = stored(in_order.withColumns({"_task": F.spark_partition_id(), "_place": F.monotonically_increasing_id().bitwiseAND(IN_TASK)}))
+    pieces = rows.groupBy(*by, "_task").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))  # tasks + groups at most
+    group = W.partitionBy(*by)
+    earlier = group.orderBy("_task").rowsBetween(W.unboundedPreceding, -1)
+    pieces = pieces.select(*by, "_task", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"), F.sum("_n").over(group).alias("_rows"))
+    return attach(rows, pieces, [*by, "_task"]).withColumn("_position", F.col("_place") + F.col("_shift") + 1).drop("_task", "_place", "_shift")
 
 
 def exact_rank(
@@ -152,16 +141,10 @@ def exact_rank(
 ) -> DataFrame:
     """Add ``name`` (1-based position by ``value`` then ``ties`` inside each group) and ``n_total``.
 
-    ``ties`` must make the order total and start with a numeric column.
+    ``ties`` must make the order total.
     """
-    placed, offsets, place = _placed(df, by, value, ties, rows_per_task)
-    inside = F.row_number().over(W.partitionBy(*by, *place).orderBy(value, *ties))
-    return (
-        placed.withColumn("_inside", inside)
-        .join(offsets, [*by, *place])
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop(*place, "_inside", "_offset", "_n")
-    )
+    placed = _positions(df.where(F.col(value).isNotNull()), by, [value, *ties], rows_per_task)
+    return placed.withColumnsRenamed({"_position": name, "_rows": "n_total"})
 
 
 def exact_parts(
@@ -175,24 +158,21 @@ def exact_parts(
 ) -> DataFrame:
     """Add ``name`` = ``part(position, n_total)`` for a ``part`` that is constant over runs of positions.
 
-    A bucket that lies within one run is labelled as a whole. Only buckets in which a run ends are shuffled and
-    numbered, a few per cent of the rows when there are few runs.
+    A bucket that lies within one run is labelled as a whole. Only rows of buckets in which a run ends are brought into
+    order, a few per cent of the rows when there are few runs; a bucket of any size is dealt over tasks then.
     """
-    placed, offsets, place = _placed(df, by, value, ties, rows_per_task)
+    key = [*by, "_bucket"]
+    placed = _with_buckets(df.where(F.col(value).isNotNull()), by, value, rows_per_task)
+    offsets = _offsets(placed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")), by, ["_bucket"])
     total = F.col("n_total")
     ends = offsets.withColumns(
         {"_first": part(F.col("_offset") + 1, total), "_last": part(F.col("_offset") + F.col("_n"), total)}
     )
-    labelled = attach(placed, ends, [*by, *place])
+    labelled = attach(placed, ends, key).drop("_n")
     whole = labelled.where(F.col("_first") == F.col("_last")).withColumn(name, F.col("_first"))
-    inside = F.row_number().over(W.partitionBy(*by, *place).orderBy(value, *ties))
-    cut = (
-        labelled.where(F.col("_first") != F.col("_last"))
-        .withColumn("_inside", inside)
-        .withColumn(name, part(F.col("_offset") + F.col("_inside"), total))
-        .drop("_inside")
-    )
-    return whole.unionByName(cut).drop(*place, "_first", "_last", "_offset", "_n")
+    cut = _positions(labelled.where(F.col("_first") != F.col("_last")), key, [value, *ties], rows_per_task)
+    cut = cut.withColumn(name, part(F.col("_offset") + F.col("_position"), total)).drop("_position", "_rows")
+    return whole.unionByName(cut).drop("_bucket", "_first", "_last", "_offset")
 
 
 def equal_parts(rank: Column, total: Column, parts: int) -> Column:

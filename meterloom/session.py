@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +43,10 @@ def checkpointed(df):
     """Cut the lineage of ``df`` by writing it to the shared checkpoint folder."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df):
+    """Write ``df`` as Parquet to the shared checkpoint folder and read it back: lineage cut, columns prunable."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
