@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from meterloom.functions import billing, calendar
 from meterloom.operators import diagnostics, evaluate, features, models, monthly, quality, scenarios, series, stats
 from meterloom.operators import weather as wx
-from meterloom.plans import forecast
+from meterloom.plans import forecast, model_store
 from meterloom.schemas import NUMERIC_FEATURES
-from meterloom.session import checkpoint_dir, checkpointed
+from meterloom.session import checkpoint_dir, checkpointed, stored
 from meterloom.sources import driver_tables as src
-from meterloom.sources import files
+from meterloom.sources import files, training_log
 from meterloom.streaming import month_to_date
 
 QUERIES = {}
@@ -297,7 +297,11 @@ def prediction_union(spark, sf):
 
 @query
 def comparison_with_times(spark, sf):
-    times = spark.createDataFrame(TRAINING_TIMES, "position int, model_name string, training_seconds double")
+    path = scratch(spark)
+    times = spark.createDataFrame([(i, None, n, s) for i, n, s in TRAINING_TIMES], training_log.TIMES)
+    training_log.append_run(path, "first", times.withColumn("training_seconds", F.col("training_seconds") * 2))
+    training_log.append_run(path, "second", times)
+    times = training_log.read_log(spark, path, "times", "second")
     metrics = evaluate.model_metrics(src.predictions(spark, sf).where("split = 'test'"), ["model"])
     return evaluate.comparison_with_times(metrics, times).select(
         "rank", "model", "rmse", "mae", "r2", "max_error", "training_seconds"
@@ -735,21 +739,38 @@ def trained(spark, sf) -> forecast.Training:
     return _TRAINED[key]
 
 
+def fitted(spark, sf) -> forecast.Training:
+    """All eight models, once per session and table folder."""
+    t = trained(spark, sf)
+    return t if t.others else forecast.fit_other_models(t)
+
+
+def trained_with_map(spark, sf) -> forecast.Training:
+    """``trained`` with the random features, which cross-validation takes as given."""
+    t = trained(spark, sf)
+    t.rff = t.rff or models.Fourier(models.kernel_gamma(t.sums), forecast.RFF_WIDTH)
+    return t
+
+
+_SCORED = {}
+
+
+def scored(spark, sf) -> DataFrame:
+    """Predictions of the eight models for every usable row, stored once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _SCORED:
+        _SCORED[key] = stored(forecast.long_predictions(forecast.with_all_predictions(fitted(spark, sf))))
+    return _SCORED[key]
+
+
 @query
 def reloaded_predictions(spark, sf):
-    """Scenario rows scored by stored models and preparation, held against the fits they were stored from."""
-    t, path = trained(spark, sf), scratch(spark)
-    names = t.prep.feature_names()
-    models.save_fits(spark, t.fits, names, f"{path}/fits")
-    features.save_preparation(spark, t.prep, f"{path}/preparation")
-    matrix = features.model_matrix(features.complete_rows(t.rows), features.load_preparation(spark, f"{path}/preparation"))
-    fits = models.load_fits(spark, f"{path}/fits")
-    both = matrix.select(
-        "split", *[F.struct(fits[m].column().alias("stored"), t.fits[m].column().alias("direct")).alias(m) for m in fits]
-    )
-    rows = F.inline(F.array(*[F.struct(F.lit(m).alias("model"), F.col(f"{m}.stored"), F.col(f"{m}.direct")) for m in fits]))
-    return both.select("split", rows).groupBy("model", "split").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("stored") - F.col("direct"))).alias("largest_difference")
+    """Scenario rows scored by all stored models and the stored preparation, held against the fits they were stored from."""
+    t, path = fitted(spark, sf), scratch(spark)
+    model_store.save(t, path)
+    again = forecast.long_predictions(model_store.load(spark, path).predict(t.rows)).withColumnRenamed("yhat", "stored")
+    both = again.join(scored(spark, sf).select("model", "sample_id", F.col("yhat").alias("direct")), ["model", "sample_id"])
+    return both.groupBy("model", "split").agg(        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("stored") - F.col("direct"))).alias("largest_difference")
     )
 
 
@@ -787,7 +808,7 @@ def coefficient_report(spark, sf):
 
 @query
 def predictions_long(spark, sf):
-    return forecast.long_predictions(forecast.with_linear_predictions(trained(spark, sf)))
+    return scored(spark, sf)
 
 
 @query
@@ -803,25 +824,36 @@ def huber_linear(spark, sf):
 
 
 @query
-def rff_ridge(spark, sf):
-    return evaluate.model_metrics(forecast.long_predictions(forecast.rff_model(trained(spark, sf))))
+def model_comparison(spark, sf):
+    """The eight models' metrics on test rows with their measured training seconds from the training log."""
+    t, path = fitted(spark, sf), scratch(spark)
+    metrics = evaluate.model_metrics(scored(spark, sf).where("split = 'test'"), ["model"])
+    training_log.append_run(path, "now", t.watch.table(spark), metrics, models.forest_report(spark, t.forest, t.prep.feature_names()))
+    return evaluate.comparison_with_times(training_log.read_log(spark, path, "scores", "now"), training_log.read_log(spark, path, "times", "now"), by_id=True)
+
+
+@query
+def model_overfit(spark, sf):
+    """Train against test for the eight models, with the verdict."""
+    gaps = evaluate.overfit_gap(evaluate.model_metrics(scored(spark, sf)))
+    return gaps.join(evaluate.fit_diagnosis(gaps).select("model", "fit"), "model")
 
 
-_FORESTS = {}
+@query
+def rff_ridge(spark, sf):
+    return evaluate.model_metrics(forecast.long_predictions(forecast.rff_model(trained(spark, sf))))
 
 
 def _forest(spark, sf):
     """The forest at its full size, once per session and table folder."""
-    t, key = trained(spark, sf), (spark.sparkContext.applicationId, sf)
-    if key not in _FORESTS:
-        _FORESTS[key] = models.fit_forest(t.train)
-    return t, _FORESTS[key]
+    t = forecast.fit_forest(trained(spark, sf))
+    return t, t.forest
 
 
 @query
 def random_forest(spark, sf):
     t, forest = _forest(spark, sf)
-    return evaluate.model_metrics(forecast.long_predictions(forest.transform(t.matrix)))
+    return evaluate.model_metrics(forecast.long_predictions(forecast.with_forest_predictions(forest, t.matrix)))
 
 
 @query
@@ -833,12 +865,13 @@ def forest_report(spark, sf):
 @query
 def rf_intervals(spark, sf):
     t, forest = _forest(spark, sf)
-    return evaluate.interval_coverage(models.member_predictions(forest, t.matrix), ["split"])
+    return evaluate.interval_coverage(forecast.with_forest_predictions(forest, t.matrix).withColumn("y", F.col("label")), ["split"])
 
 
 @query
 def time_series_cv(spark, sf):
-    return forecast.linear_cv(trained(spark, sf))
+    """All eight models, Huber regression and the whole forest fitted once per fold."""
+    return forecast.cross_validation(trained_with_map(spark, sf))
 
 
 @query

@@ -20,11 +20,6 @@ def season(month: Column, names=SEASONS_PT) -> Column:
     )
 
 
-def season_order(names=SEASONS_PT) -> Column:
-    """Position of the season column ``season`` in its fixed order."""
-    return F.array_position(F.array(*[F.lit(n) for n in names]), F.col("season")).cast("int")
-
-
 def month_start(date: Column) -> Column:
     return F.trunc(date, "MM")
 

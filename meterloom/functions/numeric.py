@@ -59,15 +59,3 @@ def tukey_high(q1: Column, q3: Column) -> Column:
 
 def outside(x: Column, low: Column, high: Column) -> Column:
     return (x < low) | (x > high)
-
-
-def rounded(df, digits: int = 6, keep=()):
-    """Round every double column for output."""
-    out = []
-    for field in df.schema.fields:
-        name = field.name
-        if field.dataType.typeName() == "double" and name not in keep:
-            out.append(F.round(name, digits).alias(name))
-        else:
-            out.append(F.col(name))
-    return df.select(*out)

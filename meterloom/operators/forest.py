@@ -196,7 +196,7 @@ class Forest:
         below = self.nodes.where("NOT upper").select("tree", F.col("root").alias("node"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.col("node").alias("own"), "feature", "bin", "prediction")
 
         def score(wanted: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
-            if not len(wanted):
+            if not len(wanted) or not len(tree):
                 return pd.DataFrame({"chunk": [], "tree": [], "ids": [], "values": []})
             order = tree["own"].to_numpy().argsort()
             own, feature, cut, value = (tree[c].to_numpy()[order] for c in ("own", "feature", "bin", "prediction"))
@@ -218,9 +218,11 @@ class Forest:
 
         def together(pdf: pd.DataFrame) -> pd.DataFrame:
             ids = np.unique(np.frombuffer(b"".join(pdf["ids"]), "<i8"))
-            values = np.zeros((len(ids), trees))
+            values = np.full((len(ids), trees), np.nan)
             for tree, own, v in zip(pdf["tree"], pdf["ids"], pdf["values"]):
                 values[np.searchsorted(ids, np.frombuffer(own, "<i8")), tree] = np.frombuffer(v, "<f8")
+            none = np.isnan(values)  # of trees that drew no row at all, out of very few: the others' mean
+            values[none] = np.broadcast_to(np.nansum(values, axis=1)[:, None] / np.maximum(1, (~none).sum(axis=1))[:, None], values.shape)[none]
             return pd.DataFrame({key: ids, "members": list(values)})
 
         return scored.groupBy("chunk").applyInPandas(together, f"{key} long, members array<double>")
@@ -257,7 +259,7 @@ def fit_forest(matrix: DataFrame, trees: int = TREES, depth: int = DEPTH, min_le
     feature = np.repeat(np.arange(width), np.diff(first))
     places = int(first[-1])
     stats = rows.agg(F.count("label").alias("n"), F.avg("label").alias("mean"), F.max("label").alias("high"), F.min("label").alias("low")).first()
-    mean, spread = stats["mean"], max(stats["high"] - stats["low"], 1e-300)
+    mean, spread = stats["mean"], (stats["high"] - stats["low"]) or 1.0
     scale = 2.0 ** (50 - (2 * stats["n"]).bit_length()) / spread  # sums of all rows stay below 2**53
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stats["n"] // node_rows))
 

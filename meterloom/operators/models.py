@@ -2,13 +2,12 @@
 
 The linear family is fitted from sums of products. One pass over the data gives X'X, X'y, y'y per fold; every
 alpha and every fold of a cross-validation is then arithmetic on p x p matrices, where p is the number of
-features (about thirty), not rows. Tree and Huber models are Spark ML estimators.
+features (about thirty), not rows. Huber regression is a Spark ML estimator; the forest is in ``forest``.
 """
 
 from __future__ import annotations
 
 import time
-import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -16,16 +15,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterloom.session import checkpoint_dir
+from meterloom.operators.forest import Forest
 
-# Penalty grid, folds, forest size, seed, t quantile (97.5 %, 4 degrees of freedom).
+# Penalty grid, folds, seed, t quantile (97.5 %, 4 degrees of freedom).
 ALPHAS = (0.001, 0.01, 0.1, 1.0, 10.0, 100.0)
 FOLDS = 5
-FOREST_TREES, FOREST_MIN_LEAF, SEED = 300, 2, 42
+SEED = 42
 T_975_DF4 = 2.776445105197793
 
 MAX_FEATURES = 2000
@@ -243,11 +242,18 @@ def fit_huber(matrix: DataFrame, max_iter: int = 50):
     return LinearRegression(loss="huber", epsilon=1.35, maxIter=max_iter, predictionCol="yhat_huber_linear").fit(matrix)
 
 
-def fit_forest(matrix: DataFrame, trees: int = FOREST_TREES, depth: int = 30, seed: int = SEED):
-    return RandomForestRegressor(
-        numTrees=trees, maxDepth=depth, minInstancesPerNode=FOREST_MIN_LEAF, featureSubsetStrategy="all", seed=seed,
-        predictionCol="yhat_random_forest", maxMemoryInMB=1024,
-    ).fit(matrix)
+def linear_part(fitted) -> LinearFit:
+    """A Spark ML linear model as the fit used here, which scores by a Column and is stored like the others."""
+    return LinearFit(float(fitted.intercept), fitted.coefficients.toArray())
+
+
+@dataclass(frozen=True)
+class Fourier:
+    """Random features are made from these numbers, so they are stored as these numbers."""
+
+    gamma: float
+    width: int = 200
+    seed: int = SEED
 
 
 def random_fourier(matrix: DataFrame, gamma: float, width: int = 200, seed: int = SEED) -> DataFrame:
@@ -272,30 +278,6 @@ def kernel_gamma(sums: np.ndarray) -> float:
     return 1.0 / (p * (np.trace(sums[1:-1, 1:-1]) / (n * p) - mean * mean))
 
 
-def member_predictions(forest, matrix: DataFrame) -> DataFrame:
-    """Prediction of every tree of the forest as array ``members``, with ``y``.
-
-    One pass gives the leaf that a row reaches in every tree; the leaves' values, in the order in which Spark numbers
-    them, come from the stored forest.
-    """
-    spark = matrix.sparkSession
-    path = f"{checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}"
-    forest.write().save(path)
-    node = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
-    leaves = node.where("leftChild < 0").select("treeID", "id", "prediction").toPandas().sort_values(["treeID", "id"])
-    values = spark.sparkContext.broadcast(leaves["prediction"].to_numpy())
-    first = np.searchsorted(leaves["treeID"].to_numpy(), np.arange(len(forest.trees)))
-
-    @F.pandas_udf("array<double>")
-    def reached(leaf):
-        if not len(leaf):
-            return leaf
-        return leaf.__class__(list(values.value[np.stack(leaf.to_numpy()).astype(np.int64) + first]))
-
-    out = forest.copy({forest.leafCol: "_leaf", forest.predictionCol: "_mean"}).transform(matrix)
-    return out.withColumn("members", reached(vector_to_array("_leaf"))).drop("_leaf", "_mean").withColumn("y", F.col("label"))
-
-
 def coefficient_report(spark: SparkSession, fits: dict[str, LinearFit], names: list[str], top: int | None = 5) -> DataFrame:
     """Coefficient statistics and the largest coefficients of every linear model, all with ``top=None``."""
     rows = []
@@ -314,14 +296,11 @@ def coefficient_report(spark: SparkSession, fits: dict[str, LinearFit], names: l
     )
 
 
-def forest_report(spark: SparkSession, forest, names: list[str], top: int = 5) -> DataFrame:
+def forest_report(spark: SparkSession, forest: Forest, names: list[str], top: int = 5) -> DataFrame:
     """Largest importances, depth and node count of a forest."""
-    importance = forest.featureImportances.toArray()
-    depth, nodes = max(t.depth for t in forest.trees), int(forest.totalNumNodes)
-    rows = [
-        (place, names[j], float(importance[j]), int(depth), nodes)
-        for place, j in enumerate(np.argsort(-importance, kind="stable")[:top], 1)
-    ]
+    depth, nodes = forest.size()
+    found = forest.importances().orderBy(F.desc("importance"), "feature").limit(top).collect()
+    rows = [(place, names[r["feature"]], r["importance"], int(depth), int(nodes)) for place, r in enumerate(found, 1)]
     return spark.createDataFrame(
         rows, "place int, feature string, importance double, max_depth int, total_nodes int"
     )

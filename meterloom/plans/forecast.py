@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from meterloom.functions import labels
 from meterloom.functions.billing import Tariff, with_bill
 from meterloom.operators import diagnostics, evaluate, features, models, monthly, scenarios, series
-from meterloom.operators.joins import attach
+from meterloom.operators import forest as forests
+from meterloom.operators.forest import Forest
 from meterloom.schemas import NUMERIC_FEATURES
-from meterloom.session import checkpointed
+from meterloom.session import checkpointed, stored
 
 
 def monthly_base(readings: DataFrame, tariff: Tariff = Tariff(), dup_policy: str = "sum") -> DataFrame:
@@ -48,6 +49,9 @@ class Training:
     fits: dict = field(default_factory=dict)
     alphas: dict = field(default_factory=dict)
     scores: dict = field(default_factory=dict)
+    others: dict = field(default_factory=dict)  # model -> (array column it reads, fit)
+    rff: models.Fourier | None = None
+    forest: Forest | None = None
     watch: models.Stopwatch = field(default_factory=models.Stopwatch)
 
     @property
@@ -101,18 +105,91 @@ def fit_linear_family(t: Training) -> Training:
     return t
 
 
+RFF_ALPHA, RFF_WIDTH = 0.1, 200
+
+
+def fit_other_models(t: Training, trees: int = forests.TREES, huber_iterations: int = 50, width: int = RFF_WIDTH) -> Training:
+    """Polynomial, Huber, approximate kernel ridge regression and the forest, on the same train rows."""
+    sums = lambda x: models.product_sums(with_spaces(t).where(F.col("split") == "train"), x=x)[0]
+    t.rff = models.Fourier(models.kernel_gamma(t.sums), width)
+    t.others["polynomial_deg2"] = "x2", t.watch.run("polynomial_deg2", lambda: models.fit_ols(sums("x2")))
+    t.others["huber_linear"] = "x", t.watch.run("huber_linear", lambda: models.linear_part(models.fit_huber(t.train, huber_iterations)))
+    t.others["rff_ridge"] = "z", t.watch.run("rff_ridge", lambda: models.fit_ridge(sums("z"), RFF_ALPHA))
+    return fit_forest(t, trees)
+
+
+def fit_forest(t: Training, trees: int = forests.TREES) -> Training:
+    """The forest alone, if it is not there yet."""
+    if t.forest is None:
+        t.forest = t.watch.run("random_forest", lambda: forests.fit_forest(t.train, trees))
+    return t
+
+
+def with_spaces(t: Training, matrix: DataFrame | None = None) -> DataFrame:
+    """The matrix with the arrays that models read besides ``x``; those that nobody reads are never computed."""
+    return models.random_fourier(models.polynomial(t.matrix if matrix is None else matrix), t.rff.gamma, t.rff.width, t.rff.seed)
+
+
+def with_all_predictions(t: Training, matrix: DataFrame | None = None) -> DataFrame:
+    """A column ``yhat_<model>`` for each of the eight models."""
+    wide = with_linear_predictions(t, with_spaces(t, matrix))
+    wide = wide.withColumns({f"yhat_{name}": fit.column(x) for name, (x, fit) in t.others.items()}).drop("x2", "z")
+    return with_forest_predictions(t.forest, wide)
+
+
+def with_forest_predictions(forest: Forest, wide: DataFrame) -> DataFrame:
+    """The forest's mean, and ``members`` with every tree's value, by ``sample_id``."""
+    members = forest.members(wide)
+    mean = F.aggregate("members", F.lit(0.0), lambda a, v: a + v) / F.lit(float(forest.trees))
+    return wide.join(members.withColumn("yhat_random_forest", mean), "sample_id")
+
+
+def _fold_rows(t: Training, splits: int) -> DataFrame:
+    n_train = F.col("n_total") - F.floor(F.col("n_total") * t.test_share)
+    return features.ts_folds(t.train.withColumn("n_total", n_train), splits)
+
+
+def cross_validation(t: Training, splits: int = 5, trees: int = forests.TREES, huber_iterations: int = 50) -> DataFrame:
+    """Time-series cross-validation of all eight models; tuned penalties and the random features stay as fitted.
+
+    Models with additive sums are fitted from the running totals of per-fold sums. Huber regression and the forest are
+    fitted once per fold on the rows before it, all from one stored fold table.
+    """
+    ordered = stored(_fold_rows(t, splits).select("sample_id", "fold", "label", "x", "features"))
+    wide = with_spaces(t, ordered)
+    rows = _linear_cv_rows(t, ordered)
+    for name, x, fit in (("polynomial_deg2", "x2", models.fit_ols), ("rff_ridge", "z", lambda m: models.fit_ridge(m, RFF_ALPHA))):
+        rows += models.time_series_cv(models.product_sums(wide, "fold", x=x), {name: lambda windows: [fit(m) for m in windows]})
+
+    def rmse(scored: DataFrame, yhat) -> float:
+        return scored.agg(F.sqrt(F.avg((F.col("label") - yhat) * (F.col("label") - yhat)))).first()[0]
+
+    huber, forest = [], []
+    for k in range(1, splits + 1):
+        before, held_out = ordered.where(F.col("fold") < k), ordered.where(F.col("fold") == k)
+        huber.append(rmse(held_out, models.linear_part(models.fit_huber(before, huber_iterations)).column()))
+        forest.append(rmse(with_forest_predictions(forests.fit_forest(before, trees), held_out), F.col("yhat_random_forest")))
+    rows += [models.cv_row("huber_linear", huber), models.cv_row("random_forest", forest)]
+    return _cv_table(t, rows)
+
+
 def linear_cv(t: Training, splits: int = 5) -> DataFrame:
     """Time-series cross-validation of the linear family, penalties as already tuned."""
+    return _cv_table(t, _linear_cv_rows(t, _fold_rows(t, splits)))
+
+
+def _linear_cv_rows(t: Training, ordered: DataFrame) -> list[dict]:
     at = NUMERIC_FEATURES.index("cum_total_kwh")
-    n_train = F.col("n_total") - F.floor(F.col("n_total") * t.test_share)
-    ordered = features.ts_folds(t.train.withColumn("n_total", n_train), splits)
     sums = models.product_sums(ordered, "fold")
     only = {k: models.select_features(m, [at]) for k, m in sums.items()}
     ols = lambda windows: [models.fit_ols(m) for m in windows]
     tuned = lambda kind: lambda windows: models.FITTERS[kind]([(m, t.alphas[kind]) for m in windows])
-    rows = models.time_series_cv(only, {"linear_baseline": ols}) + models.time_series_cv(
+    return models.time_series_cv(only, {"linear_baseline": ols}) + models.time_series_cv(
         sums, {"linear_multiple": ols, "ridge": tuned("ridge"), "lasso": tuned("lasso")}
     )
+
+
+def _cv_table(t: Training, rows: list[dict]) -> DataFrame:
     spark = t.matrix.sparkSession
     names = ["mean_rmse", "std_rmse", "min_rmse", "max_rmse", "ci_low", "ci_high"]
     return spark.createDataFrame(
@@ -129,7 +206,7 @@ def polynomial_model(t: Training) -> tuple[DataFrame, models.LinearFit]:
     return wide.withColumn("yhat_polynomial_deg2", fit.column("x2")).drop("x2"), fit
 
 
-def rff_model(t: Training, alpha: float = 0.1, width: int = 200) -> DataFrame:
+def rff_model(t: Training, alpha: float = RFF_ALPHA, width: int = RFF_WIDTH) -> DataFrame:
     """Approximate kernel ridge regression; stands in for the RBF support vector regression."""
     wide = models.random_fourier(t.matrix, models.kernel_gamma(t.sums), width)
     fit = t.watch.run(
@@ -172,9 +249,3 @@ def report_tables(predictions: DataFrame) -> dict[str, DataFrame]:
         "findings": diagnostics.residual_findings(predictions),
         "worst": evaluate.worst_predictions(predictions),
     }
-
-
-def baseline_predictions(split_rows: DataFrame, x: str = "cum_total_kwh", y: str = "bill") -> DataFrame:
-    """One-feature line fitted on train rows and applied to all rows."""
-    line = models.baseline_ols(split_rows, x, y).drop("n")
-    return attach(split_rows, line, []).withColumn("yhat", F.col("intercept") + F.col("slope") * F.col(x))

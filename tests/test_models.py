@@ -1,5 +1,6 @@
 """Models against closed forms in NumPy and Spark ML."""
 
+import dataclasses
 import datetime as dt
 
 import numpy as np
@@ -164,6 +165,10 @@ def training(spark):
     return forecast.fit_linear_family(forecast.prepare(rows))
 
 
+def kept_ids(training):
+    return [r.sample_id for r in training.matrix.select("sample_id").collect()]
+
+
 def test_training_end_to_end(spark, training, tmp_path):
     from meterloom.operators import evaluate
 
@@ -175,7 +180,11 @@ def test_training_end_to_end(spark, training, tmp_path):
     assert rmse["linear_multiple", "train"] <= rmse["ridge", "train"] + 1e-9 <= rmse["linear_baseline", "train"] + 1e-6
     sizes = {r.split: r.n for r in evaluate.split_summary(p.where("model = 'ridge'"), "y").collect()}
     total = sum(sizes.values())
-    assert sizes["test"] == int(total * 0.2)
+    # the newest fifth of all rows is test; rows with a missing feature keep their place and are left out of both
+    places = {(r.split, r.usable): r.n for r in training.rows.withColumn("usable", F.col("sample_id").isin(kept_ids(training))).groupBy("split", "usable").agg(F.count(F.lit(1)).alias("n")).collect()}
+    everything = total + training.left_out
+    assert places.get(("test", True), 0) + places.get(("test", False), 0) == int(everything * 0.2)
+    assert sizes["test"] == places["test", True] and sizes["train"] == places["train", True] and training.left_out > 0
     assert training.sums[0, 0] == sizes["train"]
     names = training.prep.feature_names()
     models.save_fits(spark, training.fits, names, str(tmp_path / "fits"))
@@ -188,9 +197,7 @@ def test_training_end_to_end(spark, training, tmp_path):
     assert (report.feature, report.n_nonzero) == ("cum_total_kwh", 1)
 
 
-def test_other_models(spark, training, tmp_path):
-    from pyspark.ml.regression import RandomForestRegressionModel
-
+def test_other_models(spark, training):
     from meterloom.operators import evaluate
 
     poly, fit = forecast.polynomial_model(training)
@@ -201,31 +208,80 @@ def test_other_models(spark, training, tmp_path):
     assert rmse(poly)["train"] <= linear["train"] * 1.001
     assert rmse(forecast.rff_model(training, width=50))["train"] > 0
     assert rmse(models.fit_huber(training.train, 5).transform(training.matrix))["train"] > 0
-    forest = models.fit_forest(training.train, trees=4, depth=5)
-    members = models.member_predictions(forest, training.matrix)
-    both = forest.transform(members).select(
-        F.aggregate("members", F.lit(0.0), lambda a, x: a + x).alias("s"), "yhat_random_forest"
-    ).limit(50).collect()
-    assert [r.s / 4 for r in both] == pytest.approx([r.yhat_random_forest for r in both])
-    assert models.forest_report(spark, forest, training.prep.feature_names()).first().max_depth <= 5
-    forest.write().overwrite().save(str(tmp_path / "forest"))
-    again = RandomForestRegressionModel.load(str(tmp_path / "forest"))
-    assert again.totalNumNodes == forest.totalNumNodes
-
-
-def test_registered_forest_has_its_full_size(spark, training, monkeypatch):
+
+
+def test_registered_forest_has_its_full_size():
+    import inspect
+
     from checks import queries
+    from meterloom.operators import forest as forests
 
-    asked = []
-    monkeypatch.setattr(queries, "trained", lambda spark, sf: training)
-    monkeypatch.setattr(models, "RandomForestRegressor", lambda **size: asked.append(size) or type("", (), {"fit": lambda self, rows: self})())
-    forests = [queries._forest(spark, "folder")[1] for _ in range(3)]
-    assert [(a["numTrees"], a["maxDepth"]) for a in asked] == [(300, 30)] and forests[0] is forests[2]
+    assert (forests.TREES, forests.DEPTH, forests.MIN_LEAF) == (300, 30, 2)
+    assert inspect.signature(forecast.fit_forest).parameters["trees"].default == 300
+    assert inspect.signature(forests.fit_forest).parameters["depth"].default == 30
+    assert "fit_forest(trained(spark, sf))" in inspect.getsource(queries._forest)
+
+
+@pytest.fixture(scope="module")
+def eight(spark, training):
+    return forecast.fit_other_models(dataclasses.replace(training, others={}, forest=None), trees=5, huber_iterations=5, width=20)
+
+
+def test_all_eight_models_predict_every_usable_row(spark, eight):
+    from meterloom.operators import evaluate
 
+    p = forecast.long_predictions(forecast.with_all_predictions(eight)).cache()
+    usable = eight.matrix.count()
+    assert {r.model: r["count"] for r in p.groupBy("model").count().collect()} == dict.fromkeys(EIGHT, usable)
+    metrics = evaluate.model_metrics(p)
+    assert metrics.count() == 16 and evaluate.overfit_gap(metrics).count() == 8
+    assert sorted(r["rank"] for r in evaluate.rank_models(metrics, ["split"]).where("split = 'test'").collect()) == list(range(1, 9))
+    assert set(eight.watch.seconds) >= EIGHT
 
-def test_all_trees_are_evaluated_in_one_pass(spark, training):
-    few, many = (models.fit_forest(training.train, trees=n, depth=30) for n in (2, 12))
-    plans = [models.member_predictions(f, training.matrix)._jdf.queryExecution().optimizedPlan().toString() for f in (few, many)]
-    assert plans[0].count("\n") == plans[1].count("\n") and plans[1].count("UDF") == plans[0].count("UDF")
-    rows = models.member_predictions(many, training.matrix.limit(40)).select("features", "members").collect()
-    assert rows and all(list(r.members) == [tree.predict(r.features) for tree in many.trees] for r in rows)
+
+EIGHT = {"linear_baseline", "linear_multiple", "ridge", "lasso", "polynomial_deg2", "huber_linear", "rff_ridge", "random_forest"}
+
+
+def test_stored_models_score_as_those_they_were_stored_from(spark, eight, tmp_path):
+    from meterloom.plans import model_store
+
+    model_store.save(eight, str(tmp_path))
+    again = forecast.long_predictions(model_store.load(spark, str(tmp_path)).predict(eight.rows))
+    direct = forecast.long_predictions(forecast.with_all_predictions(eight))
+    key = lambda df: sorted((r.model, r.sample_id, r.yhat) for r in df.collect())
+    assert key(again) == key(direct)
+
+
+def test_cross_validation_of_all_models(spark, eight):
+    """Expanding windows: the folds of Huber regression and the forest against fits on the rows before each fold."""
+    from meterloom.operators import forest as forests
+
+    got = {r.model: r for r in forecast.cross_validation(eight, trees=3, huber_iterations=5).collect()}
+    assert set(got) == EIGHT
+    linear = {r.model: r for r in forecast.linear_cv(eight).collect()}
+    assert all(got[m].mean_rmse == pytest.approx(linear[m].mean_rmse) for m in linear)
+    rows = features.ts_folds(eight.train.withColumn("n_total", F.lit(eight.train.count())))
+    scores = []
+    train = forecast._fold_rows(eight, 5).select("sample_id", "fold", "label", "x")
+    for k in range(1, 6):
+        forest = forests.fit_forest(train.where(F.col("fold") < k), 3)
+        pdf = forecast.with_forest_predictions(forest, train.where(F.col("fold") == k)).toPandas()
+        scores.append(float(np.sqrt(((pdf.label - pdf.yhat_random_forest) ** 2).mean())))
+    assert rows.where("fold = 5").count() > 0
+    assert got["random_forest"].max_rmse == pytest.approx(max(scores), rel=0.2) and got["random_forest"].mean_rmse == pytest.approx(np.mean(scores), rel=0.2)
+
+
+def test_training_log_keeps_runs_apart(spark, eight, tmp_path):
+    from meterloom.operators import evaluate
+    from meterloom.sources import training_log
+
+    path = str(tmp_path / "log")
+    times = eight.watch.table(spark)
+    scores = evaluate.model_metrics(forecast.long_predictions(forecast.with_all_predictions(eight)).where("split = 'test'"), ["model"])
+    training_log.append_run(path, "a", times, scores, models.forest_report(spark, eight.forest, eight.prep.feature_names()))
+    training_log.append_run(path, "b", times.withColumn("training_seconds", F.lit(1.0)))
+    training_log.append_run(path, "b", times.withColumn("training_seconds", F.lit(2.0)))
+    assert {(r.run, r.training_seconds) for r in training_log.read_log(spark, path, "times").collect() if r.run == "b"} == {("b", 2.0)}
+    assert training_log.read_log(spark, path, "importances", "a").count() == 5
+    table = evaluate.comparison_with_times(training_log.read_log(spark, path, "scores", "a"), training_log.read_log(spark, path, "times", "a"), by_id=True)
+    assert {r.model for r in table.where("training_seconds is not null").collect()} == EIGHT
