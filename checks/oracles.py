@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from meterloom.functions import normal
+
 VIEWS: dict[str, str] = {}
 
 
@@ -454,20 +456,102 @@ O["variance_ratio"] = oracle(
     "SELECT model, split, round(var_low, 0) AS var_low, round(var_high, 0) AS var_high, variance_ratio FROM spread",
     "var_low var_high variance_ratio",
 )
+
+
+def horner(x: str, coefficients) -> str:
+    out = f"{coefficients[0]!r}::DOUBLE"
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c!r}::DOUBLE)"
+    return out
+
+
+def log_cdf_sql(z: str) -> str:
+    """Logarithm of the normal distribution function, by the error function's three ranges."""
+    x = f"(abs({z}) / sqrt(2))"
+    sq, inv = f"({x} * {x})", f"(1 / ({x} * {x}))"
+    tail = (
+        f"(CASE WHEN {x} <= 4 THEN {horner(x, normal.MID_NUM)} / {horner(x, normal.MID_DEN)} "
+        f"ELSE (1 / sqrt(pi()) - {inv} * {horner(inv, normal.FAR_NUM)} / {horner(inv, normal.FAR_DEN)}) / {x} END)"
+    )
+    return (
+        f"CASE WHEN {x} <= 0.46875 THEN ln(0.5 + sign({z}) * {x} * {horner(sq, normal.ERF_NUM)} / {horner(sq, normal.ERF_DEN)} / 2) "
+        f"WHEN {z} > 0 THEN ln(1 - exp(-{sq}) * {tail} / 2) ELSE ln({tail} / 2) - {sq} END"
+    )
+
+
+def quantile_sql(p: str) -> str:
+    q, deep = f"({p} - 0.5)", f"sqrt(-ln(least({p}, 1 - {p})))"
+    r, tail, edge = f"(0.180625 - {q} * {q})", f"({deep} - 1.6)", f"({deep} - 5.0)"
+    return (
+        f"CASE WHEN abs({q}) <= 0.425 THEN {q} * {horner(r, normal.CENTRE_NUM)} / {horner(r, normal.CENTRE_DEN)} "
+        f"WHEN {deep} <= 5 THEN sign({q}) * {horner(tail, normal.TAIL_NUM)} / {horner(tail, normal.TAIL_DEN)} "
+        f"ELSE sign({q}) * {horner(edge, normal.EDGE_NUM)} / {horner(edge, normal.EDGE_DEN)} END"
+    )
+
+
+view(
+    "darling",
+    f"""
+SELECT model, split, n, statistic, critical_5pct, CASE WHEN statistic < critical_5pct THEN 1.0 ELSE 0.01 END AS p_value
+FROM (SELECT model, split, n, -n - sum((2 * i - 1) * below + (2 * (n - i) + 1) * above) / n AS statistic,
+             round(0.787 / (1 + 4 / n::DOUBLE - 25 / n::DOUBLE / n), 3) AS critical_5pct
+      FROM (SELECT model, split, i, n, {log_cdf_sql('z')} AS below, {log_cdf_sql('(-z)')} AS above
+            FROM (SELECT model, split, row_number() OVER (PARTITION BY model, split ORDER BY residual) AS i, count(*) OVER w AS n,
+                         (residual - avg(residual) OVER w) / stddev_samp(residual) OVER w AS z
+                  FROM residuals WINDOW w AS (PARTITION BY model, split)) AS placed) AS logs
+      GROUP BY 1, 2, 3) AS sums""",
+)
+O["anderson_darling"] = oracle("SELECT * FROM darling", "statistic critical_5pct p_value")
+view(
+    "plotted",
+    f"""
+SELECT *, {quantile_sql('p')} AS theoretical
+FROM (SELECT *, CASE WHEN "rank" = n_total THEN power(0.5, 1 / n_total::DOUBLE) WHEN "rank" = 1 THEN 1 - power(0.5, 1 / n_total::DOUBLE)
+                     ELSE ("rank" - 0.3175) / (n_total + 0.365) END AS p
+      FROM (SELECT offpeak_kwh, meter_id, month_start, row_number() OVER (ORDER BY offpeak_kwh, meter_id, month_start) AS "rank",
+                   count(*) OVER () AS n_total FROM base WHERE offpeak_kwh IS NOT NULL) AS placed) AS shares""",
+)
+O["qq_points"] = oracle(
+    """
+SELECT offpeak_kwh, meter_id, month_start, "rank", n_total, theoretical, slope, intercept, r, intercept + slope * theoretical AS fitted
+FROM plotted, (SELECT regr_slope(offpeak_kwh, theoretical) AS slope, regr_intercept(offpeak_kwh, theoretical) AS intercept,
+                      corr(offpeak_kwh, theoretical) AS r FROM plotted) AS line""",
+    "offpeak_kwh theoretical slope intercept r fitted",
+)
+# a cubic by the four orthogonal polynomials over 51 places, at the row's own place in its window
+CUBIC = ("1.0::DOUBLE", "{j}", "({j} * {j} - 650 / 3.0::DOUBLE)", "({j} * {j} * {j} - {j} * 1949 / 5.0::DOUBLE)")
+_at = lambda j: [c.format(j=j) for c in CUBIC]
+O["residual_smooth"] = oracle(
+    f"""
+SELECT model, split, sample_id, yhat, residual, "rank", sum(weight * other) AS smoothed
+FROM (SELECT a.model, a.split, a.sample_id, a.yhat, a.residual, a."rank", b.residual AS other,
+             {' + '.join(f"{p} * {q} / (SELECT sum({q} * {q}) FROM range(-25, 26) AS places(v))" for p, q in zip(_at('t'), _at('v')))} AS weight
+      FROM (SELECT *, first + k - 1 AS partner, k - 26 AS v, "rank" - first - 25 AS t
+            FROM (SELECT *, least(greatest("rank" - 25, 1), n - 50) AS first
+                  FROM (SELECT model, split, sample_id, yhat, residual, row_number() OVER (PARTITION BY model, split ORDER BY yhat, sample_id) AS "rank",
+                               count(*) OVER (PARTITION BY model, split) AS n FROM residuals) AS placed WHERE n > 50) AS windows,
+                 range(1, 52) AS ks(k)) AS a
+      JOIN (SELECT model, split, residual, row_number() OVER (PARTITION BY model, split ORDER BY yhat, sample_id) AS "rank" FROM residuals) AS b
+        ON b.model = a.model AND b.split = a.split AND b."rank" = a.partner) AS weighted
+GROUP BY ALL""",
+    "yhat residual smoothed",
+)
 O["residual_findings"] = oracle(
     """
 SELECT model, split, c.check_name AS "check",
   CASE c.check_name
     WHEN 'bias' THEN CASE WHEN abs(mean) < 0.5 THEN 'ok' WHEN mean > 0 THEN 'underestimation' ELSE 'overestimation' END
-    WHEN 'normality' THEN CASE WHEN exp(-jarque_bera / 2) > 0.05 THEN 'normal' ELSE 'not_normal' END
+    WHEN 'normality' THEN CASE WHEN normality_p > 0.05 THEN 'normal' ELSE 'not_normal' END
     WHEN 'skewness' THEN CASE WHEN abs(skew) < 0.5 THEN 'symmetric' WHEN skew > 0 THEN 'right' ELSE 'left' END
     WHEN 'kurtosis' THEN CASE WHEN abs(kurt) < 0.5 THEN 'normal' WHEN kurt > 0 THEN 'heavy' ELSE 'light' END
     WHEN 'variance' THEN CASE WHEN variance_ratio < 1.5 THEN 'constant' WHEN variance_ratio < 2.5 THEN 'mild' ELSE 'strong' END
     WHEN 'outliers' THEN CASE WHEN outlier_pct < 5 THEN 'few' ELSE 'many' END
     ELSE CASE WHEN variance_ratio > 2 OR abs(skew) > 1 OR outlier_pct > 5 THEN 'recommended' ELSE 'none' END END AS status,
-  CASE c.check_name WHEN 'bias' THEN mean WHEN 'normality' THEN exp(-jarque_bera / 2) WHEN 'skewness' THEN skew
-    WHEN 'kurtosis' THEN kurt WHEN 'variance' THEN variance_ratio WHEN 'outliers' THEN outlier_pct END AS value
-FROM res_stats JOIN (SELECT model, split, jarque_bera FROM jb) AS j USING (model, split) JOIN spread USING (model, split),
+  CASE c.check_name WHEN 'bias' THEN mean WHEN 'normality' THEN normality_p WHEN 'skewness' THEN skew
+    WHEN 'kurtosis' THEN kurt WHEN 'variance' THEN variance_ratio WHEN 'outliers' THEN outlier_pct END AS value,
+  CASE WHEN c.check_name = 'normality' THEN CASE WHEN n > 5000 THEN 'anderson_darling' ELSE 'jarque_bera' END END AS test
+FROM res_stats JOIN (SELECT model, split, CASE WHEN a.n > 5000 THEN p_value ELSE exp(-jarque_bera / 2) END AS normality_p
+                     FROM jb JOIN darling AS a USING (model, split)) AS j USING (model, split) JOIN spread USING (model, split),
   (VALUES ('bias'), ('normality'), ('skewness'), ('kurtosis'), ('variance'), ('outliers'), ('improvement')) AS c(check_name)""",
     "value",
 )
@@ -910,6 +994,17 @@ O["one_hot"] = oracle(
     + ", ".join(f'CASE WHEN {c} = {v} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "{n}"' for n, c, v in _hot)
     + " FROM split_rows"
 )
+view("usable_rows", "SELECT * FROM split_rows WHERE bill IS NOT NULL AND month IS NOT NULL AND season IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in NUMERIC.split()))
+O["feature_vectors"] = oracle(
+    "SELECT meter_id, month_start, cutoff_day, split, bill AS label, "
+    + ", ".join(
+        f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM usable_rows WHERE split = 'train')) / (SELECT stddev_pop({c}) FROM usable_rows WHERE split = 'train') AS {c}"
+        for c in NUMERIC.split()
+    )
+    + ", " + ", ".join(f'CASE WHEN {c} = {v} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "{n}"' for n, c, v in _hot)
+    + " FROM usable_rows",
+    "label " + NUMERIC,
+)
 O["baseline_ols"] = oracle(
     "SELECT regr_slope(bill, cum_total_kwh) AS slope, regr_intercept(bill, cum_total_kwh) AS intercept, regr_count(bill, cum_total_kwh) AS n "
     "FROM split_rows WHERE split = 'train'",

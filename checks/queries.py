@@ -776,7 +776,8 @@ def reloaded_predictions(spark, sf):
 
 @query
 def feature_vectors(spark, sf):
-    return trained(spark, sf).matrix.select(*KEY, "split", "label", "x")
+    t = trained(spark, sf)
+    return t.matrix.select(*KEY, "split", "label", *[F.get("x", F.lit(i)).alias(n) for i, n in enumerate(t.prep.feature_names())])
 
 
 @query

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from statistics import NormalDist
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterloom.functions import labels
+from meterloom.functions.normal import log_normal_cdf, normal_quantile
 from meterloom.functions.numeric import outside, pearson, ratio, tukey_high, tukey_low
 from meterloom.operators.evaluate import GROUP, with_residuals
 from meterloom.operators.joins import attach
@@ -69,10 +67,30 @@ def variance_ratio(predictions: DataFrame, by=GROUP) -> DataFrame:
     )
 
 
+# Fixed value: rows up to which a group's normality is tested by its moments.
+FEW_ROWS = 5000
+
+
+def normality(predictions: DataFrame, stats: DataFrame, by=GROUP) -> DataFrame:
+    """``stats`` with test, statistic and p-value: Jarque-Bera up to FEW_ROWS rows, Anderson-Darling above."""
+    by = list(by)
+    tested = anderson_darling(with_residuals(predictions), "residual", by).select(*by, F.col("statistic").alias("_ad"), F.col("p_value").alias("_ad_p"))
+    both = jarque_bera(stats).join(tested, by, "left")
+    many = F.col("n") > FEW_ROWS
+    pick = lambda a, b: F.when(many, a).otherwise(b)
+    return both.withColumns(
+        {
+            "normality_test": pick(F.lit("anderson_darling"), F.lit("jarque_bera")),
+            "normality_statistic": pick(F.col("_ad"), F.col("jarque_bera")),
+            "p_value": pick(F.col("_ad_p"), F.col("p_value")),
+        }
+    ).drop("_ad", "_ad_p")
+
+
 def residual_findings(predictions: DataFrame, by=GROUP) -> DataFrame:
-    """One row per check with its status and value."""
+    """One row per check with its status and value, and the test that decided on normality."""
     by = list(by)
-    s = jarque_bera(residual_stats(predictions, by)).join(variance_ratio(predictions, by), by)
+    s = normality(predictions, residual_stats(predictions, by), by).join(variance_ratio(predictions, by), by)
     sided = lambda c, limit, pos, neg: (
         F.when(F.abs(c) < limit, "ok").when(c > 0, pos).otherwise(neg)
     )
@@ -91,7 +109,8 @@ def residual_findings(predictions: DataFrame, by=GROUP) -> DataFrame:
             F.lit(None).cast("double"),
         ),
     ]
-    rows = F.array(*[F.struct(F.lit(n).alias("check"), st.alias("status"), v.alias("value")) for n, st, v in checks])
+    test = lambda n: F.col("normality_test") if n == "normality" else F.lit(None).cast("string")
+    rows = F.array(*[F.struct(F.lit(n).alias("check"), st.alias("status"), v.alias("value"), test(n).alias("test")) for n, st, v in checks])
     return s.select(*by, F.inline(rows))
 
 
@@ -159,23 +178,6 @@ def residual_smooth(predictions: DataFrame, by=GROUP, block: int = 50_000) -> Da
     return spread.groupBy(*by, "_block").applyInPandas(smooth, schema)
 
 
-@F.pandas_udf(T.DoubleType())
-def log_normal_cdf(z: pd.Series) -> pd.Series:
-    """log of the standard normal distribution function, stable far into the lower tail."""
-    x = z.to_numpy(dtype=float)
-    body = np.clip(x, -30, None)
-    out = np.log(0.5 * np.frompyfunc(math.erfc, 1, 1)(-body / math.sqrt(2)).astype(float))
-    far = x < -30
-    out[far] = -0.5 * x[far] ** 2 - np.log(-x[far]) - 0.5 * math.log(2 * math.pi)
-    return pd.Series(out)
-
-
-@F.pandas_udf(T.DoubleType())
-def normal_quantile(p: pd.Series) -> pd.Series:
-    inverse = NormalDist().inv_cdf
-    return p.map(inverse)
-
-
 def anderson_darling(df: DataFrame, value: str, by: list[str]) -> DataFrame:
     """Anderson-Darling statistic against the normal with estimated mean and sample deviation.
 
