@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from meterloom.operators.joins import attach
 from meterloom.operators.ranking import equal_parts, exact_rank
 from meterloom.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 
@@ -129,9 +131,36 @@ def one_hot(df: DataFrame, prep: Preparation) -> DataFrame:
     )
 
 
-def model_matrix(df: DataFrame, prep: Preparation, keep=("sample_id", "n_total", "split")) -> DataFrame:
-    """``x`` (array) and ``features`` (ML vector) in the order of ``prep.feature_names()``, ``label`` and keys."""
+#: Features up to which rows are laid out as dense arrays.
+DENSE = 1000
+
+
+def sparse_matrix(wide: DataFrame, prep: Preparation, keep) -> DataFrame:
+    """``model_matrix`` with sparse vectors: a row holds its numbers and one place per categorical column."""
+    spark, hot = wide.sparkSession, []
+    for c, values in prep.categories.items():
+        if len(values) > 1:
+            # the first category, and one unseen in training, take the place that the encoder drops
+            places = spark.createDataFrame([(v, float(i)) for i, v in enumerate(values[1:])], f"_value {dict(wide.dtypes)[c]}, _{c}_place double")
+            table = attach(wide.withColumn("_value", F.col(c)), places, ["_value"], "left")
+            wide = table.fillna(float(len(values) - 1), [f"_{c}_place"]).drop("_value")
+            last = spark.createDataFrame([(float(len(values) - 1),)], f"_{c}_place double")
+            wide = OneHotEncoder(inputCol=f"_{c}_place", outputCol=f"_{c}_hot", dropLast=True).fit(last).transform(wide)
+            hot.append(f"_{c}_hot")
+    numbers = wide.withColumn("_numbers", array_to_vector(F.array(*[F.col(f"`{n}`").cast("double") for n in prep.mean])))
+    whole = VectorAssembler(inputCols=["_numbers", *hot], outputCol="features").transform(numbers)
+    return whole.select(*keep, "meter_id", "month_start", "cutoff_day", F.col(TARGET).alias("label"), "features").withColumn("x", vector_to_array("features"))
+
+
+def model_matrix(df: DataFrame, prep: Preparation, keep=("sample_id", "n_total", "split"), dense: int = DENSE) -> DataFrame:
+    """``x`` (array) and ``features`` (ML vector) in the order of ``prep.feature_names()``, ``label`` and keys.
+
+    With more than ``dense`` features the vectors are sparse, made by joining each categorical column with its table of
+    categories; ``x`` is laid out from them where it is read.
+    """
     wide = standardize(df, prep)
+    if len(prep.feature_names()) > dense:
+        return sparse_matrix(wide, prep, keep)
     # one expression per categorical column, however many categories it has
     flags = lambda c, values: F.transform(F.lit(values), lambda v: F.when(F.col(c) == v, 1.0).otherwise(0.0))
     hot = [flags(c, values[1:]) for c, values in prep.categories.items() if len(values) > 1]

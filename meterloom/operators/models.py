@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import PolynomialExpansion
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,13 +27,21 @@ FOLDS = 5
 SEED = 42
 T_975_DF4 = 2.776445105197793
 
+#: Features up to which products are summed; wider matrices, whose p x p sums no longer fit a driver, are fitted by passes
+#: over the rows instead. The width is known before either is started.
 MAX_FEATURES = 2000
 
 
+def width_of(matrix: DataFrame, x: str = "x") -> int:
+    row = matrix.select(F.size(x)).first()
+    return 0 if row is None else row[0]
+
+
 def product_sums(matrix: DataFrame, fold: str | None = None, x: str = "x", label: str = "label") -> dict[int, np.ndarray]:
     """Per fold the symmetric matrix of products of (1, x…, y), summed over rows.
 
     Each task adds up its own rows and ships one small matrix per fold, so the shuffle does not grow with rows.
+    For up to MAX_FEATURES features; ``fit_least_squares`` and ``fit_tuned_wide`` take more.
     """
     key = F.col(fold) if fold else F.lit(0)
     rows = matrix.select(key.cast("int").alias("fold"), F.col(x).alias("x"), F.col(label).cast("double").alias("y"))
@@ -72,8 +80,6 @@ def product_sums(matrix: DataFrame, fold: str | None = None, x: str = "x", label
     for f, group in cells.groupby("fold"):
         upper = group.sort_values("cell")["value"].to_numpy()
         size = int((np.sqrt(8 * len(upper) + 1) - 1) / 2)
-        if size > MAX_FEATURES + 2:
-            raise ValueError(f"more than {MAX_FEATURES} features")
         m = np.zeros((size, size))
         m[np.triu_indices(size)] = upper
         out[int(f)] = m + m.T - np.diag(np.diag(m))
@@ -85,17 +91,22 @@ class LinearFit:
     intercept: float
     coef: np.ndarray
 
-    def column(self, x: str = "x") -> Column:
+    def column(self, x: str | Column = "x") -> Column:
         """The prediction as a Column: unrolled while short enough for code generation."""
         coef = [float(c) for c in self.coef]
+        x = F.col(x) if isinstance(x, str) else x
         if len(coef) <= 64:
             total = F.lit(float(self.intercept))
             for i, c in enumerate(coef):
-                total = total + F.lit(c) * F.get(F.col(x), F.lit(i))
+                total = total + F.lit(c) * F.get(x, F.lit(i))
             return total
-        products = F.zip_with(F.col(x), F.lit(coef), lambda a, b: a * b)
+        products = F.zip_with(x, F.lit(coef), lambda a, b: a * b)
         return F.aggregate(products, F.lit(float(self.intercept)), lambda s, v: s + v)
 
+    def column_of(self, vector: str = "features") -> Column:
+        """The prediction from an ML vector, sparse or dense."""
+        return self.column(vector_to_array(vector))
+
     def squared_error(self, sums: np.ndarray) -> float:
         """Sum of squared errors on the rows behind ``sums``."""
         u = np.concatenate([[self.intercept], self.coef, [-1.0]])
@@ -190,6 +201,45 @@ def fit_tuned(kind: str, fold_sums: dict[int, np.ndarray], alphas=ALPHAS) -> tup
     return FITTERS[kind]([(sum(fold_sums.values()), best)])[0], best, scores
 
 
+def fit_iterative(matrix: DataFrame, kind: str, alpha: float = 0.0, max_iter: int = 1000, tol: float = 1e-9) -> LinearFit:
+    """``kind`` ols, ridge or lasso on the vectors ``features``, sparse or dense, by passes over the rows.
+
+    Only the coefficients, one per feature, reach the driver. The penalties are those of ``fit_ridge`` and
+    ``fit_lasso_many``: the estimator divides the squared error by the rows, and ridge's penalty by the deviation of y.
+    """
+    if kind == "ridge":
+        stats = matrix.agg(F.count("label").alias("n"), F.stddev_samp("label").alias("std")).first()
+        alpha = alpha * (stats["std"] or 0.0) / max(1, stats["n"])
+    return linear_part(
+        LinearRegression(
+            solver="l-bfgs", elasticNetParam=float(kind == "lasso"), regParam=0.0 if kind == "ols" else alpha,
+            standardization=False, maxIter=max_iter, tol=tol,
+        ).fit(matrix)
+    )
+
+
+def fit_least_squares(matrix: DataFrame, x: str = "x") -> LinearFit:
+    """Least squares on the array ``x``, whatever its width."""
+    if width_of(matrix, x) <= MAX_FEATURES:
+        return fit_ols(product_sums(matrix, x=x)[0])
+    return fit_iterative(matrix.select("label", array_to_vector(x).alias("features")), "ols")
+
+
+def fit_tuned_wide(kind: str, matrix: DataFrame, fold: str = "fold", alphas=ALPHAS, **settings) -> tuple[LinearFit, float, dict]:
+    """``fit_tuned`` for a matrix too wide for sums of products: one fit per penalty and fold, then one on all rows."""
+    folds = [r[0] for r in matrix.select(fold).distinct().orderBy(fold).collect()]  # a handful
+    scores = {}
+    for alpha in alphas:
+        errors = []
+        for k in folds:
+            fit = fit_iterative(matrix.where(F.col(fold) != k), kind, alpha, **settings)
+            held_out = matrix.where(F.col(fold) == k).select("label", fit.column_of("features").alias("yhat"))
+            errors.append(held_out.agg(F.avg((F.col("label") - F.col("yhat")) * (F.col("label") - F.col("yhat")))).first()[0])
+        scores[alpha] = -float(np.mean(errors))
+    best = max(alphas, key=lambda a: scores[a])
+    return fit_iterative(matrix, kind, best, **settings), best, scores
+
+
 def select_features(sums: np.ndarray, positions: list[int]) -> np.ndarray:
     """The sums for a subset of the features."""
     keep = [0, *[p + 1 for p in positions], len(sums) - 1]
@@ -271,6 +321,13 @@ def random_fourier(matrix: DataFrame, gamma: float, width: int = 200, seed: int
     return matrix.withColumn("z", project("x"))
 
 
+def kernel_gamma_of(matrix: DataFrame, x: str = "x") -> float:
+    """``kernel_gamma`` from the rows, for matrices of any width."""
+    total = lambda f: F.sum(F.aggregate(x, F.lit(0.0), lambda a, v: a + f(v)))
+    r = matrix.agg(F.sum(F.size(x)).alias("n"), total(lambda v: v).alias("s"), total(lambda v: v * v).alias("q"), F.max(F.size(x)).alias("p")).first()
+    return 1.0 / (r["p"] * (r["q"] / r["n"] - (r["s"] / r["n"]) ** 2))
+
+
 def kernel_gamma(sums: np.ndarray) -> float:
     """1 / (p * variance of all matrix entries)."""
     n, p = sums[0, 0], len(sums) - 2

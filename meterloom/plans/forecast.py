@@ -43,7 +43,7 @@ class Training:
     rows: DataFrame
     prep: features.Preparation
     matrix: DataFrame
-    fold_sums: dict
+    fold_sums: dict  # empty when there are too many features for sums of products
     left_out: int = 0  # rows with a missing feature
     test_share: float = 0.2
     fits: dict = field(default_factory=dict)
@@ -51,6 +51,7 @@ class Training:
     scores: dict = field(default_factory=dict)
     others: dict = field(default_factory=dict)  # model -> (array column it reads, fit)
     rff: models.Fourier | None = None
+    folds: DataFrame | None = None  # stored train rows with their fold, in place of sums
     forest: Forest | None = None
     watch: models.Stopwatch = field(default_factory=models.Stopwatch)
 
@@ -82,11 +83,29 @@ def prepare(scenario_rows: DataFrame, test_share: float = 0.2) -> Training:
     n_train = F.col("n_total") - F.floor(F.col("n_total") * test_share)
     folds = features.kfolds(in_train.withColumn("n_total", n_train), models.FOLDS)
     left_out = rows.count() - usable.count()
+    if len(prep.feature_names()) > models.MAX_FEATURES:
+        return Training(rows, prep, matrix, {}, left_out, test_share, folds=stored(folds.drop("x")))
     return Training(rows, prep, matrix, models.product_sums(folds, "fold"), left_out, test_share)
 
 
-def fit_linear_family(t: Training) -> Training:
+def _fit_wide_family(t: Training, alphas=models.ALPHAS, **settings) -> Training:
+    """The same four models by passes over the stored rows."""
+    x = t.prep.feature_names().index("cum_total_kwh")
+    value = models.vector_to_array("features")[x]
+    line = models.baseline_ols(t.folds.select(F.lit("train").alias("split"), value.alias("v"), "label"), "v", "label").first()
+    coef = models.np.zeros(len(t.prep.feature_names()))
+    coef[x] = line["slope"] or 0.0
+    t.fits["linear_baseline"] = models.LinearFit(line["intercept"], coef)
+    t.fits["linear_multiple"] = t.watch.run("linear_multiple", lambda: models.fit_iterative(t.folds, "ols", **settings))
+    for kind in ("ridge", "lasso"):
+        t.fits[kind], t.alphas[kind], t.scores[kind] = t.watch.run(kind, lambda: models.fit_tuned_wide(kind, t.folds, alphas=alphas, **settings))
+    return t
+
+
+def fit_linear_family(t: Training, **wide) -> Training:
     """Baseline on the running total, least squares on all features, ridge and lasso with tuned penalty."""
+    if t.folds is not None:
+        return _fit_wide_family(t, **wide)
     at = NUMERIC_FEATURES.index("cum_total_kwh")
     p = len(t.prep.feature_names())
 
@@ -111,8 +130,9 @@ RFF_ALPHA, RFF_WIDTH = 0.1, 200
 def fit_other_models(t: Training, trees: int = forests.TREES, huber_iterations: int = 50, width: int = RFF_WIDTH) -> Training:
     """Polynomial, Huber, approximate kernel ridge regression and the forest, on the same train rows."""
     sums = lambda x: models.product_sums(with_spaces(t).where(F.col("split") == "train"), x=x)[0]
-    t.rff = models.Fourier(models.kernel_gamma(t.sums), width)
-    t.others["polynomial_deg2"] = "x2", t.watch.run("polynomial_deg2", lambda: models.fit_ols(sums("x2")))
+    t.rff = models.Fourier(models.kernel_gamma_of(t.train) if t.folds is not None else models.kernel_gamma(t.sums), width)
+    squares = lambda: models.fit_least_squares(with_spaces(t).where(F.col("split") == "train"), "x2")
+    t.others["polynomial_deg2"] = "x2", t.watch.run("polynomial_deg2", squares)
     t.others["huber_linear"] = "x", t.watch.run("huber_linear", lambda: models.linear_part(models.fit_huber(t.train, huber_iterations)))
     t.others["rff_ridge"] = "z", t.watch.run("rff_ridge", lambda: models.fit_ridge(sums("z"), RFF_ALPHA))
     return fit_forest(t, trees)
@@ -201,7 +221,7 @@ def polynomial_model(t: Training) -> tuple[DataFrame, models.LinearFit]:
     wide = models.polynomial(t.matrix)
     fit = t.watch.run(
         "polynomial_deg2",
-        lambda: models.fit_ols(models.product_sums(wide.where(F.col("split") == "train"), x="x2")[0]),
+        lambda: models.fit_least_squares(wide.where(F.col("split") == "train"), "x2"),
     )
     return wide.withColumn("yhat_polynomial_deg2", fit.column("x2")).drop("x2"), fit
 
