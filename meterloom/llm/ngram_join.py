@@ -36,7 +36,7 @@ from meterloom.llm.sketches import Filter, merged
 SKETCH = 1 << 20  # counters
 LONGEST = 16  # shared prefix tokens asked for at most
 LONG_LIST = 8  # members above which a list is first met through its centre
-SHORT = 20_000  # texts, above the sketch's noise, up to which a list is tested in one task
+SHORT = 300  # texts, above the sketch's noise, up to which a list is tested in one task
 ROUNDS = 4
 
 def tokens(text, size: int) -> np.ndarray:

@@ -39,7 +39,7 @@ SPAN, KMER = 13, 7
 BLOCK, MARGIN = 256, 64  # words of a reference block, and how far it reaches over either end
 SKETCH = 1 << 20
 COMMON = 30  # count, above the sketch's noise, from which a sequence is a seed only where there is no other
-SHORT = 20_000  # documents, above the sketch's noise, up to which a seed is tested in one task
+SHORT = 300  # documents, above the sketch's noise, up to which a seed is tested in one task
 
 def seeds(h: np.ndarray, span: int = SPAN, common=None) -> tuple[np.ndarray, np.ndarray]:
     """Seed hash of every window, and its position; ``common`` tells of hashes whether they come after all others."""
