@@ -83,11 +83,15 @@ def partial_month_scenarios(
 ) -> DataFrame:
     """Feature rows keyed by (meter, month, cutoff) with the full month's bill as label.
 
-    ``monthly`` carries ``bill``; months without daily rows drop out. ``stations`` maps meters to weather
-    stations. Neither join carries a broadcast hint: both sides grow with the number of meters.
+    ``monthly`` has a row per meter and month and carries ``bill``; months without daily rows drop out. ``stations`` maps
+    meters to weather stations. Both sides of the label join lie by meter; a meter's months, a dozen a year, are packed to
+    one row, so they meet without being dealt out again by month. No join carries a broadcast hint: both sides grow with the
+    number of meters.
     """
-    labels = monthly.select("meter_id", "month_start", "year", "month", "season", "bill")
-    rows = month_snapshots(daily, cutoffs).join(labels, ["meter_id", "month_start"])
+    label = F.struct("month_start", F.struct("year", "month", "season", "bill"))
+    labels = monthly.where("month_start IS NOT NULL").groupBy("meter_id").agg(F.map_from_entries(F.collect_list(label)).alias("_labels"))
+    rows = month_snapshots(daily, cutoffs).join(labels, "meter_id").withColumn("_label", F.try_element_at("_labels", F.col("month_start")))
+    rows = rows.where("_label IS NOT NULL").select("*", "_label.*").drop("_labels", "_label")
     if weather is None:
         rows = weather_ops.with_season_defaults(rows)
     else:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.calendar import SEASONS_EN, SEASONS_PT, month_start, season, week_ending_sunday
 from meterloom.functions.numeric import ratio
+from meterloom.operators.joins import attach
 
 MEASURES = ("tmax", "tmin", "humidity", "rain", "uv")
 
@@ -139,9 +140,11 @@ def with_range_means(scenarios: DataFrame, weather: DataFrame) -> DataFrame:
 
     A range never leaves its month. So the weather is packed to one row per station and month, the join is a
     plain equi join, and the range is cut out of the packed days: no nested loop, no fan-out, no second pass
-    over the scenarios. A range without any weather day takes the fixed defaults.
+    over the scenarios. The packed weather, which does not grow with meters, is measured and goes to the scenarios where
+    they lie: (station, month) is a few hundred values for any number of meters, and nothing is dealt out by it. Beyond the
+    limit for that, the join is a shuffled one. A range without any weather day takes the fixed defaults.
     """
-    joined = scenarios.join(month_days(weather), ["station_id", "month_start"], "left")
+    joined = attach(scenarios, month_days(weather), ["station_id", "month_start"], "left")
     in_range = F.filter("_days", lambda d: d["date"].between(F.col("first_date"), F.col("simulation_date")))
     cut = joined.withColumn("_days", in_range)
     zero = F.struct(*[F.lit(0.0).alias(f) for f in ("t", "nt", "h", "nh")])
