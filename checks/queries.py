@@ -353,12 +353,7 @@ def daily_consumption(spark, sf):
 
 @query
 def raw_daily_consumption(spark, sf):
-    return series.raw_daily(src.readings(spark, sf)).groupBy("meter_id", "date").agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("offpeak_kwh").alias("offpeak_kwh"),
-        F.sum("onpeak_kwh").alias("onpeak_kwh"),
-        F.sum("total_kwh").alias("total_kwh"),
-    )
+    return series.raw_daily(src.readings(spark, sf)).drop("tail")
 
 
 @query

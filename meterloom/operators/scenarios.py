@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.billing import Tariff, add_bill
 from meterloom.functions.calendar import days_in_month, month_start
 from meterloom.operators import weather as weather_ops
+from meterloom.operators.series import KWH, last_of
 from meterloom.schemas import CUTOFF_DAYS, TRAILING_ROWS
 
 
@@ -19,29 +20,34 @@ def expand_cutoffs(monthly: DataFrame, cutoffs=CUTOFF_DAYS) -> DataFrame:
     return monthly.withColumn("cutoff_day", F.explode(fits))
 
 
+def _mean(items):
+    """Mean of the elements that are not NULL; NULL if none is."""
+    known = F.filter(items, lambda x: x.isNotNull())
+    return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, x: a + x), F.size(known))
+
+
 def month_snapshots(daily: DataFrame, cutoffs=CUTOFF_DAYS) -> DataFrame:
     """State of each month at each cutoff: running sums, row count, trailing means, last date.
 
     Running windows over (meter, month) give every day its month-to-date state; a cutoff then simply takes the
     last day on or before it. So nothing is multiplied by the number of cutoffs before the windows, and the
-    windows reuse the partitioning by meter that ``daily`` comes with.
+    windows reuse the partitioning by meter that ``daily`` comes with. ``daily`` has one row per meter and date; where it
+    stands for ``n_rows`` source rows, its ``tail`` lists the last of them for the trailing means.
     """
-    if "seq" not in daily.columns:
-        daily = daily.withColumns({"seq": F.lit(0).cast("bigint"), "n_rows": F.lit(1).cast("bigint")})
+    if "tail" not in daily.columns:
+        daily = daily.withColumns({"n_rows": F.lit(1).cast("bigint"), "tail": F.array(F.struct(*KWH))})
     month = W.partitionBy("meter_id", "month_start")
-    order = month.orderBy("date", "seq")
+    order = month.orderBy("date")
     so_far = order.rowsBetween(W.unboundedPreceding, 0)
     trailing = order.rowsBetween(-(TRAILING_ROWS - 1), 0)
     running = lambda c: F.sum(F.coalesce(F.col(c), F.lit(0.0))).over(so_far)
-    recent = lambda c: F.avg(c).over(trailing)
+    recent = lambda c: _mean(F.col("_recent")[c])
     days = daily.withColumn("month_start", month_start(F.col("date"))).withColumns(
         {
             "cum_offpeak_kwh": running("offpeak_kwh"),
             "cum_onpeak_kwh": running("onpeak_kwh"),
             "days_elapsed": F.sum("n_rows").over(so_far),
-            "avg7_offpeak": recent("offpeak_kwh"),
-            "avg7_onpeak": recent("onpeak_kwh"),
-            "avg7_total": recent("total_kwh"),
+            "_recent": last_of(F.flatten(F.collect_list("tail").over(trailing)), TRAILING_ROWS),
             "first_date": F.first("date").over(so_far),
             "_day": F.dayofmonth("date"),
             "_next_day": F.dayofmonth(F.lead("date").over(order)),
@@ -67,9 +73,9 @@ def month_snapshots(daily: DataFrame, cutoffs=CUTOFF_DAYS) -> DataFrame:
         "cum_offpeak_kwh",
         "cum_onpeak_kwh",
         (F.col("cum_offpeak_kwh") + F.col("cum_onpeak_kwh")).alias("cum_total_kwh"),
-        "avg7_offpeak",
-        "avg7_onpeak",
-        "avg7_total",
+        recent("offpeak_kwh").alias("avg7_offpeak"),
+        recent("onpeak_kwh").alias("avg7_onpeak"),
+        recent("total_kwh").alias("avg7_total"),
     )
 
 

@@ -7,7 +7,7 @@ partitioning by ``meter_id``, so the chain costs one exchange after the combinin
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +15,7 @@ from meterloom.functions.numeric import outside, tukey_high, tukey_low
 from meterloom.schemas import TRAILING_ROWS
 
 REGISTERS = ("reg_offpeak", "reg_peak", "reg_shoulder")
+KWH = ("offpeak_kwh", "onpeak_kwh", "total_kwh")
 
 
 def combine_registers(readings: DataFrame) -> DataFrame:
@@ -129,12 +130,14 @@ def clean_daily(readings: DataFrame, dup_policy: str = "sum") -> DataFrame:
 
 
 def raw_daily(readings: DataFrame) -> DataFrame:
-    """Daily kWh straight from the rows as they came: no combining, filling or outlier handling.
+    """Daily kWh straight from the rows as they came: no combining, filling or outlier handling; one row per date.
 
-    Equal dates stay separate rows, each with the difference to the row before it. Identical copies are counted
-    before the shuffle and only as many of them as a trailing mean can see are laid out again; ``n_rows`` says
-    how many source rows a row stands for, so row counts stay exact and a date copied a billion times is cheap.
-    Row order inside a date: off-peak, then on-peak register, NULLs first; ``seq`` numbers it.
+    Equal dates count as separate rows, each with the difference to the row before it (NULL if a register is). Row order
+    inside a date: off-peak, then on-peak register, NULLs first. ``n_rows`` is the number of those differences, the kWh
+    columns are their sums, and ``tail`` holds the last of them, as many as a trailing mean can see.
+
+    Identical copies are counted before the shuffle. Differences are taken inside pieces of one meter and date; a piece
+    hands its last registers on to the next one, so that only one row per date meets the others of its meter.
     """
     shown = TRAILING_ROWS
     counted = (
@@ -142,33 +145,54 @@ def raw_daily(readings: DataFrame) -> DataFrame:
         .groupBy("meter_id", F.col("read_date").alias("date"), "reg_offpeak", "reg_onpeak")
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    order = W.partitionBy("meter_id").orderBy("date", "reg_offpeak", "reg_onpeak")
-    step = lambda c: F.abs(F.col(c) - F.lag(c).over(order))
-    still = lambda c: F.col(c) - F.col(c)
-    rows = counted.withColumns(
-        {
-            "_place": F.row_number().over(order),
-            "_off": step("reg_offpeak"),
-            "_on": step("reg_onpeak"),
-        }
-    ).withColumn("_extra", F.least(F.col("_copies") - 1, F.lit(shown)).cast("int"))
-    laid_out = rows.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_extra"))))
-    first_reading = (F.col("_place") == 1) & (F.col("_i") == 0)
-    moved = (F.col("_i") == 0) & ~first_reading
-    weight = (
-        F.when(F.col("_i") > 0, F.lit(1))
-        .when(first_reading, F.col("_copies") - F.col("_extra") - 1)
-        .otherwise(F.col("_copies") - F.col("_extra"))
+    piece = W.partitionBy("meter_id", "date")
+    order = piece.orderBy("reg_offpeak", "reg_onpeak")
+    registers = F.struct(F.col("reg_offpeak").alias("off"), F.col("reg_onpeak").alias("on"))
+    rows = counted.withColumns({
+        "_place": F.row_number().over(order),
+        "_before": F.lag(registers).over(order),
+        "_rows": F.count(F.lit(1)).over(piece),
+        "_registers": registers,
+    })
+    repeats = F.least(F.col("_copies") - 1, F.lit(shown)).cast("int")
+    moved, still = _step(F.col("_registers"), F.col("_before")), _step(F.col("_registers"), F.col("_registers"))
+    again, follows = F.col("_copies") > 1, F.col("_place") > 1
+    listed = F.concat(F.when(follows, F.array(moved)).otherwise(F.slice(F.array(moved), 1, 0)), F.array_repeat(still, repeats))
+    late = F.when(F.col("_rows") - F.col("_place") < shown, F.struct("_place", listed.alias("steps")))
+    inner = lambda c: _plus(F.sum(F.when(follows, moved[c])), F.sum(F.when(again, still[c])))
+    pieces = rows.groupBy("meter_id", "date").agg(
+        F.sum("_copies").alias("_n"),
+        F.max(F.when(~follows, F.col("_registers"))).alias("_first"),
+        F.max(F.when(F.col("_place") == F.col("_rows"), F.col("_registers"))).alias("_last"),
+        *[inner(c).alias(f"_{c}") for c in KWH],
+        F.flatten(F.sort_array(F.collect_list(late))["steps"]).alias("_steps"),
     )
+    earlier = F.lag("_last").over(W.partitionBy("meter_id").orderBy("date"))
+    border = F.when(F.col("_earlier").isNotNull(), _step(F.col("_first"), F.col("_earlier")))  # a meter's first row has none
+    tail = F.when(F.col("_border").isNotNull() & (F.size("_steps") < shown), F.concat(F.array("_border"), F.col("_steps")))
     return (
-        laid_out.select(
+        pieces.withColumn("_earlier", earlier)
+        .withColumn("_border", border)
+        .select(
             "meter_id",
             "date",
-            (F.col("_place").cast("bigint") * (shown + 1) + F.col("_i")).alias("seq"),
-            F.when(moved, F.col("_off")).otherwise(still("reg_offpeak")).alias("offpeak_kwh"),
-            F.when(moved, F.col("_on")).otherwise(still("reg_onpeak")).alias("onpeak_kwh"),
-            weight.cast("bigint").alias("n_rows"),
+            (F.col("_n") - F.when(F.col("_earlier").isNull(), 1).otherwise(0)).alias("n_rows"),
+            *[_plus(F.col(f"_border.{c}"), F.col(f"_{c}")).alias(c) for c in KWH],
+            last_of(F.coalesce(tail, F.col("_steps")), shown).alias("tail"),
         )
         .where("n_rows > 0")
-        .withColumn("total_kwh", F.col("offpeak_kwh") + F.col("onpeak_kwh"))
     )
+
+
+def _step(now: Column, before: Column) -> Column:
+    off, on = F.abs(now["off"] - before["off"]), F.abs(now["on"] - before["on"])
+    return F.struct(off.alias("offpeak_kwh"), on.alias("onpeak_kwh"), (off + on).alias("total_kwh"))
+
+
+def _plus(a: Column, b: Column) -> Column:
+    """Sum of what is there, NULL if nothing is."""
+    return F.coalesce(a + b, a, b)
+
+
+def last_of(items: Column, n: int) -> Column:
+    return F.slice(items, F.greatest(F.size(items) - (n - 1), F.lit(1)), F.lit(n))

@@ -1,6 +1,7 @@
 """Micro-fixtures with results worked out by hand, and properties of the daily series."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -152,7 +153,49 @@ def test_raw_days_with_many_copies_equal_the_row_by_row_result(readings_of, copi
     assert (snap.cum_offpeak_kwh, snap.cum_onpeak_kwh) == (total(1), total(2))
     mean = lambda i: (lambda v: sum(v) / len(v) if v else None)([r[i] for r in expected[-7:] if r[i] is not None])
     assert (snap.avg7_offpeak, snap.avg7_onpeak) == (pytest.approx(mean(1)), pytest.approx(mean(2)))
-    assert daily.count() <= 8 * 5
+    assert daily.count() <= 5
+
+
+def test_raw_days_of_many_readings_a_date(spark, readings_of):
+    """Dates of one to a few hundred different readings, with NULLs, falls and copies, against the row-by-row result."""
+    rng = random.Random(5)
+    for meter_days in ([1, 1, 300, 2, 1], [40, 1, 1, 9, 7, 8, 6], [1], [2], [120]):
+        source = []
+        for d, n in enumerate(meter_days, 1):
+            for _ in range(n):
+                value = lambda: None if rng.random() < 0.1 else rng.randrange(30)
+                source += [(1, f"2024-01-{d:02d}", value(), value(), value())] * rng.choice((1, 1, 2))
+        expected = reference_raw(source)
+        got = {r.date.day: r for r in series.raw_daily(readings_of(source)).collect()}
+        by_day = {}
+        for date, off, on in expected:
+            by_day.setdefault(int(date[-2:]), []).append((off, on))
+        assert {d: r.n_rows for d, r in got.items()} == {d: len(v) for d, v in by_day.items()}
+        for d, steps in by_day.items():
+            for i, c in enumerate(("offpeak_kwh", "onpeak_kwh")):
+                known = [s[i] for s in steps if s[i] is not None]
+                assert got[d][c] == (sum(known) if known else None)
+            shown = [(t.offpeak_kwh, t.onpeak_kwh) for t in got[d].tail]
+            assert shown == steps[-7:] and len(shown) == min(7, len(steps))
+
+
+def test_no_raw_row_is_dealt_out_by_meter_alone(spark, readings_of):
+    """Only the exchange of finished dates has the meter as its one key, and it carries no single reading."""
+    plan = series.raw_daily(readings_of([(1, "2024-01-01", 1, 1, 1)]))._jdf.queryExecution().executedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    keys_of = [line.split("hashpartitioning(")[1].split("), ")[0].split(", ")[:-1] for line in lines]
+    assert sorted(len(k) for k in keys_of) == [1, 2, 4]
+
+
+def test_a_million_readings_a_date(spark):
+    """No task that orders readings gets more than the readings of one date."""
+    n, days = 1_000_000, 3
+    readings = spark.range(n * days).selectExpr(
+        "1L AS meter_id", "date_add(date'2024-01-01', cast(id div 1000000 AS int)) AS read_date",
+        "cast(id AS double) AS reg_offpeak", "cast(2 * id AS double) AS reg_peak", "0D AS reg_shoulder",
+    )
+    got = [(r.n_rows, r.offpeak_kwh, r.onpeak_kwh, len(r.tail)) for r in series.raw_daily(readings).orderBy("date").collect()]
+    assert got == [(n - 1, n - 1, 2 * (n - 1), 7), (n, n, 2 * n, 7), (n, n, 2 * n, 7)]
 
 
 def test_scenario_properties(spark):
