@@ -961,6 +961,21 @@ O["stream_month_to_date"] = oracle(
     f"SELECT *, {PROJECTED} AS projected_bill FROM event_sums", "cum_offpeak_kwh cum_onpeak_kwh projected_bill"
 )
 
+view(
+    "largest_registers",
+    "SELECT meter_id, read_date AS date, max(reg_offpeak) AS off, max(reg_peak + reg_shoulder) AS on_ FROM readings GROUP BY 1, 2",
+)
+view(
+    "register_steps",
+    """
+SELECT meter_id, date, abs(off - lag(off) OVER w) AS offpeak_kwh, abs(on_ - lag(on_) OVER w) AS onpeak_kwh
+FROM (SELECT meter_id, date, on_, coalesce(last_value(off IGNORE NULLS) OVER (PARTITION BY meter_id ORDER BY date), 0) AS off FROM largest_registers) AS f
+WINDOW w AS (PARTITION BY meter_id ORDER BY date)""",
+)
+O["stream_register_days"] = oracle(
+    "SELECT *, offpeak_kwh + onpeak_kwh AS total_kwh FROM register_steps WHERE offpeak_kwh IS NOT NULL AND onpeak_kwh IS NOT NULL", KWH
+)
+
 # features and folds
 O["temporal_split"] = oracle("SELECT meter_id, month_start, cutoff_day, sample_id, split FROM split_rows")
 O["ts_folds"] = oracle(

@@ -16,7 +16,7 @@ from meterloom.schemas import NUMERIC_FEATURES
 from meterloom.session import checkpoint_dir, checkpointed, stored
 from meterloom.sources import driver_tables as src
 from meterloom.sources import files, training_log
-from meterloom.streaming import month_to_date
+from meterloom.streaming import month_to_date, register_days
 
 QUERIES = {}
 
@@ -721,6 +721,18 @@ def stream_month_to_date(spark, sf):
     return month_to_date.month_to_date(month_to_date.current_days(spark, f"{folder}/days"))
 
 
+@query
+def stream_register_days(spark, sf):
+    """Daily consumption from the registers as a file stream, which goes on twice from where it stopped."""
+    folder, rows = scratch(spark), stored(src.readings(spark, sf).withColumn("ts", F.col("read_date").cast("timestamp")))
+    year = F.year("read_date")
+    for period in (year < 1994, year.between(1994, 1995), year > 1995):
+        rows.where(period).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        register_days.run_register_days(stream, f"{folder}/days", f"{folder}/state")
+    return register_days.current_days(spark, f"{folder}/days")
+
+
 # ---- model fits: rows only ---------------------------------------------------------------------------------------
 
 _TRAINED = {}
