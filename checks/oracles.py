@@ -768,6 +768,14 @@ O["moments_adjusted"] = oracle(
     f"FROM ({long(['total_kwh', 'bill'], 'base', 'meter_id')}) AS cells GROUP BY 1, 2",
     "skew_adj kurt_adj",
 )
+O["sketched_quantiles"] = oracle(
+    " UNION ALL ".join(
+        f"SELECT {season('month(date)')} AS season, '{name}' AS quantile, count(*) AS n, quantile_cont(total_kwh, {p}) AS exact, "
+        f"true AS within_bound FROM daily GROUP BY 1"
+        for name, p in (("p10", 0.1), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("p90", 0.9))
+    ),
+    "exact",
+)
 O["tukey_outliers"] = oracle(
     f"""
 SELECT b.meter_id, month_start, total_kwh, q1 - 1.5 * (q3 - q1) AS low, q3 + 1.5 * (q3 - q1) AS high

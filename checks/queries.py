@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterloom.functions import billing, calendar
-from meterloom.operators import diagnostics, evaluate, features, models, monthly, quality, scenarios, series, stats
+from meterloom.operators import diagnostics, evaluate, features, models, monthly, quality, scenarios, series, sketches, stats
 from meterloom.operators import weather as wx
 from meterloom.plans import forecast, model_store
 from meterloom.schemas import NUMERIC_FEATURES
@@ -418,6 +418,21 @@ def by_season(spark, sf):
     return stats.by_season(stored_base(spark, sf))
 
 
+@query
+def sketched_quantiles(spark, sf):
+    """Quantiles per season from sketches kept by month: whether each is within its error bound, beside the exact quantile."""
+    at, path = {"p10": 0.1, **stats.QUARTILES, "p90": 0.9}, scratch(spark)
+    days = stored(daily(spark, sf).withColumn("season", calendar.season(F.month("date"))).select("season", "date", "total_kwh"))
+    sketches.keep(sketches.monthly_sketches(days, ["season"], "total_kwh"), path)
+    found = stored(sketches.sketched_quantiles(sketches.kept(spark, path), ["season"], at))
+    errors = sketches.rank_errors(days, ["season"], "total_kwh", found, at)
+    exact = stats.quantiles(days, ["season"], "total_kwh", at)
+    exact = exact.select("season", F.inline(F.array(*[F.struct(F.lit(n).alias("quantile"), F.col(n).alias("exact")) for n in at])))
+    return errors.join(exact, ["season", "quantile"]).select(
+        "season", "quantile", "n", "exact", (F.col("rank_error") <= sketches.rank_bound()).alias("within_bound")
+    )
+
+
 @query
 def by_year(spark, sf):
     return stats.by_group(stored_base(spark, sf), ["year"], "total_kwh")
