@@ -7,8 +7,8 @@ rectified, feeds a softmax over the languages. A text's probabilities are the me
 As a filter's response is a sum of one weight per covered byte, the applied network reads the responses of byte pairs from
 tables, which gives the same sums.
 
-The network is fitted on a bounded sample of labelled texts: about SAMPLE per language, WINDOWS windows each, whatever the
-size of the input. Everything else covers all texts, whole.
+The network is fitted on all windows of a bounded sample of labelled texts, about SAMPLE per language whatever the size of
+the input, in about STEPS steps and at least one pass. Everything else covers all texts, whole.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text when nothing could be
 learned; rows with a null identifier are never learned from and count as not held out; repeated rows each get their
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import table, utf8
 
 WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 16
-SAMPLE, WINDOWS, EPOCHS, BATCH, RATE, SEED = 600, 4, 6, 64, 0.01, 7
+SAMPLE, STEPS, BATCH, RATE, SEED = 600, 900, 64, 0.01, 7
 UNKNOWN = "und"
 
 
@@ -66,7 +66,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def train(x: np.ndarray, y: np.ndarray, languages, epochs: int = EPOCHS, seed: int = SEED) -> Network:
+def train(x: np.ndarray, y: np.ndarray, languages, steps: int = STEPS, seed: int = SEED) -> Network:
     """Adam on the cross entropy. Only the position of the largest response passes a gradient back."""
     rng = np.random.default_rng(seed)
     kinds = len(languages)
@@ -78,7 +78,7 @@ def train(x: np.ndarray, y: np.ndarray, languages, epochs: int = EPOCHS, seed: i
     moment, square, step = [np.zeros_like(a) for a in params], [np.zeros_like(a) for a in params], 0
     weight = (len(y) / kinds / np.maximum(1, np.bincount(y, minlength=kinds))).astype(np.float32)
     cells = np.arange(FILTERS)
-    for _ in range(epochs):
+    for _ in range(max(1, round(steps * BATCH / len(y)))):
         order = rng.permutation(len(y))
         for at in range(0, len(y), BATCH):
             pick = order[at : at + BATCH]
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str = "text",
             for text, lang in zip(pdf["text"], pdf["lang"]):
                 x = windows(text)
                 if text and any(map(str.isalpha, text)):
-                    out += [(number[lang], x[i].tobytes()) for i in sorted({len(x) * j // WINDOWS for j in range(WINDOWS)})]
+                    out += [(number[lang], codes.tobytes()) for codes in x]
             yield pd.DataFrame(out, columns=["label", "codes"])
 
     drawn = rows.where(draw < within).mapInPandas(cut, "label int, codes binary").toPandas()
