@@ -6,7 +6,7 @@ far) that the letters read allow; states and transitions are made when first met
 its beginning, or with up to two edits, fewer for short terms. What stands around a hit, quotation marks on both sides or
 a word of reporting just before it, separates quotation from use; both have weights of their own.
 
-A text's score is the logistic of its prior and the log likelihood ratios of its strongest hits.
+A text's score is the logistic of its prior and the log likelihood ratios of all its different hits.
 
 The lexicon and its weights are learned from a bounded sample of labelled rows: about TOXIC toxic and CLEAN clean ones,
 drawn by identifier, whatever the size of the input. Scoring covers all texts, whole. Copies in the sample count once:
@@ -293,12 +293,12 @@ def _model(blob: bytes) -> tuple[Model, Lexicon]:
 
 
 def score_text(text, model: Model, lexicon: Lexicon) -> float:
-    """Each different word counts once, by its strongest hit; the three strongest decide."""
+    """Each different word counts once, by its strongest hit."""
     best: dict[str, float] = {}
     for word, term, kind, quoted, _ in lexicon.hits(text):
         w = model.weights.get((term, kind, quoted), model.default[kind, quoted])
         best[word] = max(w, best.get(word, -99.0))
-    odds = model.prior + sum(sorted(best.values())[-3:]) if best else model.nothing
+    odds = model.prior + math.fsum(best.values()) if best else model.nothing
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
 
 

@@ -70,3 +70,12 @@ def test_edge_rows(spark, edge_docs, no_docs):
     model = toxicity.Model(("quick",), (), {}, {(k, q): 3.0 for k in range(4) for q in (False, True)}, -2.0, -4.0)
     assert toxicity.score(edge_docs, model).count() == edge_docs.count()
     assert toxicity.score(no_docs, model).count() == 0
+
+
+def test_every_different_hit_counts():
+    weights = {(f"term{c}", toxicity.EXACT, False): 0.7 for c in "abcdefgh"}
+    model = toxicity.Model(tuple(t for t, *_ in weights), (), weights, {(k, q): 0.0 for k in range(4) for q in (False, True)}, -3.0, -4.0)
+    lexicon = toxicity.Lexicon(model.terms, model.beginnings)
+    scores = [toxicity.score_text(" and then ".join(model.terms[:n]), model, lexicon) for n in range(9)]
+    assert scores == sorted(scores) and len(set(scores)) == 9 and scores[3] < 0.5 < scores[5]
+    assert toxicity.score_text(" and then ".join(model.terms[:2] * 9), model, lexicon) == scores[2]
