@@ -1,14 +1,22 @@
 """Main text of web pages: streaming parser events, text-to-tag ratios, Gaussian smoothing, threshold clustering.
 
 The parser's events are folded into lines, one per block of text. A line's ratio is its length over the tags met in it;
-lines in menus, headers, forms and the like, told by element, role, class or id, have ratio 0, and so have lines outside
-the article where the page marks one. The ratios are smoothed over neighbouring lines and cut in two clusters, one held
-at 0. Where the page marks its article, every line in it that is not marked as something else belongs to the text. On other
-pages the content region is the innermost element that holds all high lines and the heading they stand under; again every
-line in it that is not marked belongs to the text, short ones too.
+lines in menus, headers, forms and the like, told by element, role, class or id, have ratio 0. Where the page marks an
+article, ratios outside it weigh less (EVIDENCE). The ratios are smoothed over neighbouring lines and cut in two
+clusters, one held at 0.
+
+The high lines choose the content. Candidates are the outermost ``article`` elements, the rest of ``main``, and the rest of
+the page; the weighted lengths of their high lines are cut in two clusters in the same way, and the candidates of the
+upper one are content, the rest of the page only if it is the longest, so teasers beside an article, or articles beside a long text, stay out. Of an article all unmarked
+lines belong to the text, short ones too, and so do, if it has no heading, the heading and lead just before it. Of the rest of a page it
+is the innermost element that holds all high lines and the heading they stand under. Beside articles, and in such an element,
+blocks without high lines that are mostly links or a trail of them are left out. An ``article`` within an article that has
+text of its own before it holds a reader's comment.
 
 A class or id only tells what an element is as long as the element is not, or does not hold, the article itself: its words
-do not count where most of the text of high lines lies in it and little text, or no title, lies elsewhere.
+do not count where most of the text of high lines lies in it and little text, or no title, lies elsewhere. In the content, names
+with a word of another kind (``side-effects``) and words with a second meaning (``discussion``) count only when the element's
+lines are low, and mostly links or short.
 
 Defined results: a null or empty page gives an empty text; unclosed and stray tags are read as browsers mostly do;
 repeated rows each get their result; pages are read whole, whatever their length; further columns are left out.
@@ -27,6 +35,8 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import table
 
 SIGMA = 1.0
+EVIDENCE = {"article": 1.0, "main": 0.5, "": 0.1}  # weight of ratios by the element around them, on pages that mark an article
+SHORT = 40  # characters of a line that may be a label
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
@@ -42,8 +52,15 @@ WORDS = set(
 TALK = set("comment comments reply replies disqus discussion cookie cookies consent gdpr".split())  # may be longer than an article
 BESIDE = set("with without has have no not non hide show".split())  # the word after them tells what is beside the element
 TITLED = set("article post entry story content section page title".split())  # their header is the text's, not the site's
+DOUBTFUL = set("discussion search social side menu navigation share sharing subscription promotion login".split())  # with a second meaning
+PLACES = set(
+    "area bar block bottom box button buttons card cards col column container content desktop field form global group icon icons inner item items label large left line link links list "
+    "main mobile outer page panel post posts primary region right row secondary section site slot small sticky stories story text title top unit us wrap wrapper zone article entry".split()
+)
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-_PARTS = re.compile(r"[a-z0-9]+")
+_PARTS = re.compile(r"[a-z]+|[0-9]+")
+_TRAIL = re.compile(r"\S\s*[/>»›|·→]\s*\S")
+_SENTENCE = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
 
 
 def _marked(tag: str, attrs) -> bool:
@@ -73,8 +90,19 @@ def _words(tag: str, attrs, in_article: bool) -> set[str]:
     return found
 
 
+def _sure(attrs, words: set[str]) -> bool:
+    """Whether a name is made of such words and of words for places only, one of them without a second meaning."""
+    for name, value in attrs:
+        if name in ("class", "id"):
+            for token in (value or "").lower().split():
+                parts = set(_PARTS.findall(token))
+                if parts & words - DOUBTFUL and all(w in WORDS or w in PLACES or w.isdigit() for w in parts):
+                    return True
+    return False
+
+
 class Lines(HTMLParser):
-    """Folds events into lines: (text, tags, enclosing elements)."""
+    """Folds events into lines: (text, tags, enclosing elements), and the characters of links in each."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -83,6 +111,9 @@ class Lines(HTMLParser):
         self.tags_of: dict[int, str] = {}
         self.marked: set[int] = set()
         self.words: dict[int, set[str]] = {}  # of elements whose class or id speaks of something else
+        self.unsure: set[int] = set()  # those of them whose words count only with the support of their lines
+        self.links: list[int] = []
+        self.in_link, self.linked = False, 0
         self.count = self.tags = 0
         self.buffer: list[str] = []
 
@@ -91,7 +122,8 @@ class Lines(HTMLParser):
         self.buffer.clear()
         if text:
             self.lines.append((text, self.tags, tuple(n for _, n in self.stack)))
-            self.tags = 0
+            self.links.append(min(self.linked, len(text)))
+            self.tags = self.linked = 0
 
     def _open(self, tag: str, attrs) -> None:
         self.count += 1
@@ -101,6 +133,8 @@ class Lines(HTMLParser):
             self.marked.add(self.count)
         elif words := _words(tag, attrs, in_article):
             self.words[self.count] = words
+            if not _sure(attrs, words):
+                self.unsure.add(self.count)
         self.stack.append((tag, self.count))
 
     def _close(self, tag: str) -> None:
@@ -113,6 +147,7 @@ class Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        self.in_link = self.in_link or tag == "a"
         if tag in INLINE and not (attrs and (_marked(tag, attrs) or _words(tag, attrs, False))):
             return
         if tag in VOID:
@@ -140,6 +175,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        self.in_link = self.in_link and tag != "a"
         if tag in VOID:
             return
         if tag in INLINE and not any(t == tag for t, _ in self.stack):
@@ -149,6 +185,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.buffer.append(data)
+        if self.in_link:
+            self.linked += len(" ".join(data.split()))
 
 
 def smooth(values: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -170,29 +208,53 @@ def threshold(values: np.ndarray) -> float:
     return centre / 2
 
 
-def high_lines(lines, usable: np.ndarray) -> np.ndarray:
+def high_lines(lines, usable: np.ndarray, weight: np.ndarray | float = 1.0) -> np.ndarray:
     """Which of the usable lines belong to the cluster of high ratios."""
-    even = smooth(np.array([len(text) / max(1, tags) if u else 0.0 for (text, tags, _), u in zip(lines, usable)]))
+    even = smooth(np.array([len(text) / max(1, tags) if u else 0.0 for (text, tags, _), u in zip(lines, usable)]) * weight)
     high = (even >= threshold(even)) & usable
     return high if high.any() else usable
 
 
-def something_else(parser: Lines) -> np.ndarray:
-    """Which lines are marked. Words of a class or id do not count on an element that is or holds the article."""
+def _comments_in_articles(parser: Lines, marked: np.ndarray) -> np.ndarray:
+    """Lines of an article within an article that has high lines of its own before it."""
+    kinds, out, told = parser.tags_of, np.zeros(len(marked), bool), set()
+    if marked.all() or list(kinds.values()).count("article") < 2:
+        return out
+    for i, ((_, _, of), high) in enumerate(zip(parser.lines, high_lines(parser.lines, ~marked))):
+        articles = [n for n in of if kinds[n] == "article"]
+        out[i] = not told.isdisjoint(articles[:-1])
+        if high and articles:
+            told.add(articles[-1])
+    return out
+
+
+def something_else(parser: Lines, unsure: bool = True) -> np.ndarray:
+    """Which lines are marked. Words of a class or id do not count on an element that is or holds the article; unsure ones
+    count in an article with the support of their lines, elsewhere as asked."""
     lines, kinds, words = parser.lines, parser.tags_of, dict(parser.words)
     marked = np.array([not parser.marked.isdisjoint(of) for _, _, of in lines], bool)
+    marked |= _comments_in_articles(parser, marked)
     if not words or marked.all():
         return marked
     size = np.array([len(text) for text, *_ in lines])
-    mass = size * high_lines(lines, ~marked)
+    high = high_lines(lines, ~marked)
+    mass = size * high
     title = np.array([any(kinds[n] in ARTICLE or kinds[n] == "h1" for n in of) for _, _, of in lines]) & ~marked
     place: dict[int, list[int]] = {}
     for i, (_, _, of) in enumerate(lines):
         for n in of:
             if n in words:
                 place.setdefault(n, []).append(i)
+    links = np.array(parser.links)
+    for n in parser.unsure & place.keys():
+        own = np.array(place[n])
+        of = lines[own[0]][2]
+        if not unsure or any(kinds[m] in ARTICLE for m in of[: of.index(n)]):
+            labels = all(size[i] <= SHORT and not _SENTENCE.search(lines[i][0]) for i in own)
+            if not labels and 2 * links[own].sum() < size[own].sum():
+                del words[n]
     clean = np.array([words.keys().isdisjoint(of) for _, _, of in lines]) & ~marked
-    for n in sorted(place):  # outer elements first
+    for n in sorted(place.keys() & words.keys()):  # outer elements first
         own = place[n]
         if 2 * mass[own].sum() <= mass.sum():
             continue
@@ -203,6 +265,96 @@ def something_else(parser: Lines) -> np.ndarray:
     return ~clean
 
 
+def _firm(parser: Lines, high: np.ndarray) -> np.ndarray:
+    """High lines that are not so by their neighbours alone (their own ratio is far below the border), nor mostly links."""
+    ratio = np.array([len(text) / max(1, tags) for text, tags, _ in parser.lines])
+    firm = high & (ratio >= threshold(ratio * high) / 4) & (2 * np.array(parser.links) < [len(text) for text, *_ in parser.lines])
+    return firm if firm.any() else high
+
+
+def _box(parser: Lines, which: np.ndarray) -> int | None:
+    """The innermost element, but for those of one line, that holds all these lines."""
+    kinds = parser.tags_of
+    boxes = [{n for n in of if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td")} for (_, _, of), w in zip(parser.lines, which) if w]
+    return max(set.intersection(*boxes), default=None)  # numbers grow inwards
+
+
+def _asides(parser: Lines, usable: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Lines of blocks without high lines that are mostly links, and trails of links ahead of the high lines."""
+    lines, links = parser.lines, np.array(parser.links)
+    holding = {n for (_, _, of), h in zip(lines, high) if h for n in of}
+    blocks: dict[int, list[int]] = {}
+    for i, (_, _, of) in enumerate(lines):
+        outer = next((n for n in of if n not in holding), None)
+        if usable[i] and not high[i] and outer is not None:
+            blocks.setdefault(outer, []).append(i)
+    out, first = np.zeros(len(lines), bool), int(np.argmax(high))
+    for own in blocks.values():
+        size = sum(len(lines[i][0]) for i in own)
+        trail = own[-1] < first and len(own) == 1 and size <= 2 * SHORT and not parser.tags_of[lines[own[0]][2][-1]] in HEADINGS and _TRAIL.search(lines[own[0]][0])
+        if 2 * links[own].sum() > size or trail:
+            out[own] = True
+    return out
+
+
+def _with_heading(parser: Lines, chosen: np.ndarray, usable: np.ndarray, first: int) -> None:
+    """Add the heading above line ``first`` and the lead between, as long as nothing marked comes between."""
+    for k in range(first, -1, -1):
+        if not usable[k] or k < first and chosen[k]:
+            return
+        if any(parser.tags_of[n] in HEADINGS for n in parser.lines[k][2]):
+            chosen[k : first + 1] = True
+            return
+
+
+def _region(parser: Lines, usable: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Usable lines in the innermost element that holds all high lines and their heading, but for link blocks."""
+    high = _firm(parser, high)
+    named = high.copy()
+    _with_heading(parser, named, usable, int(np.argmax(high)))
+    region = _box(parser, named)
+    inside = np.array([region is None or region in of for _, _, of in parser.lines], bool)
+    return inside & usable & (named | ~_asides(parser, usable, high))
+
+
+def _content(parser: Lines, usable: np.ndarray) -> np.ndarray:
+    """Which lines are content, as the high lines choose."""
+    lines, kinds = parser.lines, parser.tags_of
+    group = []
+    for _, _, of in lines:
+        outer = next((n for n in of if kinds[n] == "article"), None)
+        group.append(outer if outer is not None else "main" if any(kinds[n] == "main" for n in of) else "")
+    kind = ["article" if isinstance(g, int) else g for g in group]
+    if not any(k and u for k, u in zip(kind, usable)):
+        return _region(parser, usable, high_lines(lines, usable))
+    high = high_lines(lines, usable, np.array([EVIDENCE[k] for k in kind]))
+    mass: dict[object, float] = {}
+    for g, (text, _, _), h in zip(group, lines, high):
+        mass[g] = mass.get(g, 0.0) + len(text) * h
+    names = list(mass)
+    sure = np.array([mass[g] * EVIDENCE["article" if isinstance(g, int) else g] for g in names])
+    best = names[int(np.argmax(sure))]
+    if not isinstance(best, int):  # the articles are not the text, so the element is no evidence here
+        high = high_lines(lines, usable)
+        mass = {g: sum(len(line[0]) for line, x, h in zip(lines, group, high) if x == g and h) for g in names}
+        sure = np.array([float(mass[g]) for g in names])
+    least = threshold(sure)
+    named = {g for g, m in zip(names, sure) if m and m >= least and (g != "" or best == "")}
+    within = lambda g: np.array([x == g for x in group], bool) & usable
+    chosen = np.zeros(len(lines), bool)
+    for g in names:
+        if g in named and isinstance(g, int):
+            own = within(g)
+            chosen |= own
+            if not any(kinds[n] in HEADINGS for i in np.flatnonzero(own) for n in lines[i][2]):
+                _with_heading(parser, chosen, usable, int(np.argmax(own)))
+    if "main" in named:
+        chosen |= within("main") & ~_asides(parser, usable, _firm(parser, high & within("main")))
+    if "" in named:
+        chosen |= _region(parser, within(""), high & within(""))
+    return chosen
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -210,24 +362,22 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser._flush()
-    lines, kinds = parser.lines, parser.tags_of
+    if not parser.lines:
+        return ""
     usable = ~something_else(parser)
-    inside = np.array([any(kinds[n] in ARTICLE for n in of) for _, _, of in lines], bool) & usable
-    if inside.any():
-        return " ".join(line[0] for line, i in zip(lines, inside) if i)
+    freed = ~something_else(parser, unsure=False) if parser.unsure else usable
+    if not usable.any():
+        usable = freed
     if not usable.any():
         return ""
-    high = high_lines(lines, usable).copy()
-    first = int(np.argmax(high))
-    for k in range(first, -1, -1):  # back to the heading, over a lead, as long as nothing marked comes between
-        if not usable[k]:
-            break
-        if any(kinds[n] in HEADINGS for n in lines[k][2]):
-            high[k] = True
-            break
-    boxes = [{n for n in of if kinds[n] not in INLINE and kinds[n] not in HEADINGS and kinds[n] not in ("p", "li", "blockquote", "pre", "td")} for (_, _, of), h in zip(lines, high) if h]
-    region = max(set.intersection(*boxes), default=None)  # numbers grow inwards
-    return " ".join(line[0] for line, u in zip(lines, usable) if u and (region is None or region in line[2]))
+    chosen = _content(parser, usable)
+    if (freed & ~usable).any():  # blocks with unsure names in the element that holds the content and its title
+        titles = usable & [any(parser.tags_of[n] == "h1" for n in of) for _, _, of in parser.lines]
+        box = _box(parser, chosen | titles)
+        more = freed & [box in of for _, _, of in parser.lines]
+        if (more & ~usable).any():
+            chosen = _content(parser, usable | more)
+    return " ".join(text for (text, _, _), c in zip(parser.lines, chosen) if c)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
