@@ -2,12 +2,16 @@
 
 A table turns a unit vector by three rounds of random signs and a fast Hadamard transform and names the signed axis
 nearest to it; with several ``hashes`` a table's bucket is the tuple of their axes. Rows enter one bucket per table,
-queries probe the ``probes`` buckets whose axes lie nearest to them. Rows and queries meet by bucket; a bucket with more
-than BLOCK rows, or more than BLOCK queries, is split in blocks and every pair of its blocks meets, so no task holds a
-whole hot bucket and nothing is left out. Within a block the distances of the original vectors decide.
+queries probe the buckets whose axes lie nearest to them. How many hashes and probes there are depends on the
+vectors' length only, not on the number of rows.
+
+Rows and queries meet by the first axis and, where more than BLOCK rows share it, by parts of the other axes, as many as
+their number asks for: a query goes once to each part in which it probes a bucket, with the list of these buckets, and
+is compared with the rows of these alone. A part with more than BLOCK rows, or more than BLOCK queries, is split in blocks
+and every pair of its blocks meets, so no task holds a whole hot bucket and nothing is left out. Within a block the
+distances of the original vectors decide. Vectors travel as single precision where that loses nothing.
 
 Of equal vectors only the k + 1 with the smallest identifiers can be among anybody's k nearest, so only they are indexed.
-How many buckets a query probes depends on the vectors' length only, not on the number of rows.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, and rows without an
 identifier, take no part; vectors of different lengths do not meet; rows with equal identifier and vector count once;
@@ -26,8 +30,9 @@ from pyspark.sql import functions as F
 
 from meterloom.llm.common import stored, table
 
-TABLES, PROBES, HASHES, SEED = 10, 12, 1, 20
-SHARE = 1 / 8  # of a table's buckets that a query probes at least
+TABLES, PROBES, SEED = 10, 12, 20
+SHARE = {1: 1 / 8, 2: 1 / 16}  # of a table's buckets that a query probes at least, by the number of hashes
+TWO = range(17, 129)  # lengths with two hashes a table; longer vectors have axes enough, shorter ones few neighbours in a bucket
 BLOCK = 4096
 
 
@@ -57,11 +62,12 @@ def buckets(unit: np.ndarray, number: int, probes: int, hashes: int) -> np.ndarr
     for h in range(hashes):
         value = axes(unit, number, h)
         keep = min(probes, value.shape[1])
-        order = np.argsort(-value, axis=1, kind="stable")[:, :keep]
-        new = (codes * value.shape[1])[:, :, None] + order[:, None, :]
-        total = scores[:, :, None] + np.take_along_axis(value, order, axis=1)[:, None, :]
-        codes, scores = new.reshape(len(unit), -1), total.reshape(len(unit), -1)
-        best = np.argsort(-scores, axis=1, kind="stable")[:, : min(probes, scores.shape[1])]
+        order = value.argmax(axis=1)[:, None] if keep == 1 else np.argsort(-value, axis=1, kind="stable")[:, :keep]
+        # the a-th best so far with the b-th best axis has a * b - 1 pairs before it
+        a, b = np.nonzero(np.outer(np.arange(1, codes.shape[1] + 1), np.arange(1, keep + 1)) <= probes)
+        codes = (codes * value.shape[1])[:, a] + order[:, b]
+        scores = scores[:, a] + np.take_along_axis(value, order, axis=1)[:, b]
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
         codes, scores = np.take_along_axis(codes, best, axis=1), np.take_along_axis(scores, best, axis=1)
     return codes
 
@@ -80,31 +86,62 @@ def distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     return d
 
 
-def probes_of(dim: int, probes: int = PROBES, hashes: int = HASHES) -> int:
+def hashes_of(dim: int) -> int:
+    return 2 if dim in TWO else 1
+
+
+def width(dim: int) -> int:
+    """Signed axes of a hash of vectors of this length."""
+    return 2 << max(1, (dim - 1).bit_length())
+
+
+def probes_of(dim: int, probes: int = PROBES, hashes: int | None = None) -> int:
     """Buckets that a query of this length probes in each table."""
-    every = (2 << max(1, (dim - 1).bit_length())) ** hashes
-    return min(every, max(probes, math.ceil(every * SHARE)))
+    hashes = hashes or hashes_of(dim)
+    every = width(dim) ** hashes
+    return min(every, max(probes, math.ceil(every * SHARE.get(hashes, SHARE[2]))))
 
 
-def _hashed(rows: DataFrame, number_of, tables: int, hashes: int) -> DataFrame:
-    """(vec_id, vector) -> one row per table and probed bucket; vectors become bytes of doubles."""
+def packed(x: np.ndarray) -> list[bytes]:
+    """Rows as bytes of floats, or of doubles where floats would change them."""
+    with np.errstate(over="ignore"):
+        single = x.astype(np.float32)
+    whole = (single == x).all(axis=1)
+    return [(s if w else d).tobytes() for s, d, w in zip(single, x, whole)]
+
+
+def unpacked(raw: pd.Series, dim: int) -> np.ndarray:
+    rows = [np.frombuffer(r, np.float32 if len(r) == 4 * dim else np.float64) for r in raw]
+    return np.stack(rows).astype(np.float64)
+
+
+def _hashed(rows: DataFrame, number_of, tables: int, hashes: int | None) -> DataFrame:
+    """(vec_id, vector) -> one row per table and first axis, with the probed axes beyond it as ``rest``."""
 
     def run(frames):
         for pdf in frames:
             for dim, part in pdf.groupby(pdf["vector"].map(len)):
+                dim = int(dim)
                 x = np.stack(part["vector"].to_numpy()).astype(np.float64)
                 scaled = x / np.abs(x).max(axis=1, keepdims=True)  # no square leaves the range of doubles
                 unit = scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
-                raw = [v.tobytes() for v in x]
+                raw, ids, h = packed(x), part["vec_id"].to_numpy(), hashes or hashes_of(dim)
                 for number in range(tables):
-                    codes = buckets(unit, number, number_of(int(dim)), hashes)
-                    n = codes.shape[1]
-                    yield pd.DataFrame({"dim": int(dim), "number": number, "bucket": codes.ravel(), "vec_id": np.repeat(part["vec_id"].to_numpy(), n), "vector": [r for r in raw for _ in range(n)]})
+                    for low in range(0, len(unit), 100):
+                        codes = np.sort(buckets(unit[low : low + 100], number, number_of(dim), h), axis=1)
+                        out = []
+                        for k, (first, rest) in enumerate(zip(*np.divmod(codes, width(dim) ** (h - 1))), low):
+                            cuts = np.flatnonzero(np.diff(first, prepend=-1))
+                            out += [(int(first[c]), r, ids[k], raw[k]) for c, r in zip(cuts, np.split(rest, cuts[1:]))]
+                        frame = pd.DataFrame(out, columns=["bucket", "rest", "vec_id", "vector"])
+                        frame.insert(0, "number", number)
+                        frame.insert(0, "dim", dim)
+                        yield frame
 
-    return rows.mapInPandas(run, "dim int, number int, bucket long, vec_id long, vector binary")
+    return rows.mapInPandas(run, "dim int, number int, bucket long, rest array<long>, vec_id long, vector binary")
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, hashes: int = HASHES) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", tables: int = TABLES, probes: int = PROBES, hashes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows found for every row for which ``is_query(id)`` holds."""
     vector = F.col(f"`{vector_col}`").cast("array<double>")
     v = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), vector.alias("vector"))
@@ -117,21 +154,31 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", v
     index = stored(_hashed(rows, lambda dim: 1, tables, hashes), "index")
     asked = stored(_hashed(queries, lambda dim: probes_of(dim, probes, hashes), tables, hashes), "probes")
 
-    key = ["dim", "number", "bucket"]
+    bucket = ["dim", "number", "bucket"]
+    parts = stored(index.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "parts")  # a row per axis and table
+    part_of = lambda code: F.pmod(F.xxhash64(code), F.col("parts")).cast("int")
+    index = index.withColumn("rest", F.col("rest")[0]).join(parts, bucket).withColumn("part", part_of(F.col("rest")))
+    asked = asked.join(parts, bucket).withColumn("part", F.explode(F.array_distinct(F.transform("rest", part_of))))
+    asked = asked.withColumn("rest", F.filter("rest", lambda code: part_of(code) == F.col("part")))
+
+    key = [*bucket, "part"]
     blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
     sizes = stored(blocks(index, "row_blocks").join(blocks(asked, "query_blocks"), key), "sizes")  # buckets met by a query
     spread = lambda df, own, other: df.join(sizes, key).select(
-        *key, F.pmod(F.xxhash64("vec_id"), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block"), F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"), "vec_id", "vector"
+        *key, F.pmod(F.xxhash64("vec_id"), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block"), F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"), "rest", "vec_id", "vector"
     )
     meet = [*key, "row_block", "query_block"]
 
     def rerank(found: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(found) and len(wanted):
-            ids = found["vec_id"].to_numpy()
-            x = np.frombuffer(b"".join(found["vector"]), np.float64).reshape(len(ids), -1)
-            for q, raw in zip(wanted["vec_id"].tolist(), wanted["vector"]):
-                d = distances(x, np.frombuffer(raw, np.float64))
+            dim = int(found["dim"].iloc[0])
+            found = found.sort_values("rest", kind="stable")
+            all_ids, all_x, rest = found["vec_id"].to_numpy(), unpacked(found["vector"], dim), found["rest"].to_numpy()
+            for q, of, probed in zip(wanted["vec_id"].tolist(), unpacked(wanted["vector"], dim), wanted["rest"]):
+                low, high = np.searchsorted(rest, probed, "left"), np.searchsorted(rest, probed, "right")
+                at = np.concatenate([np.arange(a, b) for a, b in zip(low, high) if b > a] or [np.zeros(0, int)])
+                ids, d = all_ids[at], distances(all_x[at], of)
                 d[ids == q] = np.inf
                 near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
                 near = near[np.lexsort((ids[near], d[near]))][:k]

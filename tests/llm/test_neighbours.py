@@ -70,8 +70,11 @@ def test_empty_and_lonely(odd):
     assert neighbours.nearest(odd.where("vec_id = 1"), lambda v: v % 1 == 0).count() == 0
 
 
-def test_hot_buckets_are_split_without_loss(spark, monkeypatch):
+@pytest.mark.parametrize("hashes", [1, 2])
+def test_hot_buckets_are_split_without_loss(spark, monkeypatch, hashes):
     monkeypatch.setattr(neighbours, "BLOCK", 16)
+    monkeypatch.setattr(neighbours, "hashes_of", lambda dim: hashes)
+    monkeypatch.setattr(neighbours, "SHARE", {1: 1, 2: 1})
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(size=(1, 8)) + 0.01 * rng.normal(size=(150, 8)), rng.normal(size=(50, 8))])
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
@@ -81,18 +84,58 @@ def test_hot_buckets_are_split_without_loss(spark, monkeypatch):
     assert got == {q: [a for a, _ in v] for q, v in brute(np.arange(200), x, range(0, 200, 10), 10).items()}
 
 
-@pytest.mark.parametrize("dim", [64, 256])
+def reached(unit, asked):
+    """Which rows the queries are compared with, table by table."""
+    dim = unit.shape[1]
+    hashes, met = neighbours.hashes_of(dim), np.zeros((len(asked), len(unit)), bool)
+    for number in range(neighbours.TABLES):
+        own = neighbours.buckets(unit, number, 1, hashes)[:, 0]
+        for k, probed in enumerate(neighbours.buckets(asked, number, neighbours.probes_of(dim), hashes)):
+            met[k] |= np.isin(own, probed)
+    return met
+
+
+@pytest.mark.parametrize("dim", [20, 32, 64, 128, 256])
 def test_recall_with_the_probes_of_any_table(dim):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(1500, dim))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     asked = unit[:60]
     near = np.argsort(asked @ unit.T, axis=1)[:, -11:-1]
-    met = np.zeros((60, 1500), bool)
-    for number in range(neighbours.TABLES):
-        own, probed = neighbours.buckets(unit, number, 1, 1), neighbours.buckets(asked, number, neighbours.probes_of(dim), 1)
-        met |= (own[None, :, :] == probed[:, None, :]).any(axis=2)
-    assert np.take_along_axis(met, near, axis=1).mean() >= 0.9 and not met.all()
+    met = reached(unit, asked)
+    assert np.take_along_axis(met, near, axis=1).mean() >= 0.9 and met.mean() < 0.75
+
+
+@pytest.mark.parametrize("rows", [2_000, 50_000])
+def test_share_of_rows_reached_among_structured_vectors(rows):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(rows // 25, 64))[rng.integers(0, rows // 25, rows)] + 0.5 * rng.normal(size=(rows, 64))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    asked = unit[:40]
+    near = np.argsort(asked @ unit.T, axis=1)[:, -11:-1]
+    met = reached(unit, asked)
+    assert np.take_along_axis(met, near, axis=1).mean() >= 0.99 and met.mean() < 0.5
+
+
+def test_best_buckets_against_all_pairs_of_axes():
+    rng = np.random.default_rng(6)
+    unit = rng.normal(size=(30, 16))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    one, two = neighbours.axes(unit, 0, 0), neighbours.axes(unit, 0, 1)
+    every = (one[:, :, None] + two[:, None, :]).reshape(30, -1)
+    for probes in (1, 7, 40, 2000):
+        got = neighbours.buckets(unit, 0, probes, 2)
+        want = -np.sort(-every, axis=1)[:, :probes]
+        assert np.allclose(np.take_along_axis(every, got, axis=1), want) and all(len(set(g)) == len(g) for g in got)
+
+
+def test_vectors_travel_unchanged():
+    x = np.array([[1.0, 0.5], [0.1, 1.0], [1e300, 1.0], [np.float32(0.1), -0.0]])
+    raw = neighbours.packed(x)
+    assert [len(r) for r in raw] == [8, 16, 16, 8]
+    import pandas as pd
+
+    assert (neighbours.unpacked(pd.Series(raw), 2) == x).all()
 
 
 def test_distances_of_very_large_and_small_vectors(spark):
