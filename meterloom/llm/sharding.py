@@ -111,9 +111,8 @@ def cut_keys(rows: DataFrame, own: list[int], shards: int) -> list[int]:
                 runs[-1][1] = i
             else:
                 runs.append([i, i])
-        within = F.lit(False)
-        for first, last in runs:
-            within = within | F.col("key").between(cells[first].low, cells[last].high)
+        # a key lies in a run when an odd number of these bounds, two a run, lies below it; a condition per run nests too deep
+        within = _place(F.col("key"), [bound for first, last in runs for bound in (cells[first].low - 1, cells[last].high)]) % 2 == 1
         again = set(split)
         # a run of neighbours holds single groups at most where its cells do not touch, so every cell read again is a split one
         cells = sorted([c for i, c in enumerate(cells) if i not in again] + summed(others.where(within), shift))

@@ -126,3 +126,20 @@ def test_query_as_its_sql(spark):
 def test_plan_has_no_python(spark):
     plan = sharding.op11_sharding(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_cuts_may_fall_in_thousands_of_runs(spark, monkeypatch):
+    """Every other cell is read again; a condition for each of them would nest thousands deep."""
+    half = 1 << (sharding.KEY_BITS - sharding.FIRST_BITS - 1)
+    rows = spark.range(2 << sharding.FIRST_BITS).select((F.col("id") * half).alias("key"), (F.col("id") % 97 + 16).alias("size"))
+    found = sharding.undecided
+    rounds = [lambda cells, shards: list(range(0, len(cells), 2))]
+    monkeypatch.setattr(sharding, "undecided", lambda *a: (rounds.pop() if rounds else found)(*a))
+    got, keys = sharding.cut_keys(rows, [], 4), [(i * half, i % 97 + 16) for i in range(2 << sharding.FIRST_BITS)]
+    load, want, most = 0, [], sharding.least_capacity([Cell(k, k, s) for k, s in keys], 4, False)
+    for i, (_, s) in enumerate(keys):
+        if load + s > most:
+            want.append(keys[i - 1][0])
+            load = 0
+        load += s
+    assert got == want
