@@ -8,7 +8,8 @@ from meterloom import schemas
 from meterloom.functions.numeric import missing_as_null
 from meterloom.operators import monthly, scenarios, series
 from meterloom.operators import weather as wx
-from meterloom.sources import files
+from meterloom.plans import forecast
+from meterloom.sources import driver_tables, files
 
 
 def test_household_files(spark, tmp_path):
@@ -127,3 +128,16 @@ def test_cleaning_needs_one_exchange_after_combining(spark):
     )
     plan = monthly.monthly_consumption(series.clean_daily(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_meters_lie_in_as_many_tasks_as_their_rows_ask_for(spark, tmp_path, monkeypatch):
+    """The session's number of shuffle partitions does not grow with the table; tasks must, and AQE must not merge them."""
+    spark.range(4000).selectExpr(
+        "id % 500 AS l_suppkey", "timestamp_seconds(800000000 + id * 86400) AS l_shipdate", "'R' AS l_returnflag", "2D AS l_quantity"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plain = sorted(map(tuple, driver_tables.readings(spark, str(tmp_path)).collect()), key=str)
+    monkeypatch.setattr(driver_tables, "ROWS_PER_TASK", 100, raising=False)
+    rows = driver_tables.readings(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 40
+    assert forecast.scenario_table(rows).rdd.getNumPartitions() == 40
+    assert sorted(map(tuple, rows.collect()), key=str) == plain
