@@ -118,3 +118,16 @@ def test_constant_target_and_few_rows(spark):
     assert 0 in drawn.values()  # with two rows some trees draw none
     members = forests.fit_forest(lonely.coalesce(1), trees=40).members(lonely).collect()
     assert all(len(r.members) == 40 and 2.0 <= min(r.members) and max(r.members) <= 4.0 for r in members)
+
+
+def test_only_nodes_that_can_be_split_get_histograms(monkeypatch):
+    """Most nodes of a deep tree are too small to be split; a histogram for each of them took most of the time."""
+    rng, seen, found = np.random.default_rng(3), [], forests.best_splits
+    bins = rng.integers(0, 32, (3000, 6)).astype(np.uint8)
+    weight, y = rng.poisson(1, 3000) + 1.0, np.rint(rng.normal(0, 1e6, 3000))
+    first = np.arange(7) * 32
+    monkeypatch.setattr(forests, "best_splits", lambda n, *rest: (seen.append(n), found(n, *rest))[1])
+    node, feature, _, n, _, _ = forests.subtree(bins, weight, y, 1, 30, first, 4)
+    assert min(map(np.min, seen)) >= 8 and sum(map(len, seen)) == (n >= 8).sum()
+    assert n[feature < 0].sum() == weight.sum() and n.min() >= 4
+    assert set(node[1:] // 2) == set(node[feature >= 0])
