@@ -131,3 +131,24 @@ def test_only_nodes_that_can_be_split_get_histograms(monkeypatch):
     assert min(map(np.min, seen)) >= 8 and sum(map(len, seen)) == (n >= 8).sum()
     assert n[feature < 0].sum() == weight.sum() and n.min() >= 4
     assert set(node[1:] // 2) == set(node[feature >= 0])
+
+
+def test_features_are_counted_one_at_a_time_and_only_in_nodes_that_can_be_split(monkeypatch):
+    """Weights repeated for every feature, and rows carried into leaves, took most of a tree's time."""
+    rng, counted, found = np.random.default_rng(4), [], np.bincount
+    bins = rng.integers(0, 32, (3000, 6)).astype(np.uint8)
+    weight, y = rng.poisson(1, 3000) + 1.0, np.rint(rng.normal(0, 1e6, 3000))
+    monkeypatch.setattr(forests.np, "bincount", lambda index, *rest, **more: (counted.append(len(index)), found(index, *rest, **more))[1])
+    node, feature, _, n, _, _ = forests.subtree(bins, weight, y, 1, 30, np.arange(7) * 32, 4)
+    assert max(counted) <= 3000 and sum(counted) <= 13 * n[n >= 8].sum()
+    assert n[feature < 0].sum() == weight.sum() and set(node[1:] // 2) == set(node[feature >= 0])
+
+
+def test_a_subtree_is_one_row(data):
+    """Scoring shuffled a row per node, tens of millions of a large forest."""
+    _, _, df = data
+    for node_rows in (200_000, 40):
+        forest = forests.fit_forest(df, trees=5, node_rows=node_rows)
+        nodes = forest.nodes
+        assert forest.subtrees.count() == nodes.select("tree", "root").distinct().count() < nodes.count() / 10
+        assert nodes.where("(feature >= 0) <> (threshold IS NOT NULL)").isEmpty()
