@@ -12,6 +12,10 @@ its square, and the links among texts already known to be connected change no co
 first compared with one member each, the most central one; afterwards pairs whose ends are already connected are left out,
 and all other pairs of all lists are candidates as above. No link between components can be lost.
 
+In long lists a pair must also pass a bound on what its sets do not share: every token flips one of 512 bits of its text's
+mark, so two marks differ in no more bits than the sets in tokens. That parts members of a large group which share most of
+their tokens, hence their prefixes, and yet not enough of them.
+
 ``links`` leaves nothing out: it verifies the candidates within components too and gives every link between different
 sets, with the rows that hold each set. Its work and its rows grow with the number of links.
 
@@ -33,7 +37,8 @@ from meterloom.llm.common import discard, fresh, hashes, id_text, rolled, stored
 from meterloom.llm.graphs import components
 from meterloom.llm.sketches import Filter, merged
 
-SKETCH = 1 << 20  # counters
+COUNTERS, LEAST, MOST = 10, 1 << 20, 1 << 24  # of the sketch: for each row, least and most of all
+MARK = 8  # words of 64 bits
 LONGEST = 16  # shared prefix tokens asked for at most
 LONG_LIST = 8  # members above which a list is first met through its centre
 SHORT = 300  # texts, above the sketch's noise, up to which a list is tested in one task
@@ -49,6 +54,12 @@ def node_of(own: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
 
 
+def mark_of(own: np.ndarray) -> np.ndarray:
+    """Of each bit, whether an odd number of tokens falls on it."""
+    odd = np.bincount((own >> np.uint64(64 - 9)).astype(np.intp), minlength=64 * MARK) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_of(own: np.ndarray, sketch: np.ndarray, noise: float, num: int, den: int):
     """Prefix tokens, which of them are often met, shared tokens asked for, mean estimate (how central the text is)."""
     n = len(own)
@@ -66,16 +77,17 @@ def prefix_of(own: np.ndarray, sketch: np.ndarray, noise: float, num: int, den:
 
 
 def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Stored (doc_id, node, n, asked, centre, prefix, often) for every row; ``often`` marks the tokens of long lists."""
+    """Stored (doc_id, node, n, asked, centre, prefix, often, mark) for every row; ``often`` tells the tokens of long lists."""
     texts = id_text(docs)
+    counters = min(MOST, max(LEAST, 1 << (COUNTERS * texts.count()).bit_length()))  # else noise would grow with the rows
 
     def count(frames, array):
         for pdf in frames:
             for text in pdf["text"]:
                 own = tokens(text, size)
-                np.add.at(array, (own & np.uint64(SKETCH - 1)).astype(np.intp), 1)
+                np.add.at(array, (own & np.uint64(counters - 1)).astype(np.intp), 1)
 
-    sketch = merged(texts.select("text"), count, SKETCH, "<i4", np.add)
+    sketch = merged(texts.select("text"), count, counters, "<i4", np.add)
     noise, shared = float(np.median(sketch)), docs.sparkSession.sparkContext.broadcast(sketch)
 
     def run(frames):
@@ -85,15 +97,15 @@ def prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
                 own = tokens(text, size)
                 if len(own):
                     prefix, often, asked, centre = prefix_of(own, shared.value, noise, num, den)
-                    rows.append((doc, node_of(own), len(own), asked, centre, prefix.view(np.int64), often))
+                    rows.append((doc, node_of(own), len(own), asked, centre, prefix.view(np.int64), often, mark_of(own)))
                 else:
-                    rows.append((doc, 0, 0, 0, 0.0, own.view(np.int64), np.zeros(0, bool)))
-            out = pd.DataFrame(rows, columns=["doc_id", "node", "n", "asked", "centre", "prefix", "often"])
+                    rows.append((doc, 0, 0, 0, 0.0, own.view(np.int64), np.zeros(0, bool), mark_of(own)))
+            out = pd.DataFrame(rows, columns=["doc_id", "node", "n", "asked", "centre", "prefix", "often", "mark"])
             out["doc_id"] = pdf["doc_id"].to_numpy()
             yield out
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return stored(texts.mapInPandas(run, f"doc_id {kind}, node long, n int, asked int, centre double, prefix array<long>, often array<boolean>"), "prefixes")
+    return stored(texts.mapInPandas(run, f"doc_id {kind}, node long, n int, asked int, centre double, prefix array<long>, often array<boolean>, mark array<long>"), "prefixes")
 
 
 def token_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -183,9 +195,27 @@ def shared_lists(signed: DataFrame) -> DataFrame:
     return out
 
 
+def long_lists(lists: DataFrame) -> DataFrame:
+    return lists.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LONG_LIST).select("token")
+
+
+def marked(rows: DataFrame, long: DataFrame, signed: DataFrame) -> DataFrame:
+    """``rows`` with the mark of their node where their token has a long list, null elsewhere."""
+    marks = signed.where("n > 0").select("node", "mark").dropDuplicates(["node"]).withColumn("long", F.lit(True))
+    return rows.join(long.withColumn("long", F.lit(True)), "token", "left").join(marks, ["node", "long"], "left").drop("long")
+
+
+def _near(x: str, y: str, num: int, den: int):
+    """Whether two sets may differ in few enough tokens: of n + m, a link leaves (den - num) / (den + num) unshared."""
+    word = lambda side, i: F.get(F.col(f"{side}mark"), F.lit(i))
+    differ = sum((F.bit_count(word(x, i).bitwiseXOR(word(y, i))) for i in range(1, MARK)), F.bit_count(word(x, 0).bitwiseXOR(word(y, 0))))
+    total = (F.col(f"{x}n") + F.col(f"{y}n")).cast("long")
+    return F.coalesce((num + den) * differ <= (den - num) * total, F.lit(True))
+
+
 def verified(docs: DataFrame, signed: DataFrame, left: DataFrame, right: DataFrame, which, size: int, num: int, den: int) -> DataFrame:
-    """Stored links (a, b), a > b, among the pairs of ``left`` (x) and ``right`` (y) that meet in a token and fulfil ``which``."""
-    pairs = left.alias("x").join(right.alias("y"), (F.col("x.token") == F.col("y.token")) & which & _fits("x.", "y.", num, den))
+    """Stored links (a, b), a > b, among the pairs of ``left`` (x) and ``right`` (y), both marked, that meet in a token and fulfil ``which``."""
+    pairs = left.alias("x").join(right.alias("y"), (F.col("x.token") == F.col("y.token")) & which & _fits("x.", "y.", num, den) & _near("x.", "y.", num, den))
     pairs = pairs.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"), F.least("x.asked", "y.asked").alias("asked"))
     pairs = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b"), "pairs")
     if pairs.isEmpty():
@@ -204,8 +234,10 @@ def links(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
     docs = id_text(docs, id_col, text_col)
     signed = prefixes(docs, size, num, den)
     lists = shared_lists(signed)
+    rows = stored(marked(lists, long_lists(lists), signed), "rows")
+    discard(lists)
     members = signed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
-    return members, verified(docs, signed, lists, lists, F.col("x.node") < F.col("y.node"), size, num, den)
+    return members, verified(docs, signed, rows, rows, F.col("x.node") < F.col("y.node"), size, num, den)
 
 
 def link_counts(members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -243,7 +275,7 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
         if before is not None:
             discard(before)
 
-    long = lists.groupBy("token").agg(F.count("*").alias("size")).where(F.col("size") > LONG_LIST).select("token")
+    long = long_lists(lists)
     members = stored(lists.join(long, "token", "left_semi"), "long-lists")
     if not members.isEmpty():
         sets, picks = token_sets(docs, signed, members.select("node").distinct(), size)
@@ -264,7 +296,7 @@ def link(docs: DataFrame, size: int = 3, num: int = 90, den: int = 100, id_col:
         discard(sets, picks)
     discard(members)
 
-    rows = stored(with_roots(lists), "rows")
+    rows = stored(marked(with_roots(lists), long, signed), "rows")
     discard(lists)
     main = rows.groupBy("token", "root").agg(F.count("*").alias("size")).groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("several")).where("several > 1")
     left = rows.join(main.select("token", "main"), "token")

@@ -124,3 +124,28 @@ def test_links_of_edge_rows(spark, edge_docs, no_docs):
     want = sorted(((d, len(shingles(t, 3)), sum(i in pair for pair in linked)) for i, (d, t) in enumerate(rows)), key=str)
     assert result(ngram_join.link_counts(*ngram_join.links(edge_docs))) == want
     assert ngram_join.link_counts(*ngram_join.links(no_docs)).count() == 0
+
+
+def test_marks_differ_in_no_more_bits_than_sets_in_tokens():
+    rng = random.Random(3)
+    base = rng.choices([f"w{i}" for i in range(500)], k=300)
+    for edits in range(1, 60, 3):
+        a, b = (ngram_join.tokens(" ".join(words), 3) for words in (base, edited(rng, base, edits)))
+        bits = sum((int(x) ^ int(y)).bit_count() for x, y in zip(*(ngram_join.mark_of(t).view("u8") for t in (a, b))))
+        unshared = len(set(a.tolist()) ^ set(b.tolist()))
+        assert bits <= unshared and bits % 2 == unshared % 2 and bits > 0.6 * min(unshared, 200)
+
+
+def test_members_of_a_large_group_that_are_not_linked_are_no_pairs(spark, monkeypatch):
+    """All share most of their tokens, hence their prefixes, but two words of each are its own."""
+    rng = random.Random(12)
+    base = rng.choices([f"w{i}" for i in range(3000)], k=140)
+    rows = [(i, " ".join(edited(rng, base, 2))) for i in range(60)]
+    made, kept = [], ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, what: (out := kept(df, what), made.append(out.count()) if what == "pairs" else None)[0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert result(ngram_join.link(docs)) == brute(rows)
+    members, pairs = ngram_join.links(docs)
+    sets = [shingles(t, 3) for _, t in rows]
+    near = sum(100 * len(a & b) >= 90 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert pairs.count() == near and max(made) <= near + 60
