@@ -46,7 +46,7 @@ ROUNDS = 4
 
 def tokens(text, size: int) -> np.ndarray:
     """Sorted distinct n-gram hashes. Only A-Z are lowered, as ``bytes.lower`` does."""
-    h = hashes(utf8(text).lower().split())
+    h, _ = hashes([utf8(text).lower()])
     return np.unique(rolled(h, min(size, len(h)))) if len(h) else h
 
 

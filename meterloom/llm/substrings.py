@@ -24,7 +24,6 @@ makes others lose them; only the named columns are read.
 from __future__ import annotations
 
 import hashlib
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -32,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import discard, fresh, hashes, id_text, rolled, stored, table, words
+from meterloom.llm.common import discard, fresh, hashes, id_text, rolled, stored, table, utf8, words
 from meterloom.llm.sketches import Filter, merged
 
 SPAN, KMER = 13, 7
 BLOCK, MARGIN = 256, 64  # words of a reference block, and how far it reaches over either end
+APART = 0x9E3779B1  # parts the marks of one document's blocks
 SKETCH = 1 << 20
 COMMON = 30  # count, above the sketch's noise, from which a sequence is a seed only where there is no other
 SHORT = 300  # documents, above the sketch's noise, up to which a seed is tested in one task
@@ -47,7 +47,11 @@ def seeds(h: np.ndarray, span: int = SPAN, common=None) -> tuple[np.ndarray, np.
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     grams = rolled(h, KMER)
     order = grams if common is None else (grams >> np.uint64(1)) | (common(grams).astype(np.uint64) << np.uint64(63))
-    at = np.lib.stride_tricks.sliding_window_view(order, span - KMER + 1).argmin(axis=1) + np.arange(len(h) - span + 1)
+    n = len(h) - span + 1
+    least, at = order[:n].copy(), np.arange(n)
+    for j in range(1, span - KMER + 1):
+        less = np.flatnonzero(order[j : j + n] < least)
+        least[less], at[less] = order[less + j], less + j
     return grams[at], at
 
 
@@ -68,10 +72,8 @@ class Counts:
         return self.of(grams) > self.often_from
 
 
-def seeds_of(documents: list[list[bytes]], span: int, common=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def seeds_of(h: np.ndarray, sizes: np.ndarray, span: int, common=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(number of the document, seed, its place there) for several documents at once; neighbours' common seeds once."""
-    sizes = np.array(list(map(len, documents)), np.int64)
-    h = hashes(chain.from_iterable(documents))
     seed, at = seeds(h, span, common)
     doc, ends = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes)
     start = np.arange(len(seed))
@@ -81,18 +83,18 @@ def seeds_of(documents: list[list[bytes]], span: int, common=None) -> tuple[np.n
     return own, seed[start], at[start] - (ends - sizes)[own]
 
 
-def groups(pdf: pd.DataFrame, most: int = 100_000):
-    """Identifiers and words of a batch's documents, about ``most`` words at a time."""
+def groups(pdf: pd.DataFrame, most: int = 1 << 19):
+    """Identifiers, word hashes and numbers of words of a batch's documents, about ``most`` bytes of text at a time."""
     ids, own, size = [], [], 0
     for doc, text in zip(pdf["doc_id"], pdf["text"]):
         ids.append(doc)
-        own.append(words(text))
+        own.append(utf8(text))
         size += len(own[-1])
         if size >= most:
-            yield ids, own
+            yield ids, *hashes(own)
             ids, own, size = [], [], 0
     if own:
-        yield ids, own
+        yield ids, *hashes(own)
 
 
 def common_length(x: np.ndarray, y: np.ndarray) -> int:
@@ -105,11 +107,14 @@ def common_length(x: np.ndarray, y: np.ndarray) -> int:
 def parse(h: np.ndarray, shared: np.ndarray, blocks: list[np.ndarray], span: int = SPAN) -> list[tuple[int, int]]:
     """Greedy factors of ``span`` words or more: (start, end), by the longest match of each next shared seed."""
     grams = rolled(h, KMER)
+    every, ends = np.concatenate(blocks), np.cumsum(list(map(len, blocks)))
+    own = rolled(every, KMER)
     index: dict[int, list[tuple[np.ndarray, int]]] = {}
-    for block in blocks:
-        own = rolled(block, KMER)
-        for q in np.flatnonzero(np.isin(own, shared)).tolist():
-            index.setdefault(int(own[q]), []).append((block, q))
+    places = np.flatnonzero(np.isin(own, shared))
+    number = np.searchsorted(ends, places, side="right")
+    for q, k in zip(places.tolist(), number.tolist()):
+        if q + KMER <= ends[k]:
+            index.setdefault(int(own[q]), []).append((blocks[k], q - int(ends[k]) + len(blocks[k])))
     out, done = [], 0
     for p in np.flatnonzero(np.isin(grams, shared)).tolist():
         if p + KMER <= done:
@@ -150,9 +155,12 @@ def content(docs: DataFrame) -> DataFrame:
 
     def run(frames):
         for pdf in frames:
-            own = [words(t) for t in pdf["text"]]
-            node = [hashlib.sha256(b" ".join(w)).hexdigest() for w in own]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": pd.Series(list(map(len, own)), dtype="int64", index=pdf.index), "node": pd.Series(node, dtype=object, index=pdf.index)})
+            size, node = [], []
+            for text in pdf["text"]:
+                own = words(text)
+                size.append(len(own))
+                node.append(hashlib.sha256(b" ".join(own)).hexdigest())
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_words": pd.Series(size, dtype="int64", index=pdf.index), "node": pd.Series(node, dtype=object, index=pdf.index)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return stored(docs.mapInPandas(run, f"doc_id {kind}, n_words long, node string"), "content")
@@ -166,33 +174,37 @@ def shared_seeds(docs: DataFrame, kind: str, span: int, among: Filter) -> tuple[
 
     def count(frames, array):
         for pdf in frames:
-            for _, own in groups(pdf[among(pdf["mark"])]):
-                np.add.at(array, (seeds_of(own, span)[1] & np.uint64(SKETCH - 1)).astype(np.intp), 1)
+            for _, h, sizes in groups(pdf[among(pdf["mark"])]):
+                np.add.at(array, (seeds_of(h, sizes, span)[1] & np.uint64(SKETCH - 1)).astype(np.intp), 1)
 
     sketch = merged(docs, count, SKETCH, "<i4", np.add)
     counts = Counts(docs.sparkSession, sketch)
 
-    def run(frames):
-        for pdf in frames:
-            for ids, own in groups(pdf[among(pdf["mark"])]):
-                number, seed, place = seeds_of(own, span, counts.common)
-                often = counts.often(seed)
-                yield pd.DataFrame({"seed": seed.view(np.int64), "doc_id": pd.Series(ids).to_numpy()[number], "at": place.astype(np.int32), "often": often})
+    def those(often: bool) -> DataFrame:
+        def run(frames):
+            for pdf in frames:
+                for ids, h, sizes in groups(pdf[among(pdf["mark"])]):
+                    number, seed, place = seeds_of(h, sizes, span, counts.common)
+                    own = counts.often(seed) == often
+                    yield pd.DataFrame({"seed": seed[own].view(np.int64), "doc_id": pd.Series(ids).to_numpy()[number[own]], "at": place[own].astype(np.int32)})
+
+        return docs.mapInPandas(run, f"seed long, doc_id {kind}, at int")
 
-    rows = docs.mapInPandas(run, f"seed long, doc_id {kind}, at int, often boolean")
-    each = W.partitionBy("seed")
-    rare = rows.where(~F.col("often")).withColumn("first", F.min(F.struct("doc_id", "at")).over(each)).withColumn("last", F.max("doc_id").over(each)).where(F.col("first.doc_id") != F.col("last"))
-    often = rows.where("often")
-    firsts = often.groupBy("seed").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where(F.col("first.doc_id") != F.col("last"))
-    often = often.join(firsts, "seed")
     keep = ["seed", "doc_id", F.col("first.doc_id").alias("first_id"), F.col("first.at").alias("first_at")]
-    return stored(rare.select(*keep).unionByName(often.select(*keep)).distinct(), "seeds"), counts
+    two = F.col("first.doc_id") != F.col("last")
+    each = W.partitionBy("seed")
+    rare = those(False).withColumn("first", F.min(F.struct("doc_id", "at")).over(each)).withColumn("last", F.max("doc_id").over(each)).where(two).select(*keep).distinct()
+    often = stored(those(True), "often")
+    firsts = often.groupBy("seed").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max("doc_id").alias("last")).where(two)
+    held = stored(rare.unionByName(often.join(firsts, "seed").select(*keep).distinct()), "seeds")
+    discard(often)
+    return held, counts
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of ``docs`` joined with ``wanted`` by doc_id; only texts that a filter of fixed size lets through are shuffled."""
     through = _passes(Filter(wanted.select(F.xxhash64("doc_id").alias("mark")), "mark"))
-    return docs.where(through(F.xxhash64("doc_id"))).select("doc_id", "text").join(wanted, "doc_id")
+    return docs.where(through(F.xxhash64("doc_id"))).select("doc_id", "text").join(wanted.hint("merge"), "doc_id")
 
 
 def _passes(through: Filter):
@@ -218,34 +230,39 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     held, counts = shared_seeds(known.withColumn("mark", F.xxhash64("doc_id")), kind, span, one)
 
     block = F.floor(F.col("first_at") / BLOCK).cast("int")
-    wants = stored(held.where("first_id < doc_id").groupBy("doc_id", "first_id", block.alias("block")).agg(F.count("*").alias("n")).drop("n"), "wants")
-    holders = stored(texts_of(known, held.groupBy("doc_id").agg(F.collect_list("seed").alias("seeds"), F.collect_list(F.when(F.col("first_id") < F.col("doc_id"), F.col("seed"))).alias("later"))), "holders")
+    wants = stored(held.where("first_id < doc_id").select("doc_id", "first_id", block.alias("block")).distinct(), "wants")
+    asked = Filter(wants.select(F.xxhash64("first_id").bitwiseXOR(F.col("block") * F.lit(APART)).alias("mark")), "mark")
 
     def cut(frames):
         for pdf in frames:
-            ids, numbers, parts = [], [], []
-            for doc, text, blocks in zip(pdf["doc_id"], pdf["text"], pdf["blocks"]):
-                own = words(text)
-                for b in blocks:
-                    piece = own[max(0, b * BLOCK - MARGIN) : (b + 1) * BLOCK + MARGIN]
-                    ids.append(doc)
-                    numbers.append(b)
-                    parts.append(b" ".join(piece))
-            yield pd.DataFrame({"first_id": ids, "block": pd.Series(numbers, dtype="int32"), "words": pd.Series(parts, dtype=object)})
-
-    discard(held)
-    asked = wants.groupBy(F.col("first_id").alias("doc_id")).agg(F.collect_set("block").alias("blocks"))
-    blocks = holders.select("doc_id", "text").join(asked, "doc_id").mapInPandas(cut, f"first_id {kind}, block int, words binary")
+            texts = [utf8(t) for t in pdf["text"]]
+            most = np.fromiter(map(len, texts), np.int64, len(texts)) // (2 * BLOCK) + 1  # blocks a text can have
+            own = np.repeat(np.arange(len(texts)), most)
+            number = np.arange(len(own)) - np.repeat(np.cumsum(most) - most, most)
+            hit = asked(pd.Series(pdf["mark"].to_numpy(np.int64)[own] ^ (number * APART)))
+            own, number = own[hit], number[hit]
+            parts, last, split = [], -1, []
+            for i, b in zip(own.tolist(), number.tolist()):
+                if i != last:
+                    last, split = i, texts[i].split()
+                parts.append(b" ".join(split[max(0, b * BLOCK - MARGIN) : (b + 1) * BLOCK + MARGIN]))
+            yield pd.DataFrame({"first_id": pdf["doc_id"].to_numpy()[own], "block": number.astype(np.int32), "words": pd.Series(parts, dtype=object)})
+
+    blocks = known.withColumn("mark", F.xxhash64("doc_id")).mapInPandas(cut, f"first_id {kind}, block int, words binary")
     brought = wants.join(blocks, ["first_id", "block"]).groupBy("doc_id").agg(F.collect_list("words").alias("blocks"))
+    lists = held.groupBy("doc_id").agg(F.collect_list("seed").alias("seeds"), F.collect_list(F.when(F.col("first_id") < F.col("doc_id"), F.col("seed"))).alias("later"))
+    holders = texts_of(known, lists)
 
     def factor(frames):
         for pdf in frames:
             out = []
             for doc, text, mine, later, given in zip(pdf["doc_id"], pdf["text"], pdf["seeds"], pdf["later"], pdf["blocks"]):
                 own = words(text)
-                h, all_seeds = hashes(own), np.asarray(mine, np.int64).view(np.uint64)
-                later = np.asarray(later, np.int64).view(np.uint64)
-                spans = parse(h, later, [hashes(bytes(b).split()) for b in given], span) if given is not None and len(given) else []
+                given = [] if given is None else [bytes(b) for b in given]
+                h, sizes = hashes([utf8(text), *given])
+                h, *given = np.split(h, np.cumsum(sizes)[:-1])
+                all_seeds, later = (np.asarray(x, np.int64).view(np.uint64) for x in (mine, later))
+                spans = parse(h, later, given, span) if given else []
                 window_seeds, _ = seeds(h, span, counts.common)
                 open_at = undecided(window_seeds, all_seeds, spans, span)
                 key = rolled(h, span)[open_at].view(np.int64)
@@ -256,7 +273,7 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sp
     pairs = "array<struct<start:int,end:int>>"
     parsed = holders.join(brought, "doc_id", "left").mapInPandas(factor, f"doc_id {kind}, node string, spans {pairs}, at array<int>, window array<long>, asks array<boolean>")
     parsed = stored(parsed, "parsed")
-    discard(wants, holders)
+    discard(wants, held)
 
     windows = parsed.select("doc_id", "node", F.explode(F.arrays_zip("at", "window", "asks")).alias("w")).select("doc_id", "node", "w.at", "w.window", "w.asks")
     earlier = windows.groupBy("window").agg(F.min("doc_id").alias("earliest"))

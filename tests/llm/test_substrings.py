@@ -86,3 +86,22 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert left.columns == edge_docs.columns
     assert sorted((r["doc_id"] or 0) for r in left.collect()) == [0, 1, 2, 3, 4, 5, 7, 8]
     assert substrings.without_repeats(no_docs).count() == 0
+
+
+def test_hashes_of_words_as_split_cuts_them():
+    rng = random.Random(3)
+    texts = [b"", b" \t", b"a", b"ab" * 40 + b" " + b"ab" * 40, b"\x00 \x00\x00 a\x00 a", "é é \x0b\x0c\r\nx".encode()]
+    texts += [b"".join(rng.choices([b"a", b"b", b" ", b"\n", b"abcdefgh", b"x" * 63], k=rng.randint(0, 40))) for _ in range(300)]
+    h, sizes = substrings.hashes(texts)
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    words = [w for t in texts for w in t.split()]
+    assert len(h) == len(words) and len(set(h.tolist())) == len(set(words)) == len(set(zip(words, h.tolist())))
+    assert [substrings.hashes([w])[0][0] for w in words[:200]] == h[:200].tolist()
+
+
+def test_texts_are_not_stored(spark, shared, monkeypatch):
+    columns = set()
+    stored = substrings.stored
+    monkeypatch.setattr(substrings, "stored", lambda df, what: columns.update(df.columns) or stored(df, what))
+    substrings.repeated(spark.createDataFrame(shared, "doc_id long, text string")).count()
+    assert "seed" in columns and "text" not in columns
