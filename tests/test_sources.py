@@ -141,3 +141,12 @@ def test_meters_lie_in_as_many_tasks_as_their_rows_ask_for(spark, tmp_path, monk
     assert rows.rdd.getNumPartitions() == 40
     assert forecast.scenario_table(rows).rdd.getNumPartitions() == 40
     assert sorted(map(tuple, rows.collect()), key=str) == plain
+
+
+def test_line_items_are_dealt_out_before_they_are_combined(spark, tmp_path):
+    """A task that reads them, whose part of the file grows with the table, holds no groups."""
+    spark.range(400).selectExpr(
+        "id % 50 AS l_suppkey", "timestamp_seconds(800000000 + id * 86400) AS l_shipdate", "'R' AS l_returnflag", "2D AS l_quantity"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    plan = driver_tables.readings(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange") > plan.rindex("HashAggregate")
