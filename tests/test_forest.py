@@ -152,3 +152,28 @@ def test_a_subtree_is_one_row(data):
         nodes = forest.nodes
         assert forest.subtrees.count() == nodes.select("tree", "root").distinct().count() < nodes.count() / 10
         assert nodes.where("(feature >= 0) <> (threshold IS NOT NULL)").isEmpty()
+
+
+def _rows_of_a_subtree(m=6000):
+    rng = np.random.default_rng(11)
+    wide = rng.integers(0, 32, (m, 4))
+    kind = np.eye(6, dtype=np.int64)[rng.integers(0, 6, m)]  # one-hot columns
+    y = np.rint((wide[:, 0] * 40 + wide[:, 1] * kind[:, 2] * 30 + rng.normal(0, 25, m)) * 1000)
+    return np.hstack([wide, kind]).astype(np.uint8), rng.integers(1, 4, m).astype(float), y, np.cumsum([0, *[32] * 4, *[2] * 6])
+
+
+def test_small_nodes_do_not_look_at_every_bin(monkeypatch):
+    bins, weight, y, first = _rows_of_a_subtree()
+    cells, dense = [], forests.best_splits
+    monkeypatch.setattr(forests, "best_splits", lambda n, s, left_n, *rest: (cells.append(left_n.size), dense(n, s, left_n, *rest))[1])
+    node, feature, *_ = forests.subtree(bins, weight, y, 1, 30, first, 2)
+    assert (feature >= 0).sum() > 1000 and sum(cells) < (feature >= 0).sum() * first[-1] / 2
+
+
+def test_all_ways_to_look_at_nodes_give_the_same_tree(monkeypatch):
+    bins, weight, y, first = _rows_of_a_subtree()
+    usual = forests.subtree(bins, weight, y, 1, 30, first, 2)
+    for share, held in ((10**6, 0), (10**6, 10**9), (12, 0), (1, 0)):
+        monkeypatch.setattr(forests, "FEW_SHARE", share)
+        monkeypatch.setattr(forests, "HELD_CELLS", held)
+        assert all(np.array_equal(a, b) for a, b in zip(usual, forests.subtree(bins, weight, y, 1, 30, first, 2)))
