@@ -1,5 +1,8 @@
 """The forest against direct computations in NumPy."""
 
+import functools
+import operator
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -177,3 +180,55 @@ def test_all_ways_to_look_at_nodes_give_the_same_tree(monkeypatch):
         monkeypatch.setattr(forests, "FEW_SHARE", share)
         monkeypatch.setattr(forests, "HELD_CELLS", held)
         assert all(np.array_equal(a, b) for a, b in zip(usual, forests.subtree(bins, weight, y, 1, 30, first, 2)))
+
+
+def test_packed_subtrees_keep_every_node():
+    """A node took 37 bytes of disk, most of which follow from the others."""
+    bins, weight, y, first = _rows_of_a_subtree()
+    node, feature, cut, n, gain, s = forests.grown(bins, weight, y, 5, 30, first, 2)
+    row = dict(zip(["tree", "root", "upper", "mean", "scale", *forests.UPPER, "s"], forests.packed(7, 5, 1.5, 8.0, 10, feature, cut, n, s)))
+    assert sum(len(v) for v in row.values() if isinstance(v, bytes)) < 9 * len(node)
+    got, want = forests.opened(row, 10), {"node": node, "feature": feature, "bin": cut, "n": n, "gain": gain / 64, "prediction": 1.5 + s / n / 8}
+    assert set(got) == set(want) and all(np.array_equal(got[c], want[c]) for c in want)
+
+
+@pytest.mark.parametrize("node_rows", [200_000, 60])
+def test_summary_is_that_of_the_members(data, monkeypatch, node_rows):
+    """Some trees at a time, in chunks of several batches, over subtrees that are repeated or not."""
+    _, _, df = data
+    forest = forests.fit_forest(df, trees=7, node_rows=node_rows)
+    members = {r.sample_id: r.members for r in forest.members(df).collect()}
+    monkeypatch.setattr(forests, "SENT_ROWS", 1400)
+    monkeypatch.setattr(forests, "NODE_ROWS", 100)
+    got = {r.sample_id: (r.member_mean, r.member_std) for r in forest.summary(df).collect()}
+    assert len(got) == 700 and {i: m for i, (m, _) in got.items()} == {i: functools.reduce(operator.add, m, 0.0) / 7 for i, m in members.items()}
+    assert [s for _, s in got.values()] == pytest.approx([np.std(members[i]) for i in got], abs=1e-9)
+    assert {r.sample_id: r.members for r in forest.members(df).collect()} == members
+
+
+def test_a_subtree_is_repeated_only_for_the_rows_that_arrive_there(spark, data, monkeypatch):
+    """All subtrees were repeated for every NODE_ROWS rows of the table, so disk grew with its square."""
+    _, _, df = data
+    forest = forests.fit_forest(df, trees=5, node_rows=60)
+    monkeypatch.setattr(forests, "NODE_ROWS", 60)
+    coded, n = forest._coded(df, "sample_id", "x")
+    shares = forest._shares(coded, spark.sparkContext.broadcast(forest.routes()))
+    subtrees = forest.subtrees.where("NOT upper").count()
+    assert n == 700 and len(shares) == subtrees > 40
+    assert sum(shares.values()) <= subtrees + 5 * 700 / 60 < subtrees * 700 / 60 / 4
+
+
+def test_rows_sent_to_subtrees_do_not_stay_on_disk(spark, data, monkeypatch):
+    _, _, df = data
+    wide = df.crossJoin(spark.range(20)).selectExpr("sample_id * 20 + id AS sample_id", "x", "label")
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getPath(): files.apply(i).length() for i in range(files.length()) if files.apply(i).getName().endswith(".data")}
+
+    before, trees = shuffled(), 40
+    monkeypatch.setattr(forests, "SENT_ROWS", 10 * 14_000)
+    forest = forests.fit_forest(wide, trees=trees)
+    forest.summary(wide).count()
+    left = sum(size for path, size in shuffled().items() if path not in before)
+    assert left < trees * 14_000  # a byte for a row of a tree, of 13 that are sent for it and 10 that come back
